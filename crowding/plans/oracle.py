@@ -217,3 +217,214 @@ QUERIES: dict[str, str] = {
                   {r6('csi')} AS csi FROM stress"""
     ),
 }
+
+
+CSI_COLS_BASE = [
+    "station_complex", "year", "month", "station_complex_id", "borough",
+]
+CSI_DOUBLES = [
+    "peak_hr_ridership", "volume_component", "hhi_monthly_concentration", "csi",
+    "apt_minutes", "cjtp", "total_line_passengers",
+]
+
+
+def _sel(cols, doubles) -> str:
+    parts = [
+        f"CAST({c} AS DOUBLE) AS {c}" if c == "num_lines_serving"
+        else (c if c not in doubles else f"{r6(c)} AS {c}")
+        for c in cols
+    ]
+    return ", ".join(parts)
+
+
+FLAG_COLS = CSI_COLS_BASE + [
+    "peak_hr_ridership", "volume_component", "hhi_monthly_concentration", "csi",
+    "apt_minutes", "cjtp", "total_line_passengers", "num_lines_serving",
+    "csi_pctl", "apt_minutes_pctl", "danger_zone",
+]
+ALL_DOUBLES = CSI_DOUBLES + ["csi_pctl", "apt_minutes_pctl", "csi_6mo_rolling", "apt_6mo_rolling",
+                             "monthly_ridership"]
+
+LATEST = """
+latest AS (SELECT year, month FROM csi ORDER BY year DESC, month DESC LIMIT 1),
+lt AS (
+  SELECT c.*, t.monthly_ridership
+  FROM csi c JOIN latest l ON c.year = l.year AND c.month = l.month
+  LEFT JOIN (SELECT DISTINCT station_complex, year, month, monthly_ridership FROM hours) t
+    ON c.station_complex = t.station_complex AND c.year = t.year AND c.month = t.month
+),
+ftop AS (
+  SELECT * FROM lt WHERE danger_zone = 1 AND monthly_ridership IS NOT NULL
+  ORDER BY monthly_ridership DESC, station_complex LIMIT 10
+),
+top5 AS (
+  SELECT station_complex, year, month, csi FROM (
+    SELECT *, row_number() OVER (PARTITION BY station_complex
+                                 ORDER BY {k} DESC, year, month) AS rn
+    FROM csi WHERE csi IS NOT NULL AND NOT isnan(csi)
+  ) WHERE rn = 1 ORDER BY {k} DESC, station_complex LIMIT 5
+),
+high_flagged AS (
+  SELECT station_complex FROM (
+    SELECT *, row_number() OVER (PARTITION BY station_complex
+                                 ORDER BY {kr} DESC, year, month) AS rn
+    FROM csi WHERE year = 2000 AND month >= 6 AND danger_zone = 1
+      AND csi_6mo_rolling IS NOT NULL AND NOT isnan(csi_6mo_rolling)
+  ) WHERE rn = 1 ORDER BY {kr} DESC, station_complex LIMIT 5
+),
+high_any AS (
+  SELECT station_complex FROM (
+    SELECT *, row_number() OVER (PARTITION BY station_complex
+                                 ORDER BY {kr} DESC, year, month) AS rn
+    FROM csi WHERE year = 2000 AND month >= 6
+      AND csi_6mo_rolling IS NOT NULL AND NOT isnan(csi_6mo_rolling)
+  ) WHERE rn = 1 ORDER BY {kr} DESC, station_complex LIMIT 5
+),
+heat AS (
+  SELECT station_complex, day_of_week, hour_of_day, AVG(ridership) AS avg_ridership
+  FROM feat WHERE station_complex IN (SELECT station_complex FROM top5)
+    AND day_of_week IS NOT NULL AND hour_of_day IS NOT NULL
+  GROUP BY station_complex, day_of_week, hour_of_day
+)""".format(k=r9("csi"), kr=r9("csi_6mo_rolling"))
+
+REPORT = FULL + (LATEST,)
+
+
+def _trend_long(station_sql: str) -> str:
+    parts = []
+    for m in ("peak_hr_ridership", "csi_6mo_rolling", "apt_6mo_rolling"):
+        parts.append(
+            f"""SELECT station_complex, station_complex_id, year, month, make_date(year, month, 1) AS date,
+                       '{m}' AS metric, {r6(m)} AS value
+                FROM csi WHERE station_complex IN ({station_sql})
+                  AND make_date(year, month, 1) >= DATE '2000-06-01'"""
+        )
+    return " UNION ALL ".join(parts)
+
+
+def _fmt(col: str, digits: int) -> str:
+    return f"format('{{:,.{digits}f}}', {r6(col)})"
+
+
+QUERIES.update({
+    "route_bridge": q("SELECT complex_id, route, division, borough_code FROM bridge"),
+    "station_delay": q(
+        f"""SELECT complex_id, year, month, {r6('apt_minutes')} AS apt_minutes, {r6('cjtp')} AS cjtp,
+                  {r6('total_line_passengers')} AS total_line_passengers, CAST(num_lines_serving AS DOUBLE) AS num_lines_serving FROM delay"""
+    ),
+    "risk_flag": q(f"SELECT {_sel(FLAG_COLS, ALL_DOUBLES)} FROM flagged"),
+    "risk_flag_threshold": q(
+        f"""SELECT {_sel(FLAG_COLS[:13], ALL_DOUBLES)},
+                  CAST(CAST(csi > 0.65 AND apt_minutes > 1.0 AS INTEGER) AS DOUBLE) AS danger_zone FROM merged"""
+    ),
+    "rolling_trend": q(
+        f"SELECT {_sel(FLAG_COLS + ['csi_6mo_rolling', 'apt_6mo_rolling'], ALL_DOUBLES)} FROM csi"
+    ),
+    "borough_totals": q(
+        f"""SELECT year, borough, {r6('SUM(ridership)')} AS total_ridership FROM feat
+            WHERE year IN (2000, 2001) AND borough IS NOT NULL GROUP BY year, borough""",
+        BASE,
+    ),
+    "flagged_by_csi": q(
+        f"""SELECT station_complex, year, month, {r6('volume_component')} AS volume_component,
+                  {r6('hhi_monthly_concentration')} AS hhi_monthly_concentration,
+                  {r6('csi')} AS csi, {r6('apt_minutes')} AS apt_minutes
+            FROM csi WHERE danger_zone = 1
+            ORDER BY {r9('csi')} DESC NULLS LAST, station_complex, year, month LIMIT 10"""
+    ),
+    "flagged_by_apt": q(
+        f"""SELECT station_complex, year, month, {r6('csi')} AS csi, {r6('apt_minutes')} AS apt_minutes
+            FROM csi WHERE danger_zone = 1
+            ORDER BY {r9('apt_minutes')} DESC NULLS LAST, station_complex, year, month LIMIT 10"""
+    ),
+    "top_station_months": q(
+        f"SELECT station_complex, year, month, {r6('csi')} AS csi FROM top5", REPORT
+    ),
+    "heatmap_long": q(
+        f"SELECT station_complex, day_of_week, hour_of_day, {r6('avg_ridership')} AS avg_ridership FROM heat",
+        REPORT,
+    ),
+    "heatmap_pivot": q(
+        "SELECT station_complex, day_of_week, "
+        + ", ".join(
+            f"{r6(f'AVG(ridership) FILTER (WHERE hour_of_day = {h})')} AS h{h:02d}" for h in range(24)
+        )
+        + """ FROM feat WHERE station_complex IN (SELECT station_complex FROM top5)
+              AND day_of_week IS NOT NULL AND hour_of_day IS NOT NULL
+              GROUP BY station_complex, day_of_week""",
+        REPORT,
+    ),
+    "heatmap_range": q(
+        f"SELECT {r6('MIN(avg_ridership)')} AS vmin, {r6('MAX(avg_ridership)')} AS vmax FROM heat", REPORT
+    ),
+    "latest_month": q(
+        "SELECT year, month, strftime(make_date(year, month, 1), '%B') AS month_name FROM latest", REPORT
+    ),
+    "latest_month_table": q(
+        f"SELECT {_sel(FLAG_COLS + ['csi_6mo_rolling', 'apt_6mo_rolling', 'monthly_ridership'], ALL_DOUBLES)} FROM lt",
+        REPORT,
+    ),
+    "top5_per_borough": q(
+        f"""SELECT CAST(list_position(['AFRICA', 'AMERICA', 'ASIA', 'EUROPE'], borough) AS INTEGER) AS borough_order,
+                  CAST(rn AS INTEGER) AS rank_in_borough, station_complex, borough,
+                  {r6('monthly_ridership')} AS monthly_ridership, {r6('csi')} AS csi,
+                  {r6('apt_minutes')} AS apt_minutes, {r6('csi_pctl')} AS csi_pctl,
+                  {r6('apt_minutes_pctl')} AS apt_minutes_pctl,
+                  {_fmt('monthly_ridership', 0)} AS monthly_ridership_fmt,
+                  {_fmt('csi', 3)} AS csi_fmt,
+                  {_fmt('apt_minutes', 1)} AS apt_minutes_fmt,
+                  {_fmt('csi_pctl', 2)} AS csi_pctl_fmt,
+                  {_fmt('apt_minutes_pctl', 2)} AS apt_minutes_pctl_fmt
+            FROM (
+              SELECT *, row_number() OVER (PARTITION BY borough
+                                           ORDER BY monthly_ridership DESC, station_complex) AS rn
+              FROM lt WHERE borough IN ('AFRICA', 'AMERICA', 'ASIA', 'EUROPE')
+                AND monthly_ridership IS NOT NULL AND NOT isnan(monthly_ridership)
+            ) WHERE rn <= 5""",
+        REPORT,
+    ),
+    "flagged_latest_top10": q(
+        f"""SELECT station_complex, borough, year, month, {r6('monthly_ridership')} AS monthly_ridership,
+                  {r6('csi')} AS csi, {r6('apt_minutes')} AS apt_minutes,
+                  {r6('csi_pctl')} AS csi_pctl, {r6('apt_minutes_pctl')} AS apt_minutes_pctl FROM ftop""",
+        REPORT,
+    ),
+    "scatter_points": q(
+        f"""SELECT station_complex, borough, {r6('volume_component')} AS volume_component,
+                  {r6('hhi_monthly_concentration')} AS hhi_monthly_concentration,
+                  {r6('peak_hr_ridership')} AS peak_hr_ridership, {r6('csi')} AS csi,
+                  {r6('apt_minutes')} AS apt_minutes, {r6('csi_pctl')} AS csi_pctl,
+                  {r6('apt_minutes_pctl')} AS apt_minutes_pctl, danger_zone,
+                  CAST(danger_zone AS VARCHAR) AS danger_zone_str
+            FROM lt WHERE apt_minutes IS NOT NULL AND NOT isnan(apt_minutes)""",
+        REPORT,
+    ),
+    "trend_series_all": q(
+        _trend_long(
+            "SELECT station_complex FROM high_flagged UNION SELECT station_complex FROM ftop"
+        ),
+        REPORT,
+    ),
+    "trend_series_flagged": q(_trend_long("SELECT station_complex FROM ftop"), REPORT),
+    "trend_high_unflagged": q(
+        f"""SELECT station_complex, station_complex_id, year, month, make_date(year, month, 1) AS date,
+                  {r6('csi_6mo_rolling')} AS csi_6mo_rolling
+            FROM csi WHERE station_complex IN (SELECT station_complex FROM high_any)
+              AND make_date(year, month, 1) >= DATE '2000-06-01'""",
+        REPORT,
+    ),
+    "preview": q(
+        f"""SELECT station_complex, station_complex_id, transit_timestamp, borough, {r6('ridership')} AS ridership,
+                  hour_of_day, day_of_week, is_weekend, month, year, time_window,
+                  {r6('monthly_ridership')} AS monthly_ridership, monthly_rank
+            FROM hours_ranked
+            ORDER BY transit_timestamp, station_complex, station_complex_id, borough LIMIT 5""",
+        BASE,
+    ),
+    "variation_cv": q(
+        f"""SELECT station_complex, year, month,
+                  {r6('stddev_samp(ridership) / AVG(ridership)')} AS ridership_cv
+            FROM feat GROUP BY station_complex, year, month""",
+        BASE,
+    ),
+})

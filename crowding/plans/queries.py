@@ -7,22 +7,37 @@ returns a lazy DataFrame. Double outputs are snapped to six decimals with
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.numeric import round_doubles
-from ..operators import features, stress
+from ..operators import features, reports, risk, stress
 from .inputs import Inputs
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
 
+# Integer outputs that are null for some rows (a count over a left join, a
+# flag over a null metric) are emitted as doubles: pandas and Arrow render a
+# nullable integer column differently per engine, a double column the same.
+NULLABLE_INTS = ("num_lines_serving",)
+
+
+def _normalize(df: DataFrame) -> DataFrame:
+    cols = [
+        F.col(c).cast("double").alias(c) if c in NULLABLE_INTS else F.col(c) for c in df.columns
+    ]
+    return round_doubles(df.select(*cols))
+
+
 def register(name: str):
     def deco(fn: Callable[[Inputs], DataFrame]) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return round_doubles(fn(Inputs(spark, sf_dir)))
+            return _normalize(fn(Inputs(spark, sf_dir)))
 
         run.__name__ = name
         run.__doc__ = fn.__doc__
@@ -72,3 +87,156 @@ def concentration_hhi(i: Inputs) -> DataFrame:
 def stress_index(i: Inputs) -> DataFrame:
     """C5 (flagship): CSI = peak volume / baseline x HHI per station-month."""
     return i.stress
+
+
+# -- parameters for the mapped data --------------------------------------------
+# The mapped data's first year plays the reference's first year, the next one
+# the year that updates; regions play boroughs (four reported, one left out).
+REPORT_YEARS = (2000, 2001)
+BOROUGHS = ("AFRICA", "AMERICA", "ASIA", "EUROPE")
+TREND_YEAR, TREND_FROM_MONTH = 2000, 6
+TREND_START = _dt.date(2000, 6, 1)
+# Threshold rule: the reference's CSI cut; the mapped APT is discount x 20,
+# centred near one minute, so its cut is set at that scale.
+THRESHOLD_CSI, THRESHOLD_APT = 0.65, 1.0
+
+
+@register("route_bridge")
+def route_bridge(i: Inputs) -> DataFrame:
+    """split/explode/trim the route lists into a distinct lookup."""
+    return i.bridge
+
+
+@register("station_delay")
+def station_delay(i: Inputs) -> DataFrame:
+    """Passenger-weighted APT per station-month over peak lines."""
+    return i.delay
+
+
+@register("risk_flag")
+def risk_flag(i: Inputs) -> DataFrame:
+    """CSI with station delay, monthly percentiles and the flag."""
+    return i.flagged
+
+
+@register("risk_flag_threshold")
+def risk_flag_threshold(i: Inputs) -> DataFrame:
+    """the absolute-threshold variant of the flag."""
+    merged = risk.attach_delay(i.stress, i.delay)
+    flagged = risk.threshold_flag(merged, THRESHOLD_CSI, THRESHOLD_APT)
+    return flagged.withColumn("danger_zone", F.col("danger_zone").cast("double"))
+
+
+@register("rolling_trend")
+def rolling_trend(i: Inputs) -> DataFrame:
+    """The full station-month table with 6-row rolling means."""
+    return i.csi
+
+
+@register("borough_totals")
+def borough_totals(i: Inputs) -> DataFrame:
+    """C11: ridership per borough for each report year."""
+    return reports.borough_totals(i.hour_features, REPORT_YEARS)
+
+
+@register("flagged_by_csi")
+def flagged_by_csi(i: Inputs) -> DataFrame:
+    """Top 10 flagged station-months by CSI."""
+    return reports.flagged_by_csi(i.csi)
+
+
+@register("flagged_by_apt")
+def flagged_by_apt(i: Inputs) -> DataFrame:
+    """Top 10 flagged station-months by APT."""
+    return reports.flagged_by_apt(i.csi)
+
+
+@register("top_station_months")
+def top_station_months(i: Inputs) -> DataFrame:
+    """Best CSI month per station, top 5."""
+    return reports.top_station_months(i.csi)
+
+
+@register("heatmap_long")
+def heatmap_long(i: Inputs) -> DataFrame:
+    """Mean ridership by weekday x hour for the top-5 stations."""
+    return reports.heatmap_long(i.hour_features, reports.top_station_months(i.csi))
+
+
+@register("heatmap_pivot")
+def heatmap_pivot(i: Inputs) -> DataFrame:
+    """The same means pivoted to 24 hour columns."""
+    return reports.heatmap_pivot(i.hour_features, reports.top_station_months(i.csi))
+
+
+@register("heatmap_range")
+def heatmap_range(i: Inputs) -> DataFrame:
+    """The shared colour range of the heatmaps."""
+    long = reports.heatmap_long(i.hour_features, reports.top_station_months(i.csi))
+    return reports.heatmap_range(long)
+
+
+@register("latest_month")
+def latest_month(i: Inputs) -> DataFrame:
+    """Latest year and month, with the month's name."""
+    return reports.latest_month(i.csi)
+
+
+@register("latest_month_table")
+def latest_month_table(i: Inputs) -> DataFrame:
+    """C14: latest month's CSI rows with monthly ridership."""
+    return reports.latest_month_table(i.csi, i.hours)
+
+
+@register("top5_per_borough")
+def top5_per_borough(i: Inputs) -> DataFrame:
+    """Top 5 stations by ridership in each of four boroughs, formatted."""
+    return reports.top_per_borough(reports.latest_month_table(i.csi, i.hours), BOROUGHS)
+
+
+@register("flagged_latest_top10")
+def flagged_latest_top10(i: Inputs) -> DataFrame:
+    """Top 10 flagged stations of the latest month by ridership."""
+    return reports.flagged_latest_top(reports.latest_month_table(i.csi, i.hours))
+
+
+@register("scatter_points")
+def scatter_points(i: Inputs) -> DataFrame:
+    """C17: scatter-plot points of the latest month."""
+    return reports.scatter_points(reports.latest_month_table(i.csi, i.hours))
+
+
+def _latest_top(i: Inputs) -> DataFrame:
+    return reports.flagged_latest_top(reports.latest_month_table(i.csi, i.hours))
+
+
+@register("trend_series_all")
+def trend_series_all(i: Inputs) -> DataFrame:
+    """Trend points of flagged latest and historically high stations."""
+    return reports.trend_series(i.csi, _latest_top(i), TREND_YEAR, TREND_FROM_MONTH, TREND_START)
+
+
+@register("trend_series_flagged")
+def trend_series_flagged(i: Inputs) -> DataFrame:
+    """Trend points of the flagged latest-month stations only."""
+    return reports.trend_series(i.csi, _latest_top(i), None, TREND_FROM_MONTH, TREND_START)
+
+
+@register("trend_high_unflagged")
+def trend_high_unflagged(i: Inputs) -> DataFrame:
+    """C20: rolling-CSI series of high stations, flag ignored."""
+    return reports.trend_high_unflagged(i.csi, TREND_YEAR, TREND_FROM_MONTH, TREND_START)
+
+
+@register("preview")
+def preview(i: Inputs) -> DataFrame:
+    """First five hour rows in time order."""
+    return reports.preview(
+        i.hours, ["transit_timestamp", "station_complex", "station_complex_id", "borough"]
+    )
+
+
+@register("variation_cv")
+def variation_cv(i: Inputs) -> DataFrame:
+    """Coefficient of variation of hourly ridership per station-month."""
+    return stress.variation_cv(i.hour_features)
