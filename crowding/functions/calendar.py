@@ -22,13 +22,17 @@ WEEKEND_DAYS = (1, 7)
 
 
 def as_timestamp(df, name: str) -> Column:
-    """The column as a timestamp; text is parsed, bad text becomes null."""
+    """The column as a wall-clock timestamp (no zone).
+
+    Text is parsed (bad text becomes null, not an error under ANSI); dates and
+    zoned timestamps are read at the session zone, which is UTC.
+    """
     dtype = dict(df.dtypes)[name]
+    if dtype == "timestamp_ntz":
+        return F.col(name)
     if dtype == "string":
-        return F.try_to_timestamp(F.col(name))
-    if dtype == "date":
-        return F.col(name).cast(T.TimestampType())
-    return F.col(name)
+        return F.try_to_timestamp(F.col(name)).cast(T.TimestampNTZType())
+    return F.col(name).cast(T.TimestampNTZType())
 
 
 def time_window(hour: Column) -> Column:

@@ -428,3 +428,91 @@ QUERIES.update({
         BASE,
     ),
 })
+
+
+RAW_COLS = (
+    "transit_timestamp, transit_mode, station_complex_id, station_complex, borough, payment_method, "
+    f"fare_class_category, {r6('ridership')} AS ridership, {r6('transfers')} AS transfers, "
+    f"{r6('latitude')} AS latitude, {r6('longitude')} AS longitude, georeference"
+)
+KNOWN = "known AS (SELECT s_name AS station_complex FROM supplier WHERE s_acctbal >= 0)"
+AS_OF = "DATE '2001-11-15'"
+PREV_START = f"(date_trunc('month', {AS_OF}) - INTERVAL 1 MONTH)"
+PREV_END = f"date_trunc('month', {AS_OF})"
+
+_QR = """
+q AS (SELECT * REPLACE (nullif(ridership, 1) AS ridership) FROM ridership),
+stats AS (
+  SELECT count(*) AS n,
+         count_if(transit_timestamp IS NULL) AS n_ts,
+         count_if(station_complex IS NULL) AS n_name,
+         count_if(station_complex_id IS NULL) AS n_id,
+         count_if(ridership IS NULL OR isnan(ridership)) AS n_r
+  FROM q
+),
+unk AS (
+  SELECT count(*) AS u FROM (SELECT DISTINCT station_complex FROM q) d
+  WHERE NOT EXISTS (SELECT 1 FROM known k WHERE k.station_complex = d.station_complex)
+)"""
+
+
+def _check(check: str, column: str | None, value: str, threshold: str, passed: str) -> str:
+    col = "CAST(NULL AS VARCHAR)" if column is None else f"'{column}'"
+    return (
+        f"SELECT 'ridership' AS dataset, '{check}' AS \"check\", {col} AS \"column\", "
+        f"CAST({value} AS BIGINT) AS value, CAST({threshold} AS BIGINT) AS threshold, "
+        f"{passed} AS passed FROM stats, unk"
+    )
+
+
+QUERIES.update({
+    "year_slice": q(
+        f"""SELECT {RAW_COLS} FROM ridership
+            WHERE transit_timestamp >= TIMESTAMP '2000-01-01' AND transit_timestamp < TIMESTAMP '2001-01-01'""",
+        (RIDERSHIP,),
+    ),
+    "previous_month_slice": q(
+        f"""SELECT {RAW_COLS}, 'ridership_' || strftime({PREV_START}, '%Y_%m') AS landing_name
+            FROM ridership
+            WHERE transit_timestamp >= {PREV_START} AND transit_timestamp < {PREV_END}""",
+        (RIDERSHIP,),
+    ),
+    "coerce_numeric": """
+        SELECT o_orderkey,
+               floor(TRY_CAST(CASE WHEN o_orderkey % 7 = 0 THEN 'n/a' ELSE CAST(o_totalprice AS VARCHAR) END
+                              AS DOUBLE) * 1e6 + 0.5001) / 1e6 AS o_totalprice
+        FROM orders""",
+    "quality_report": q(
+        " UNION ALL ".join([
+            _check("row_count", None, "n", "200000", "n >= 200000"),
+            _check("nulls", "transit_timestamp", "n_ts", "0", "n_ts = 0"),
+            _check("nulls", "station_complex", "n_name", "0", "n_name = 0"),
+            _check("nulls", "station_complex_id", "n_id", "0", "n_id = 0"),
+            _check("nulls", "ridership", "n_r", "0", "n_r = 0"),
+            _check("unknown_names", "station_complex", "u", "10", "u <= 10"),
+        ]),
+        (RIDERSHIP, KNOWN, _QR),
+    ),
+    "unknown_names": q(
+        """SELECT DISTINCT station_complex FROM ridership r
+           WHERE NOT EXISTS (SELECT 1 FROM known k WHERE k.station_complex = r.station_complex)""",
+        (RIDERSHIP, KNOWN),
+    ),
+    "known_names": q(
+        """SELECT DISTINCT station_complex, station_complex_id, borough FROM ridership
+           WHERE transit_timestamp >= TIMESTAMP '2000-01-01' AND transit_timestamp < TIMESTAMP '2001-01-01'""",
+        (RIDERSHIP,),
+    ),
+    "apt_upsert": q(
+        f"""SELECT month, division, line, period, {r6('num_passengers')} AS num_passengers,
+                  {r6('additional_platform_time')} AS additional_platform_time,
+                  CAST(NULL AS DOUBLE) AS additional_train_time, CAST(NULL AS DOUBLE) AS total_apt,
+                  CAST(NULL AS DOUBLE) AS total_att, CAST(NULL AS DOUBLE) AS over_five_mins,
+                  CAST(NULL AS DOUBLE) AS over_five_mins_perc,
+                  {r6('customer_journey_time')} AS customer_journey_time, year, month_num FROM apt""",
+        (APT,),
+    ),
+})
+QUERIES["lake_round_trip"] = QUERIES["monthly_total_rank"]
+QUERIES["incremental_equals_full"] = QUERIES["rolling_trend"]
+QUERIES["page_union"] = QUERIES["year_slice"]

@@ -14,7 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.numeric import round_doubles
-from ..operators import features, reports, risk, stress
+from .. import schemas
+from ..operators import features, quality, reports, risk, stress
+from ..session import scratch_path
+from ..sources import fixtures, lake, landing, slices
+from . import runs
 from .inputs import Inputs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -240,3 +244,109 @@ def preview(i: Inputs) -> DataFrame:
 def variation_cv(i: Inputs) -> DataFrame:
     """Coefficient of variation of hourly ridership per station-month."""
     return stress.variation_cv(i.hour_features)
+
+
+# -- sources, gates and the lake ---------------------------------------------------
+AS_OF = _dt.date(2001, 11, 15)  # the monthly run that loads October 2001
+# Gate floors for the mapped data: its months hold far fewer rows than the
+# reference's system, so the floor is "not empty"; the other checks as given.
+FIXTURE_GATES = (
+    quality.GateSpec(**{**quality.RIDERSHIP_GATE.__dict__, "min_rows": 1}),
+    quality.GateSpec(**{**quality.APT_GATE.__dict__, "min_rows": 1}),
+)
+
+
+@register("year_slice")
+def year_slice(i: Inputs) -> DataFrame:
+    """One calendar year of raw rows in time order."""
+    return slices.year_slice(i.raw, i.baseline_year)
+
+
+@register("previous_month_slice")
+def previous_month_slice(i: Inputs) -> DataFrame:
+    """The month before the run date, with its landing name."""
+    return slices.previous_month_slice(i.raw, AS_OF).withColumn(
+        "landing_name", slices.landing_label("ridership", AS_OF)
+    )
+
+
+@register("coerce_numeric")
+def coerce_numeric(i: Inputs) -> DataFrame:
+    """text totals to double where present; 'n/a' becomes null."""
+    text = fixtures.orders_text(i.spark, i.sf_dir)
+    return slices.coerce_numeric(text, ["o_totalprice", "not_delivered"])
+
+
+@register("quality_report")
+def quality_report(i: Inputs) -> DataFrame:
+    """Row floor, null counts and unknown names in one pass."""
+    raw = i.raw.withColumn("ridership", F.nullif(F.col("ridership"), F.lit(1.0)))
+    known = fixtures.known_station_names(i.spark, i.sf_dir)
+    return quality.quality_report(raw, quality.RIDERSHIP_GATE, known)
+
+
+@register("unknown_names")
+def unknown_names(i: Inputs) -> DataFrame:
+    """Station names missing from the known list."""
+    return quality.unknown_names(i.raw, fixtures.known_station_names(i.spark, i.sf_dir))
+
+
+@register("known_names")
+def known_names(i: Inputs) -> DataFrame:
+    """Distinct (name, id, borough) of the first year's load."""
+    return quality.known_names(slices.year_slice(i.raw, i.baseline_year, ordered=False))
+
+
+@register("lake_round_trip")
+def lake_round_trip(i: Inputs) -> DataFrame:
+    """Write the hour table twice (a re-run), read it back."""
+    path = scratch_path(i.spark, "lake-hours")
+    table = lake.conform(i.hours, schemas.HOURS)
+    lake.write_partitioned(table, path)
+    lake.write_partitioned(table, path)
+    return lake.read_table(i.spark, path, schemas.HOURS)
+
+
+@register("apt_upsert")
+def apt_upsert(i: Inputs) -> DataFrame:
+    """APT lake load, then the monthly upsert of one month again."""
+    path = scratch_path(i.spark, "lake-apt")
+    lake.upsert_apt_month(i.apt, path)
+    month = slices.previous_month_slice(i.apt, AS_OF, "month")
+    lake.upsert_apt_month(month, path)
+    return lake.read_table(i.spark, path, schemas.APT)
+
+
+@register("incremental_equals_full")
+def incremental_equals_full(i: Inputs) -> DataFrame:
+    """History up to September, then the October monthly run."""
+    root = scratch_path(i.spark, "lake-incremental")
+    start, _ = slices.previous_month(AS_OF)
+    history_raw = i.raw.filter(F.col("transit_timestamp") < F.lit(start).cast("timestamp_ntz"))
+    runs.build_history(i.spark, history_raw, i.apt, i.stations, root, i.baseline_year)
+    runs.run_month(i.spark, i.raw, i.apt, root, AS_OF, "ridership_2001_10", FIXTURE_GATES)
+    return lake.read_table(i.spark, lake.LakePaths(root).csi, schemas.CSI)
+
+
+@register("page_union")
+def page_union(i: Inputs) -> DataFrame:
+    """Land ordered CSV pages, read them back as one table, slice a year."""
+    path = scratch_path(i.spark, "landing-pages")
+    landing.land_pages(i.raw, path)
+    pages = landing.read_pages(i.spark, path, schemas.RIDERSHIP)
+    return slices.year_slice(pages, i.baseline_year)
+
+
+@register("audit_rows")
+def audit_rows(i: Inputs) -> DataFrame:
+    """Audit rows of two gate runs appended to the audit log."""
+    path = scratch_path(i.spark, "audit")
+    raw_m = slices.previous_month_slice(i.raw, AS_OF)
+    apt_m = slices.previous_month_slice(i.apt, AS_OF, "month")
+    known = fixtures.known_station_names(i.spark, i.sf_dir)
+    report = quality.quality_report(raw_m, FIXTURE_GATES[0], known).unionByName(
+        quality.quality_report(apt_m, FIXTURE_GATES[1])
+    )
+    for _ in range(2):
+        lake.append_audit(quality.audit_records(report, "ridership_2001_10"), path)
+    return lake.read_table(i.spark, path, schemas.AUDIT)

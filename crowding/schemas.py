@@ -3,7 +3,8 @@
 from pyspark.sql import types as T
 
 S, D, I, L = T.StringType(), T.DoubleType(), T.IntegerType(), T.LongType()
-TS = T.TimestampType()
+# Source hours are local wall-clock times: a timestamp without a zone.
+TS = T.TimestampNTZType()
 
 
 def _struct(*fields) -> T.StructType:
