@@ -11,8 +11,10 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import delay, features, risk, stress
-from ..sources import fixtures
+from .. import schemas
+from ..operators import delay, features, reports, risk, stress
+from ..session import scratch_path
+from ..sources import fixtures, lake
 
 
 class Inputs:
@@ -70,3 +72,26 @@ class Inputs:
     def csi(self) -> DataFrame:
         """The station-month result table with rolling trends."""
         return risk.rolling_means(self.flagged).select(*risk.CSI_TABLE_COLUMNS)
+
+    @cached_property
+    def csi_stored(self) -> DataFrame:
+        """The station-month table written once to the shared folder, read back.
+
+        Reports read a stored result table, as they read the lake: the table
+        is computed once per query instead of once per reference in a report's
+        plan, and the lineage back to the raw extract is cut.
+        """
+        path = scratch_path(self.spark, "csi-table")
+        lake.write_table(lake.conform(self.csi, schemas.CSI), path)
+        return lake.read_table(self.spark, path, schemas.CSI)
+
+    @cached_property
+    def latest_hours(self) -> DataFrame:
+        """Hour rows of the latest stored month with their month total and rank.
+
+        Totals and ranks are per month, so computing them on the month's own
+        rows gives the stored values; the month filter reaches the hour
+        aggregate, like partition pruning does on the lake.
+        """
+        month = reports.in_latest_month(self.hour_features, self.csi_stored)
+        return features.monthly_total_rank(month)

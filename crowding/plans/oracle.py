@@ -516,3 +516,10 @@ QUERIES.update({
 QUERIES["lake_round_trip"] = QUERIES["monthly_total_rank"]
 QUERIES["incremental_equals_full"] = QUERIES["rolling_trend"]
 QUERIES["page_union"] = QUERIES["year_slice"]
+QUERIES["csv_route_bridge"] = QUERIES["route_bridge"]
+QUERIES["baseline_round_trip"] = QUERIES["baseline_p90"]
+QUERIES["monthly_landing"] = q(
+    f"""SELECT {RAW_COLS} FROM ridership
+        WHERE transit_timestamp >= {PREV_START} AND transit_timestamp < {PREV_END}""",
+    (RIDERSHIP,),
+)

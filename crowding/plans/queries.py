@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import round_doubles
 from .. import schemas
-from ..operators import features, quality, reports, risk, stress
+from ..operators import delay, features, quality, reports, risk, stress
 from ..session import scratch_path
 from ..sources import fixtures, lake, landing, slices
 from . import runs
@@ -146,90 +146,90 @@ def borough_totals(i: Inputs) -> DataFrame:
 @register("flagged_by_csi")
 def flagged_by_csi(i: Inputs) -> DataFrame:
     """Top 10 flagged station-months by CSI."""
-    return reports.flagged_by_csi(i.csi)
+    return reports.flagged_by_csi(i.csi_stored)
 
 
 @register("flagged_by_apt")
 def flagged_by_apt(i: Inputs) -> DataFrame:
     """Top 10 flagged station-months by APT."""
-    return reports.flagged_by_apt(i.csi)
+    return reports.flagged_by_apt(i.csi_stored)
 
 
 @register("top_station_months")
 def top_station_months(i: Inputs) -> DataFrame:
     """Best CSI month per station, top 5."""
-    return reports.top_station_months(i.csi)
+    return reports.top_station_months(i.csi_stored)
 
 
 @register("heatmap_long")
 def heatmap_long(i: Inputs) -> DataFrame:
     """Mean ridership by weekday x hour for the top-5 stations."""
-    return reports.heatmap_long(i.hour_features, reports.top_station_months(i.csi))
+    return reports.heatmap_long(i.hour_features, reports.top_station_months(i.csi_stored))
 
 
 @register("heatmap_pivot")
 def heatmap_pivot(i: Inputs) -> DataFrame:
     """The same means pivoted to 24 hour columns."""
-    return reports.heatmap_pivot(i.hour_features, reports.top_station_months(i.csi))
+    return reports.heatmap_pivot(i.hour_features, reports.top_station_months(i.csi_stored))
 
 
 @register("heatmap_range")
 def heatmap_range(i: Inputs) -> DataFrame:
     """The shared colour range of the heatmaps."""
-    long = reports.heatmap_long(i.hour_features, reports.top_station_months(i.csi))
+    long = reports.heatmap_long(i.hour_features, reports.top_station_months(i.csi_stored))
     return reports.heatmap_range(long)
 
 
 @register("latest_month")
 def latest_month(i: Inputs) -> DataFrame:
     """Latest year and month, with the month's name."""
-    return reports.latest_month(i.csi)
+    return reports.latest_month(i.csi_stored)
 
 
 @register("latest_month_table")
 def latest_month_table(i: Inputs) -> DataFrame:
     """C14: latest month's CSI rows with monthly ridership."""
-    return reports.latest_month_table(i.csi, i.hours)
+    return reports.latest_month_table(i.csi_stored, i.latest_hours)
 
 
 @register("top5_per_borough")
 def top5_per_borough(i: Inputs) -> DataFrame:
     """Top 5 stations by ridership in each of four boroughs, formatted."""
-    return reports.top_per_borough(reports.latest_month_table(i.csi, i.hours), BOROUGHS)
+    return reports.top_per_borough(reports.latest_month_table(i.csi_stored, i.latest_hours), BOROUGHS)
 
 
 @register("flagged_latest_top10")
 def flagged_latest_top10(i: Inputs) -> DataFrame:
     """Top 10 flagged stations of the latest month by ridership."""
-    return reports.flagged_latest_top(reports.latest_month_table(i.csi, i.hours))
+    return reports.flagged_latest_top(reports.latest_month_table(i.csi_stored, i.latest_hours))
 
 
 @register("scatter_points")
 def scatter_points(i: Inputs) -> DataFrame:
     """C17: scatter-plot points of the latest month."""
-    return reports.scatter_points(reports.latest_month_table(i.csi, i.hours))
+    return reports.scatter_points(reports.latest_month_table(i.csi_stored, i.latest_hours))
 
 
 def _latest_top(i: Inputs) -> DataFrame:
-    return reports.flagged_latest_top(reports.latest_month_table(i.csi, i.hours))
+    return reports.flagged_latest_top(reports.latest_month_table(i.csi_stored, i.latest_hours))
 
 
 @register("trend_series_all")
 def trend_series_all(i: Inputs) -> DataFrame:
     """Trend points of flagged latest and historically high stations."""
-    return reports.trend_series(i.csi, _latest_top(i), TREND_YEAR, TREND_FROM_MONTH, TREND_START)
+    return reports.trend_series(i.csi_stored, _latest_top(i), TREND_YEAR, TREND_FROM_MONTH, TREND_START)
 
 
 @register("trend_series_flagged")
 def trend_series_flagged(i: Inputs) -> DataFrame:
     """Trend points of the flagged latest-month stations only."""
-    return reports.trend_series(i.csi, _latest_top(i), None, TREND_FROM_MONTH, TREND_START)
+    return reports.trend_series(i.csi_stored, _latest_top(i), None, TREND_FROM_MONTH, TREND_START)
 
 
 @register("trend_high_unflagged")
 def trend_high_unflagged(i: Inputs) -> DataFrame:
     """C20: rolling-CSI series of high stations, flag ignored."""
-    return reports.trend_high_unflagged(i.csi, TREND_YEAR, TREND_FROM_MONTH, TREND_START)
+    return reports.trend_high_unflagged(i.csi_stored, TREND_YEAR, TREND_FROM_MONTH, TREND_START)
 
 
 @register("preview")
@@ -350,3 +350,29 @@ def audit_rows(i: Inputs) -> DataFrame:
     for _ in range(2):
         lake.append_audit(quality.audit_records(report, "ridership_2001_10"), path)
     return lake.read_table(i.spark, path, schemas.AUDIT)
+
+
+@register("csv_route_bridge")
+def csv_route_bridge(i: Inputs) -> DataFrame:
+    """The station list landed as header CSV, read with a declared schema."""
+    path = scratch_path(i.spark, "landing-stations")
+    i.stations.write.mode("overwrite").option("header", True).csv(path)
+    return delay.route_bridge(landing.read_csv(i.spark, path, schemas.STATIONS))
+
+
+@register("baseline_round_trip")
+def baseline_round_trip(i: Inputs) -> DataFrame:
+    """Persist the baseline once, reload it for later runs."""
+    path = scratch_path(i.spark, "baseline")
+    lake.write_baseline(i.baseline, path)
+    return lake.read_baseline(i.spark, path, i.baseline_year)
+
+
+@register("monthly_landing")
+def monthly_landing(i: Inputs) -> DataFrame:
+    """The month before the run date landed as typed Parquet, read back."""
+    root = scratch_path(i.spark, "landing-month")
+    path = landing.land_month(
+        i.raw, AS_OF, root, "ridership", "transit_timestamp", quality.RIDERSHIP_GATE.numeric_cols
+    )
+    return lake.read_table(i.spark, path, schemas.RIDERSHIP)

@@ -26,7 +26,7 @@ CORE_CONF = {
     # Runtime broadcast threshold, checked against actual shuffle bytes.
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     # Plan-time broadcast threshold, checked against size statistics.
-    "spark.sql.autoBroadcastJoinThreshold": "16MB",
+    "spark.sql.autoBroadcastJoinThreshold": "10MB",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
 }

@@ -64,9 +64,16 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def write_partitioned(df: DataFrame, path: str, cols=("year", "month")) -> None:
-    """Overwrite only the partitions present in ``df`` (idempotent re-runs)."""
+    """Overwrite only the partitions present in ``df`` (idempotent re-runs).
+
+    The rebalance hint lets AQE size the write tasks per partition value:
+    small months are packed together, a large month is split across tasks,
+    so each (year, month) folder gets a few files of the advisory size rather
+    than one small file from every upstream task.
+    """
     (
-        df.write.mode("overwrite")
+        df.hint("rebalance", *cols)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*cols)
         .parquet(path)
