@@ -1,8 +1,9 @@
 """Lazily built inputs and intermediate tables for one dataset directory.
 
-Every property is a lazy DataFrame over the driver's tables; nothing here
-runs a job. Registered queries pick the stage they need, so a query pays only
-for its own part of the plan.
+Every property is a lazy DataFrame over the driver's tables, except
+``csi_stored``, which writes the station-month table once to the shared
+folder (as the lake holds it for reports). Registered queries pick the stage
+they need, so a query pays only for its own part of the plan.
 """
 
 from __future__ import annotations
