@@ -523,3 +523,4 @@ QUERIES["monthly_landing"] = q(
         WHERE transit_timestamp >= {PREV_START} AND transit_timestamp < {PREV_END}""",
     (RIDERSHIP,),
 )
+QUERIES["monthly_feed"] = QUERIES["rolling_trend"]

@@ -18,6 +18,7 @@ from .. import schemas
 from ..operators import delay, features, quality, reports, risk, stress
 from ..session import scratch_path
 from ..sources import fixtures, lake, landing, slices
+from ..streaming import start_monthly_feed
 from . import runs
 from .inputs import Inputs
 
@@ -376,3 +377,21 @@ def monthly_landing(i: Inputs) -> DataFrame:
         i.raw, AS_OF, root, "ridership", "transit_timestamp", quality.RIDERSHIP_GATE.numeric_cols
     )
     return lake.read_table(i.spark, path, schemas.RIDERSHIP)
+
+
+@register("monthly_feed")
+def monthly_feed(i: Inputs) -> DataFrame:
+    """C10 via Structured Streaming: landed month files drive the incremental run."""
+    root = scratch_path(i.spark, "lake-feed")
+    landing_dir = scratch_path(i.spark, "landing-feed")
+    first = _dt.date(2001, 9, 1)
+    history_raw = i.raw.filter(F.col("transit_timestamp") < F.lit(first).cast("timestamp_ntz"))
+    runs.build_history(i.spark, history_raw, i.apt, i.stations, root, i.baseline_year)
+    for as_of in (_dt.date(2001, 10, 1), AS_OF):
+        landing.land_month(i.raw, as_of, landing_dir, "ridership", "transit_timestamp",
+                           quality.RIDERSHIP_GATE.numeric_cols)
+    feed = start_monthly_feed(i.spark, landing_dir, root, baseline_year=i.baseline_year)
+    feed.awaitTermination()
+    if feed.exception() is not None:
+        raise RuntimeError(f"monthly feed failed: {feed.exception()}")
+    return lake.read_table(i.spark, lake.LakePaths(root).csi, schemas.CSI)
