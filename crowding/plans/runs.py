@@ -53,7 +53,10 @@ def build_history(
     p = lake.LakePaths(root)
     lake.upsert_apt_month(apt, p.apt)
     lake.write_table(delay.route_bridge(stations), p.route_lookup)
-    first_year = raw.filter(F.year("transit_timestamp") == baseline_year)
+    # A range on the raw timestamp reaches the Parquet scan (row-group skipping).
+    first_year = time_range(
+        raw, "transit_timestamp", _dt.date(baseline_year, 1, 1), _dt.date(baseline_year + 1, 1, 1)
+    )
     lake.write_table(quality.known_names(first_year), p.station_names)
 
     lake.write_partitioned(lake.conform(features.ridership_transformed(raw), schemas.HOURS), p.hours)
