@@ -240,12 +240,15 @@ def high_rolling_stations(
 
 
 def trend_rows(csi: DataFrame, stations: DataFrame, start: _dt.date) -> DataFrame:
-    """CSI rows of the listed stations from ``start`` on, in month order."""
+    """CSI rows of the listed stations from ``start`` on, in month order.
+
+    ``date`` is the first of the month as a zone-less timestamp (a plotting
+    axis value, like a parsed date-time)."""
     names = F.broadcast(stations.select("station_complex").distinct())
     return (
         csi.join(names, "station_complex", "left_semi")
-        .withColumn("date", first_of_month("year", "month"))
-        .filter(F.col("date") >= F.lit(start))
+        .withColumn("date", first_of_month("year", "month").cast("timestamp_ntz"))
+        .filter(F.col("date") >= F.lit(start).cast("timestamp_ntz"))
         .orderBy("year", "month", "station_complex")
     )
 

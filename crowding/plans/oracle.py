@@ -294,7 +294,7 @@ def _trend_long(station_sql: str) -> str:
     parts = []
     for m in ("peak_hr_ridership", "csi_6mo_rolling", "apt_6mo_rolling"):
         parts.append(
-            f"""SELECT station_complex, station_complex_id, year, month, make_date(year, month, 1) AS date,
+            f"""SELECT station_complex, station_complex_id, year, month, CAST(make_date(year, month, 1) AS TIMESTAMP) AS date,
                        '{m}' AS metric, {r6(m)} AS value
                 FROM csi WHERE station_complex IN ({station_sql})
                   AND make_date(year, month, 1) >= DATE '2000-06-01'"""
@@ -407,7 +407,7 @@ QUERIES.update({
     ),
     "trend_series_flagged": q(_trend_long("SELECT station_complex FROM ftop"), REPORT),
     "trend_high_unflagged": q(
-        f"""SELECT station_complex, station_complex_id, year, month, make_date(year, month, 1) AS date,
+        f"""SELECT station_complex, station_complex_id, year, month, CAST(make_date(year, month, 1) AS TIMESTAMP) AS date,
                   {r6('csi_6mo_rolling')} AS csi_6mo_rolling
             FROM csi WHERE station_complex IN (SELECT station_complex FROM high_any)
               AND make_date(year, month, 1) >= DATE '2000-06-01'""",
