@@ -6,7 +6,6 @@ from .calendar import (
     TIME_WINDOWS,
     as_timestamp,
     first_of_month,
-    is_peak,
     month_label,
     month_name,
     previous_month_bounds,
@@ -29,7 +28,6 @@ __all__ = [
     "first_of_month",
     "hhi_from_moments",
     "is_missing",
-    "is_peak",
     "month_label",
     "month_name",
     "previous_month_bounds",

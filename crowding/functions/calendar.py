@@ -43,15 +43,6 @@ def time_window(hour: Column) -> Column:
     return expr.otherwise(OTHER_WINDOW)
 
 
-def is_peak(hour: Column) -> Column:
-    """True when the hour falls in a peak window (null hour: false)."""
-    conds = [hour.between(lo, hi) for label, lo, hi in TIME_WINDOWS if label in PEAK_WINDOWS]
-    out = conds[0]
-    for c in conds[1:]:
-        out = out | c
-    return F.coalesce(out, F.lit(False))
-
-
 def first_of_month(year, month) -> Column:
     y = F.col(year) if isinstance(year, str) else year
     m = F.col(month) if isinstance(month, str) else month

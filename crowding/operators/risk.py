@@ -35,13 +35,12 @@ def month_percentiles(df: DataFrame, digits: int = RANK_DIGITS) -> DataFrame:
     partitioning, so Spark sorts twice but shuffles once.
     """
     w = Window.partitionBy("year", "month")
-    return df.withColumn(
-        "csi_pctl",
-        F.percent_rank().over(w.orderBy(stable_round("csi", digits).asc_nulls_first())),
-    ).withColumn(
-        "apt_minutes_pctl",
-        F.percent_rank().over(w.orderBy(stable_round("apt_minutes", digits).asc_nulls_first())),
-    )
+    return df.withColumns({
+        "csi_pctl": F.percent_rank().over(w.orderBy(stable_round("csi", digits).asc_nulls_first())),
+        "apt_minutes_pctl": F.percent_rank().over(
+            w.orderBy(stable_round("apt_minutes", digits).asc_nulls_first())
+        ),
+    })
 
 
 def percentile_flag(df: DataFrame, cut: float = PERCENTILE_CUT) -> DataFrame:
@@ -79,9 +78,10 @@ def rolling_window(rows: int = ROLLING_ROWS):
 def rolling_means(df: DataFrame, rows: int = ROLLING_ROWS) -> DataFrame:
     """6-row rolling means of CSI and APT per station id (nulls ignored)."""
     w = rolling_window(rows)
-    return df.withColumn("csi_6mo_rolling", F.avg("csi").over(w)).withColumn(
-        "apt_6mo_rolling", F.avg("apt_minutes").over(w)
-    )
+    return df.withColumns({
+        "csi_6mo_rolling": F.avg("csi").over(w),
+        "apt_6mo_rolling": F.avg("apt_minutes").over(w),
+    })
 
 
 def calendar_rolling_means(df: DataFrame, months: int = ROLLING_ROWS) -> DataFrame:
@@ -92,9 +92,10 @@ def calendar_rolling_means(df: DataFrame, months: int = ROLLING_ROWS) -> DataFra
         .orderBy(idx)
         .rangeBetween(-(months - 1), Window.currentRow)
     )
-    return df.withColumn("csi_6mo_rolling", F.avg("csi").over(w)).withColumn(
-        "apt_6mo_rolling", F.avg("apt_minutes").over(w)
-    )
+    return df.withColumns({
+        "csi_6mo_rolling": F.avg("csi").over(w),
+        "apt_6mo_rolling": F.avg("apt_minutes").over(w),
+    })
 
 
 CSI_TABLE_COLUMNS = [

@@ -116,6 +116,7 @@ def stress_index(hours: DataFrame, baseline) -> DataFrame:
             F.sum("ridership_sq_sum").over(name_month), F.sum("ridership_sum").over(name_month)
         ),
     ).filter((F.col("peak_rows") > 0) & F.col("station_complex").isNotNull())
+    volume = safe_div(F.col("peak_hr_ridership"), _baseline_value(baseline))
     return with_hhi.select(
         "station_complex",
         "year",
@@ -123,9 +124,10 @@ def stress_index(hours: DataFrame, baseline) -> DataFrame:
         "station_complex_id",
         "borough",
         "peak_hr_ridership",
-        safe_div(F.col("peak_hr_ridership"), _baseline_value(baseline)).alias("volume_component"),
+        volume.alias("volume_component"),
         "hhi_monthly_concentration",
-    ).withColumn("csi", F.col("volume_component") * F.col("hhi_monthly_concentration"))
+        (volume * F.col("hhi_monthly_concentration")).alias("csi"),
+    )
 
 
 def variation_cv(hours: DataFrame) -> DataFrame:
