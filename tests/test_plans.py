@@ -56,3 +56,14 @@ def test_flagship_shuffles_hour_rows_once(plans):
 def test_top_k_reports_plan_as_take_ordered(plans):
     for name in ("flagged_by_csi", "flagged_by_apt", "top_station_months", "flagged_latest_top10"):
         assert "TakeOrderedAndProject" in plans[name], name
+
+
+def test_raw_rows_are_combined_before_the_shuffle(plans):
+    """The hour-level aggregate sums map-side first, so a hot station's raw
+    rows are reduced inside their own tasks before any exchange."""
+    for name in ("hourly_fact", "stress_index", "monthly_total_rank"):
+        p = plans[name]
+        # node details are listed leaves first: the partial sum precedes the
+        # first hash exchange on the station keys
+        first_exchange = p.index("Arguments: hashpartitioning(station_complex")
+        assert "partial_sum(ridership" in p[:first_exchange], name
