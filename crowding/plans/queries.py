@@ -165,19 +165,19 @@ def top_station_months(i: Inputs) -> DataFrame:
 @register("heatmap_long")
 def heatmap_long(i: Inputs) -> DataFrame:
     """Mean ridership by weekday x hour for the top-5 stations."""
-    return reports.heatmap_long(i.hour_features, reports.top_station_months(i.csi_stored))
+    return reports.heatmap_long(i.hours_stored, reports.top_station_months(i.csi_stored))
 
 
 @register("heatmap_pivot")
 def heatmap_pivot(i: Inputs) -> DataFrame:
     """The same means pivoted to 24 hour columns."""
-    return reports.heatmap_pivot(i.hour_features, reports.top_station_months(i.csi_stored))
+    return reports.heatmap_pivot(i.hours_stored, reports.top_station_months(i.csi_stored))
 
 
 @register("heatmap_range")
 def heatmap_range(i: Inputs) -> DataFrame:
     """The shared colour range of the heatmaps."""
-    long = reports.heatmap_long(i.hour_features, reports.top_station_months(i.csi_stored))
+    long = reports.heatmap_long(i.hours_stored, reports.top_station_months(i.csi_stored))
     return reports.heatmap_range(long)
 
 

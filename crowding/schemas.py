@@ -82,6 +82,10 @@ HOURS = _struct(
     ("month", I),
 )
 
+# Hour facts with calendar features only (before month totals and ranks).
+HOUR_FEATURES = _struct(*[(f.name, f.dataType) for f in HOURS.fields
+                          if f.name not in ("monthly_ridership", "monthly_rank")])
+
 # Station-month stress, delay, risk and trend columns.
 CSI = _struct(
     ("station_complex", S),
