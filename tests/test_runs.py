@@ -79,3 +79,22 @@ def test_baseline_round_trip(spark, inputs):
     lake.write_baseline(inputs.baseline, path)
     back = lake.read_baseline(spark, path, 2000).collect()
     assert len(back) == 1 and back[0]["p90_peak_hr_ridership"] == inputs.baseline.first()["p90_peak_hr_ridership"]
+
+
+def test_latest_month_filter_prunes_lake_partitions(spark, inputs):
+    import contextlib
+    import io
+
+    from crowding.operators import reports
+
+    path = scratch_path(spark, "t-prune")
+    lake.write_partitioned(lake.conform(inputs.csi, schemas.CSI), path)
+    csi = lake.read_table(spark, path, schemas.CSI)
+    latest = reports.in_latest_month(csi, csi)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        latest.explain(mode="formatted")
+    scans = [b for b in buf.getvalue().split("\n\n") if "Scan parquet" in b and "PartitionFilters" in b]
+    assert any("Subquery" in b.split("PartitionFilters")[1].split("\n")[0] for b in scans)
+    got = {(r["year"], r["month"]) for r in latest.select("year", "month").distinct().collect()}
+    assert got == {(2001, 10)}
