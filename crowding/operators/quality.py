@@ -137,3 +137,19 @@ def audit_records(report: DataFrame, source_file: str) -> DataFrame:
         F.lit(source_file).alias("source_file"),
         "status",
     )
+
+
+def names_with_several_ids(df: DataFrame) -> DataFrame:
+    """Station names that map to more than one station id, with the id count.
+
+    Month totals and HHI are keyed on the name while peak volume and delay
+    are keyed on the id; such names mix several complexes in their HHI. The
+    report is informational (duplicate names exist in real systems), not a
+    gate. Two aggregates with partial aggregation, no collected id lists.
+    """
+    pairs = df.select("station_complex", "station_complex_id").distinct()
+    return (
+        pairs.groupBy("station_complex")
+        .agg(F.count("station_complex_id").alias("id_count"))
+        .filter(F.col("id_count") > 1)
+    )

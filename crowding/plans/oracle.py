@@ -524,3 +524,9 @@ QUERIES["monthly_landing"] = q(
     (RIDERSHIP,),
 )
 QUERIES["monthly_feed"] = QUERIES["rolling_trend"]
+QUERIES["names_with_several_ids"] = q(
+    """SELECT station_complex, CAST(count(station_complex_id) AS BIGINT) AS id_count
+       FROM (SELECT DISTINCT station_complex, station_complex_id FROM ridership)
+       GROUP BY station_complex HAVING count(station_complex_id) > 1""",
+    (RIDERSHIP,),
+)

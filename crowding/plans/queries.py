@@ -395,3 +395,9 @@ def monthly_feed(i: Inputs) -> DataFrame:
     if feed.exception() is not None:
         raise RuntimeError(f"monthly feed failed: {feed.exception()}")
     return lake.read_table(i.spark, lake.LakePaths(root).csi, schemas.CSI)
+
+
+@register("names_with_several_ids")
+def names_with_several_ids(i: Inputs) -> DataFrame:
+    """Station names keyed to more than one id (informational check)."""
+    return quality.names_with_several_ids(i.raw)

@@ -251,3 +251,11 @@ def test_nan_counts_as_missing(spark):
     df = spark.createDataFrame([(float("nan"),), (1.0,)], "ridership double")
     nulls = quality.quality_report(df, spec).filter("check = 'nulls'").first()
     assert nulls["value"] == 1 and not nulls["passed"]
+
+
+def test_names_with_several_ids(spark):
+    rows = [(ts(2001, 1, 1, 8), "subway", i, n, "B", "p", "f", 1.0, 0.0, None, None, None)
+            for i, n in [("1", "86 St"), ("2", "86 St"), ("3", "Main"), ("3", "Main"), (None, "Solo")]]
+    df = spark.createDataFrame(rows, schemas.RIDERSHIP)
+    got = [(r["station_complex"], r["id_count"]) for r in quality.names_with_several_ids(df).collect()]
+    assert got == [("86 St", 2)]
