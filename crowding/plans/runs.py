@@ -100,7 +100,7 @@ def update_months(spark: SparkSession, raw_new: DataFrame, paths: lake.LakePaths
     lake.write_partitioned(lake.conform(hours_new, schemas.HOURS), paths.hours)
     hours = _months_between(lake.read_table(spark, paths.hours, schemas.HOURS), start, end)
 
-    baseline = lake.read_baseline(spark, paths.baseline, baseline_year)
+    baseline = lake.require_baseline(spark, paths.baseline, baseline_year)
     apt = _apt_months_between(lake.read_table(spark, paths.apt, schemas.APT), start, end)
     new_rows = station_month_table(
         hours, baseline, lake.read_table(spark, paths.route_lookup, schemas.ROUTE_LOOKUP), apt

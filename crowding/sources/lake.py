@@ -103,6 +103,19 @@ def read_baseline(spark: SparkSession, path: str, year: int | None = None) -> Da
     return b.filter(F.col("baseline_year") == year) if year is not None else b
 
 
+def require_baseline(spark: SparkSession, path: str, year: int | None = None) -> DataFrame:
+    """The stored baseline, checked to be exactly one row; raises otherwise.
+
+    A missing baseline would otherwise surface as a silently null CSI.
+    """
+    b = read_baseline(spark, path, year)
+    rows = b.limit(2).count()
+    if rows != 1:
+        which = f"year {year}" if year is not None else "any year"
+        raise ValueError(f"expected one stored baseline for {which} at {path}, found {rows}")
+    return b
+
+
 def append_audit(records: DataFrame, path: str) -> None:
     """Append audit rows; the only append-mode write in the package."""
     conform(records, schemas.AUDIT).coalesce(1).write.mode("append").parquet(path)

@@ -98,3 +98,11 @@ def test_latest_month_filter_prunes_lake_partitions(spark, inputs):
     assert any("Subquery" in b.split("PartitionFilters")[1].split("\n")[0] for b in scans)
     got = {(r["year"], r["month"]) for r in latest.select("year", "month").distinct().collect()}
     assert got == {(2001, 10)}
+
+
+def test_missing_baseline_fails_clearly(spark, inputs):
+    path = scratch_path(spark, "t-nobase")
+    lake.write_baseline(inputs.baseline, path)
+    with pytest.raises(ValueError, match="baseline"):
+        lake.require_baseline(spark, path, 1999)
+    assert lake.require_baseline(spark, path, 2000).count() == 1
