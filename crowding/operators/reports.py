@@ -91,28 +91,36 @@ def top_station_months(csi: DataFrame, k: int = 5) -> DataFrame:
 
 
 # -- C13 ---------------------------------------------------------------------
-def _stations_of(hours: DataFrame, stations: DataFrame) -> DataFrame:
+def _stations_of(hours: DataFrame, stations: DataFrame, year=None, month=None) -> DataFrame:
     # ``stations`` comes from a top-k list: at most k rows, safe to broadcast.
     names = F.broadcast(stations.select("station_complex").distinct())
-    return hours.join(names, "station_complex", "left_semi").filter(
+    out = hours.join(names, "station_complex", "left_semi").filter(
         F.col("day_of_week").isNotNull() & F.col("hour_of_day").isNotNull()
     )
+    if year is not None:
+        out = out.filter(F.col("year") == year)
+    if month is not None:
+        out = out.filter(F.col("month") == month)
+    return out
+
 
+def heatmap_long(hours: DataFrame, stations: DataFrame, year=None, month=None) -> DataFrame:
+    """Mean hourly ridership by station x weekday x hour.
 
-def heatmap_long(hours: DataFrame, stations: DataFrame) -> DataFrame:
-    """Mean hourly ridership by station x weekday x hour, over all months."""
+    All months by default (the dashboard's behaviour); ``year``/``month``
+    restrict it to one period."""
     return (
-        _stations_of(hours, stations)
+        _stations_of(hours, stations, year, month)
         .groupBy("station_complex", "day_of_week", "hour_of_day")
         .agg(F.avg("ridership").alias("avg_ridership"))
     )
 
 
-def heatmap_pivot(hours: DataFrame, stations: DataFrame) -> DataFrame:
+def heatmap_pivot(hours: DataFrame, stations: DataFrame, year=None, month=None) -> DataFrame:
     """Weekday rows x 24 hour columns h00..h23 of mean ridership (null if empty)."""
     hours_list = list(range(24))
     wide = (
-        _stations_of(hours, stations)
+        _stations_of(hours, stations, year, month)
         .groupBy("station_complex", "day_of_week")
         .pivot("hour_of_day", hours_list)
         .agg(F.avg("ridership"))

@@ -111,3 +111,13 @@ def test_hhi_bounds_and_share_sum(spark, values):
     assert 1 / len(values) - 1e-12 <= hhi <= 1 + 1e-12
     assert hhi == pytest.approx(sum((v / total) ** 2 for v in nonzero))
     assert sum(v / total for v in values) == pytest.approx(1.0)
+
+
+def test_heatmap_month_argument(spark):
+    rows = [(dt.datetime(2001, m, 7, 8), "subway", "1", "S", "B", "p", "f", float(m), 0.0, None, None, None)
+            for m in (9, 10)]
+    hours = features.time_features(features.hourly_fact(spark.createDataFrame(rows, schemas.RIDERSHIP)))
+    st_df = spark.createDataFrame([("S",)], "station_complex string")
+    all_months = reports.heatmap_long(hours, st_df).collect()
+    october = reports.heatmap_long(hours, st_df, year=2001, month=10).collect()
+    assert len(all_months) == 2 and [r["avg_ridership"] for r in october] == [10.0]
