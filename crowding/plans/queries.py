@@ -1,8 +1,10 @@
 """Registered queries: (spark, sf_dir) -> DataFrame, one per operator group.
 
 Each query reads the driver's whole tables through the fixture mapping and
-returns a lazy DataFrame. Double outputs are snapped to six decimals with
-``stable_round`` so results compare exactly across engines.
+returns a DataFrame. Most are lazy plans; the lake, landing and report
+queries first write their inputs to the shared folder, as a deployment's
+stages do. Double outputs are snapped to six decimals with ``stable_round``
+so results compare exactly across engines.
 """
 
 from __future__ import annotations
@@ -13,8 +15,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.numeric import round_doubles
 from .. import schemas
+from ..functions.numeric import round_doubles
 from ..operators import delay, features, quality, reports, risk, stress
 from ..session import scratch_path
 from ..sources import fixtures, lake, landing, slices
