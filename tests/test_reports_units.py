@@ -121,3 +121,25 @@ def test_heatmap_month_argument(spark):
     all_months = reports.heatmap_long(hours, st_df).collect()
     october = reports.heatmap_long(hours, st_df, year=2001, month=10).collect()
     assert len(all_months) == 2 and [r["avg_ridership"] for r in october] == [10.0]
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.integers(min_value=0, max_value=5)), min_size=1, max_size=25))
+def test_percent_rank_matches_brute_force(spark, values):
+    from crowding.operators import risk
+
+    rows = [(f"s{i}", f"id{i}", "B", 2001, 1, 1.0, 1.0, 1.0, 1.0,
+             None if v is None else float(v)) for i, v in enumerate(values)]
+    df = spark.createDataFrame(
+        rows,
+        "station_complex string, station_complex_id string, borough string, year int, month int, "
+        "peak_hr_ridership double, volume_component double, hhi_monthly_concentration double, "
+        "csi double, apt_minutes double",
+    )
+    got = {r["station_complex"]: r["apt_minutes_pctl"] for r in risk.month_percentiles(df).collect()}
+    n = len(values)
+    key = [(-1 if v is None else v) for v in values]  # nulls first
+    for i, k in enumerate(key):
+        smaller = sum(1 for other in key if other < k)
+        want = 0.0 if n == 1 else smaller / (n - 1)
+        assert got[f"s{i}"] == pytest.approx(want)
