@@ -101,14 +101,12 @@ def _baseline_value(baseline) -> F.Column:
     return baseline.select(F.col("p90_peak_hr_ridership").cast("double")).scalar()
 
 
-def stress_index(hours: DataFrame, baseline) -> DataFrame:
-    """CSI per station-month: (peak volume / baseline p90) x HHI.
+def stress_from_moments(moments: DataFrame, baseline) -> DataFrame:
+    """CSI rows from a station-month moments table (see ``station_month_moments``).
 
-    ``baseline`` is a one-row DataFrame from ``baseline_p90``/``read_baseline``
-    or a number. A station-month without any peak-window hour has no row (the
-    inner-join semantics of peak volume with HHI); a zero month gives null HHI.
+    Lets a run aggregate the hour rows once, store the small moments table and
+    derive both the baseline and the CSI from it.
     """
-    moments = station_month_moments(hours)
     name_month = Window.partitionBy(*NAME_MONTH)
     with_hhi = moments.withColumn(
         "hhi_monthly_concentration",
@@ -130,6 +128,21 @@ def stress_index(hours: DataFrame, baseline) -> DataFrame:
     )
 
 
+def stress_index(hours: DataFrame, baseline) -> DataFrame:
+    """CSI per station-month: (peak volume / baseline p90) x HHI.
+
+    ``baseline`` is a one-row DataFrame from ``baseline_p90``/``read_baseline``
+    or a number. A station-month without any peak-window hour has no row (the
+    inner-join semantics of peak volume with HHI); a zero month gives null HHI.
+    """
+    return stress_from_moments(station_month_moments(hours), baseline)
+
+
+def peak_from_moments(moments: DataFrame) -> DataFrame:
+    """The peak-volume table (station-months with a peak hour) from moments."""
+    return moments.filter(F.col("peak_rows") > 0).select(*STATION_MONTH, "peak_hr_ridership")
+
+
 def variation_cv(hours: DataFrame) -> DataFrame:
     """Coefficient of variation of hourly ridership per station-name month.
 

@@ -53,9 +53,23 @@ class Inputs:
     def baseline(self) -> DataFrame:
         return stress.baseline_p90(stress.peak_volume(self.hour_features), self.baseline_year)
 
+    @cached_property
+    def moments_stored(self) -> DataFrame:
+        """Station-month moments, written once to the shared folder and read back.
+
+        The one pass over the raw rows; the baseline (a scalar subquery) and
+        the CSI then both read this small table instead of each re-scanning
+        the raw extract.
+        """
+        path = scratch_path(self.spark, "station-month-moments")
+        lake.write_table(stress.station_month_moments(self.hour_features), path)
+        return lake.read_table(self.spark, path, schemas.MOMENTS)
+
     @cached_property
     def stress(self) -> DataFrame:
-        return stress.stress_index(self.hour_features, self.baseline)
+        moments = self.moments_stored
+        baseline = stress.baseline_p90(stress.peak_from_moments(moments), self.baseline_year)
+        return stress.stress_from_moments(moments, baseline)
 
     @cached_property
     def bridge(self) -> DataFrame:

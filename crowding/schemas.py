@@ -108,6 +108,19 @@ CSI = _struct(
     ("month", I),
 )
 
+# Station-month moments: peak volume, peak-row count and the HHI moments.
+MOMENTS = _struct(
+    ("station_complex", S),
+    ("station_complex_id", S),
+    ("borough", S),
+    ("year", I),
+    ("month", I),
+    ("peak_hr_ridership", D),
+    ("peak_rows", L),
+    ("ridership_sum", D),
+    ("ridership_sq_sum", D),
+)
+
 BASELINE = _struct(("baseline_year", I), ("p90_peak_hr_ridership", D))
 
 AUDIT = _struct(

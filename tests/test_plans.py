@@ -43,14 +43,21 @@ def test_fact_scans_push_filters_and_prune_columns(plans):
                 assert "PushedFilters: [" in b, name
 
 
-def test_flagship_shuffles_hour_rows_once(plans):
-    p = plans["stress_index"]
-    tree = p.split("\n\n")[0]
+def test_stress_index_shuffles_hour_rows_once(inputs):
+    from crowding.operators import stress
+
+    tree = plan_of(stress.stress_index(inputs.hour_features, 100.0)).split("\n\n")[0]
     # hour-grain aggregate, station-month moments, station-name-month window
-    # (the baseline subquery has its own hour-grain aggregate and percentile)
-    main = tree.split("Subquery")[0]
-    assert main.count("- Exchange (") == 3, main
-    assert "Window" in main and "SortMergeJoin" not in main
+    assert tree.count("- Exchange (") == 3, tree
+    assert "Window" in tree and "SortMergeJoin" not in tree
+
+
+def test_flagship_reads_stored_moments(plans):
+    tree = plans["stress_index"].split("\n\n")[0].split("Subquery")[0]
+    # the raw extract was aggregated once into the stored moments; the CSI
+    # plan only shuffles station-month rows for the HHI window
+    assert tree.count("- Exchange (") == 1, tree
+    assert "lineitem" not in plans["stress_index"]
 
 
 def test_top_k_reports_plan_as_take_ordered(plans):
@@ -61,7 +68,7 @@ def test_top_k_reports_plan_as_take_ordered(plans):
 def test_raw_rows_are_combined_before_the_shuffle(plans):
     """The hour-level aggregate sums map-side first, so a hot station's raw
     rows are reduced inside their own tasks before any exchange."""
-    for name in ("hourly_fact", "stress_index", "monthly_total_rank"):
+    for name in ("hourly_fact", "monthly_total_rank", "concentration_hhi"):
         p = plans[name]
         # node details are listed leaves first: the partial sum precedes the
         # first hash exchange on the station keys
