@@ -4,7 +4,6 @@ import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from crowding import schemas
 from crowding.operators import delay, features, quality, reports, risk, stress
