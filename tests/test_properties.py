@@ -44,3 +44,14 @@ def test_rows_survive_hour_join(inputs):
     from crowding.operators import features
 
     assert inputs.hours.count() == features.hourly_fact(inputs.raw).count()
+
+
+def test_stress_from_stored_moments_equals_stress_index(inputs):
+    from crowding.operators import stress
+
+    direct = stress.stress_index(inputs.hour_features, 123.0)
+    stored = stress.stress_from_moments(inputs.moments_stored, 123.0)
+    cols = ["station_complex", "station_complex_id", "borough", "year", "month"]
+    a = direct.select(*cols, F.round("csi", 12).alias("csi"))
+    b = stored.select(*cols, F.round("csi", 12).alias("csi"))
+    assert a.count() == b.count() and a.exceptAll(b).count() == 0
