@@ -151,3 +151,27 @@ def shingle_hashes(h: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray
 def as_long(h: np.ndarray) -> np.ndarray:
     """The same 64 bits as Spark's signed long."""
     return h.view(np.int64)
+
+
+_run_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def run_hashes(h: np.ndarray, at: np.ndarray, length: int, mul: int) -> np.ndarray:
+    """Hash of the ``length`` entries of ``h`` from each position in ``at``.
+
+    ``mul`` is odd; equal runs have equal hashes wherever they stand.
+    """
+    n = len(h) + 1
+    if mul not in _run_powers or len(_run_powers[mul][0]) < n:
+        both = tuple(
+            np.cumprod(np.concatenate([[np.uint64(1)], np.full(max(n, 1 << 16), x, np.uint64)]), dtype=np.uint64)
+            for x in (mul, pow(mul, -1, 1 << 64))
+        )
+        if n > 1 << 21:
+            up, down = both
+        else:
+            up, down = _run_powers[mul] = both
+    else:
+        up, down = _run_powers[mul]
+    total = np.concatenate([[np.uint64(0)], np.cumsum(h * up[: n - 1], dtype=np.uint64)])
+    return fmix((total[at + length] - total[at]) * down[at])

@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, packing, preference, sharding, topk
+from . import bpe, minhash, packing, preference, sharding, suffixes, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -43,6 +43,13 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class of every document."""
+    out = minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "class_id", "class_size", "keeps")
+
+
 @_query
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pack all documents into sequences of 1024 tokens."""
@@ -54,6 +61,13 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def op7_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words or more that occur in another place, kept or not."""
+    out = suffixes.repeated_passages(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "start_word", "n_words", "keeps", "source_id")
+
+
 @_query
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard all documents by the hash of their id, within SHARD_BYTES of text."""
