@@ -29,6 +29,8 @@ CORE_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "10MB",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
+    # Rows of a batch sent to a Python worker: rows may hold whole documents.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
 
