@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, minhash, packing, preference, sharding, suffixes, topk
+from . import bpe, fingerprint, minhash, packing, preference, sharding, suffixes, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -50,6 +50,16 @@ def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "class_id", "class_size", "keeps")
 
 
+@_query
+def op4_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint every document and its edited text; likeness to both neighbours."""
+    out = fingerprint.compare_in_order(_table(spark, sf_dir, "documents"))
+    return out.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+        "fingerprint", "edited_fingerprint", "near_edited", "near_next",
+    )
+
+
 @_query
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pack all documents into sequences of 1024 tokens."""
