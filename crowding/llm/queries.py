@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprint, minhash, packing, preference, sharding, suffixes, topk
+from . import bpe, fingerprint, minhash, packing, preference, quality, sharding, suffixes, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -43,6 +43,13 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document by a scorer trained on weak labels."""
+    docs = _table(spark, sf_dir, "documents")
+    return quality.classify(docs, quality.fit(docs))
+
+
 @_query
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class of every document."""
