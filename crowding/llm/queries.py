@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprint, minhash, packing, preference, quality, sharding, suffixes, topk
+from . import bpe, fingerprint, langid, minhash, packing, preference, quality, sharding, suffixes, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -67,6 +67,15 @@ def op4_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; the model learns from three quarters of them."""
+    docs = _table(spark, sf_dir, "documents")
+    out = F.col("doc_id")
+    model = langid.fit(docs.where(out.isNotNull() & ~langid.held_out(out)))
+    return langid.predict(docs, model).select("doc_id", langid.held_out(out).alias("held_out"), "lang_pred", "score")
+
+
 @_query
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pack all documents into sequences of 1024 tokens."""
