@@ -168,21 +168,35 @@ def posterior(pattern: np.ndarray, log_vote: np.ndarray, share: float) -> np.nda
 _TRI = [fmix(np.arange(256, dtype=np.uint64) + np.uint64(s << 8)) for s in (1, 2, 3)]
 
 
-def _trigrams(data: np.ndarray) -> np.ndarray:
-    """Hashed feature of the byte trigram that begins at each byte."""
+def _trigrams(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Hashed feature of the trigram that begins at each byte, within its document."""
     n = len(data)
-    h = _TRI[0][data].copy()
-    h[: n - 1] += _TRI[1][data[1:]]
-    h[: n - 2] += _TRI[2][data[2:]]
+    end = offsets[1:][np.diff(offsets) > 0] - 1
+    second, third = np.zeros(n + 1, np.uint64), np.zeros(n + 2, np.uint64)
+    second[: n - 1] = _TRI[1][data[1:]]
+    third[: n - 2] = _TRI[2][data[2:]]
+    second[end] = 0
+    third[end] = 0
+    third[end[end > 0] - 1] = 0
+    h = _TRI[0][data] + second[:n] + third[:n]
     return (h >> np.uint64(40)).astype(np.int64) & (FEATURES - 1)
 
 
+def _sum(values: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """Sum between neighbouring edges, the same wherever the values stand."""
+    out = np.zeros(len(edges) - 1)
+    some = np.diff(edges) > 0
+    if some.any():
+        out[some] = np.add.reduceat(values, edges[:-1][some])
+    return out
+
+
 def features(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Rows of FEATURES shares: hashed byte trigrams, then word events."""
     n = len(offsets) - 1
     size = np.diff(offsets)
     doc = np.repeat(np.arange(n), size)
-    bucket = _trigrams(data)
+    bucket = _trigrams(data, offsets)
     out = np.bincount(doc * FEATURES + bucket, minlength=n * FEATURES).reshape(n, FEATURES) / np.maximum(size, 1)[:, None]
     event, first = _events(data, offsets)
     owner = np.repeat(np.arange(n), np.diff(first))
@@ -234,14 +248,12 @@ class QualityModel:
 
     def scores(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """P(good) of each document by the scorer; 0 without words."""
-        bucket = _trigrams(data)
-        total = np.concatenate([[0.0], np.cumsum(self.weights[bucket])])
+        bucket = _trigrams(data, offsets)
         size = np.diff(offsets)
-        z = (total[offsets[1:]] - total[offsets[:-1]]) / np.maximum(size, 1)
         event, first = _events(data, offsets)
-        total = np.concatenate([[0.0], np.cumsum(self.weights[event])])
         count = np.diff(first)
-        z += (total[first[1:]] - total[first[:-1]]) / np.maximum(count, 1) + self.bias
+        z = _sum(self.weights[bucket], offsets) / np.maximum(size, 1) + self.bias
+        z += _sum(self.weights[event], first) / np.maximum(count, 1)
         # A short text is little evidence: its score stays near the share of good ones.
         prior = np.log(self.share / (1 - self.share))
         z = prior + (z - prior) * size / (size + SHRINK_BYTES)
