@@ -1,39 +1 @@
 """Column -> Column helpers."""
-
-from .calendar import (
-    OTHER_WINDOW,
-    PEAK_WINDOWS,
-    TIME_WINDOWS,
-    as_timestamp,
-    first_of_month,
-    month_label,
-    month_name,
-    previous_month_bounds,
-    time_window,
-)
-from .numeric import (
-    hhi_from_moments,
-    is_missing,
-    round_doubles,
-    safe_div,
-    stable_round,
-    weighted_mean,
-)
-
-__all__ = [
-    "OTHER_WINDOW",
-    "PEAK_WINDOWS",
-    "TIME_WINDOWS",
-    "as_timestamp",
-    "first_of_month",
-    "hhi_from_moments",
-    "is_missing",
-    "month_label",
-    "month_name",
-    "previous_month_bounds",
-    "round_doubles",
-    "safe_div",
-    "stable_round",
-    "time_window",
-    "weighted_mean",
-]

@@ -16,10 +16,27 @@ def stable_round(col, digits: int) -> Column:
     Sums of doubles differ in their last bits with summation order (and so
     between engines and runs). Snapping to ``digits`` decimals makes ranking
     ties and output values reproducible; the 0.5001 bias keeps values that sit
-    exactly on a half from going different ways in different engines.
+    exactly on a half from going different ways in different engines. Values
+    whose grid steps a double can't count (from 2**53 of them on), NaN and
+    infinities stay as they are.
     """
     scale = float(10**digits)
-    return F.floor(_c(col) * F.lit(scale) + F.lit(0.5001)) / F.lit(scale)
+    steps = _c(col) * F.lit(scale) + F.lit(0.5001)
+    return F.when(F.abs(steps) < F.lit(2.0**53), F.floor(steps) / F.lit(scale)).otherwise(
+        _c(col).cast("double")
+    )
+
+
+def rank_key(col) -> Column:
+    """The value with its 41 leading bits, about 12 significant digits.
+
+    Sums of doubles differ in their last bits with the order of summation;
+    ranks and top-k compare this key, so such differences make no order. The
+    grid is relative: small values keep as many digits as large ones.
+    """
+    x = _c(col).cast("double")
+    up = x * F.lit(4097.0)
+    return F.when(F.abs(x) < F.lit(1e300), up - (up - x)).otherwise(x)
 
 
 def safe_div(num, den) -> Column:

@@ -1,7 +1,7 @@
 """Data-quality gates: row floor, nulls in critical columns, unknown names.
 
 ``quality_report`` is lazy and computes every check of a dataset in one scan
-(one global aggregate; the unknown-name count enters as a scalar subquery).
+(one aggregate by station name, then a global one).
 ``enforce`` is the only action: it fetches the failed checks (a handful of
 rows) and raises.
 """
@@ -73,14 +73,26 @@ def quality_report(df: DataFrame, spec: GateSpec, known: DataFrame | None = None
     """One row per check: (dataset, check, column, value, threshold, passed).
 
     Null counts include NaN on floating columns. A critical column missing
-    from the input is a failed check, not an error.
+    from the input is a failed check, not an error. With a name check, counts
+    are first taken per station name (partial sums in each task), the names are
+    looked up in the known list, and the few rows left are added up.
     """
     dtypes = dict(df.dtypes)
     aggs = [F.count(F.lit(1)).alias("row_count")]
     for c in spec.critical_cols:
         if c in dtypes:
             aggs.append(F.count_if(is_missing(c, dtypes[c])).alias(f"nulls__{c}"))
-    stats = df.agg(*aggs)
+    named = spec.name_check and known is not None
+    if named:
+        names = known.select(F.col("station_complex").alias("known_name")).distinct()
+        by_name = df.groupBy("station_complex").agg(*aggs)
+        counts = [c for c in by_name.columns if c != "station_complex"]
+        stats = by_name.join(names, F.col("station_complex") == F.col("known_name"), "left").agg(
+            *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counts],
+            F.count_if(F.col("known_name").isNull()).alias("unknown"),
+        )
+    else:
+        stats = df.agg(*aggs)
 
     def row(check, column, value, threshold, passed):
         return F.struct(
@@ -99,8 +111,8 @@ def quality_report(df: DataFrame, spec: GateSpec, known: DataFrame | None = None
             checks.append(row("nulls", c, v, 0, v == 0))
         else:
             checks.append(row("missing_column", c, F.lit(None), None, F.lit(False)))
-    if spec.name_check and known is not None:
-        unknown = unknown_names(df, known).agg(F.count(F.lit(1))).scalar()
+    if named:
+        unknown = F.col("unknown")
         checks.append(
             row("unknown_names", "station_complex", unknown, spec.max_unknown, unknown <= spec.max_unknown)
         )
@@ -128,10 +140,11 @@ def gate_status(report: DataFrame) -> DataFrame:
     )
 
 
-def audit_records(report: DataFrame, source_file: str) -> DataFrame:
-    """Audit rows for a gate report: run time (UTC, ISO text) and status."""
+def audit_records(report: DataFrame, source_file: str, run_time: str | None = None) -> DataFrame:
+    """Audit rows for a gate report: run time (UTC, ISO text; default: now) and status."""
+    now = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
     return gate_status(report).select(
-        F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("run_date"),
+        (F.lit(run_time) if run_time else now).alias("run_date"),
         "dataset",
         "rows_ingested",
         F.lit(source_file).alias("source_file"),

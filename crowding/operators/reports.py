@@ -2,9 +2,8 @@
 
 Each report is ``(hours, csi, **params) -> DataFrame`` and stays lazy. Ties
 in every top-k are broken by station name, then year and month, so results
-do not depend on file order. Lists feeding a membership filter are bounded
-by their ``k`` and broadcast; the latest month enters as a scalar subquery,
-which also prunes (year, month) partitions of a lake scan at run time.
+do not depend on file order. The latest month enters as scalar subqueries,
+which also prune (year, month) partitions of a lake scan at run time.
 """
 
 from __future__ import annotations
@@ -15,30 +14,33 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.calendar import first_of_month, month_name
-from ..functions.numeric import is_missing, stable_round
+from ..functions.numeric import is_missing, rank_key, stable_round
+from ..sources.slices import time_range
 from ._joins import join_on_keys
+from .features import keep_mode
 
 NAME_MONTH = ["station_complex", "year", "month"]
 TREND_METRICS = ["peak_hr_ridership", "csi_6mo_rolling", "apt_6mo_rolling"]
 
 
-def _key(col: str) -> Column:
-    """Ranking key: the metric snapped to 9 decimals (see ``stable_round``)."""
-    return stable_round(col, 9)
-
-
 def _present(col: str) -> Column:
     return ~is_missing(col, "double")
 
 
 # -- C11 ---------------------------------------------------------------------
-def borough_totals(hours: DataFrame, years) -> DataFrame:
-    """Total ridership per borough for each requested year, largest first."""
+def borough_totals(raw: DataFrame, first_year: int, last_year: int) -> DataFrame:
+    """Total subway ridership per borough of each year from first to last, largest first.
+
+    Raw rows add up straight to (year, borough); the time range is a plain
+    comparison, so it reaches the scan.
+    """
+    span = time_range(raw, "transit_timestamp", _dt.date(first_year, 1, 1), _dt.date(last_year + 1, 1, 1))
     return (
-        hours.filter(F.col("year").isin(*years) & F.col("borough").isNotNull())
-        .groupBy("year", "borough")
+        keep_mode(span)
+        .filter(F.col("borough").isNotNull())
+        .groupBy(F.year("transit_timestamp").alias("year"), "borough")
         .agg(F.sum("ridership").alias("total_ridership"))
-        .orderBy("year", F.col("total_ridership").desc())
+        .orderBy("year", rank_key("total_ridership").desc(), "borough")
     )
 
 
@@ -51,7 +53,7 @@ def flagged_by_csi(csi: DataFrame, k: int = 10) -> DataFrame:
             "station_complex", "year", "month", "volume_component",
             "hhi_monthly_concentration", "csi", "apt_minutes",
         )
-        .orderBy(_key("csi").desc_nulls_last(), "station_complex", "year", "month")
+        .orderBy(rank_key("csi").desc_nulls_last(), "station_complex", "year", "month")
         .limit(k)
     )
 
@@ -61,7 +63,7 @@ def flagged_by_apt(csi: DataFrame, k: int = 10) -> DataFrame:
     return (
         csi.filter(F.col("danger_zone") == 1)
         .select("station_complex", "year", "month", "csi", "apt_minutes")
-        .orderBy(_key("apt_minutes").desc_nulls_last(), "station_complex", "year", "month")
+        .orderBy(rank_key("apt_minutes").desc_nulls_last(), "station_complex", "year", "month")
         .limit(k)
     )
 
@@ -74,7 +76,7 @@ def best_row_per_station(df: DataFrame, metric: str, keep: list[str]) -> DataFra
     aggregation per task, no sort of a station's rows; rows with a null or
     NaN metric are skipped.
     """
-    order = F.struct(_key(metric), -F.col("year"), -F.col("month"))
+    order = F.struct(rank_key(metric), -F.col("year"), -F.col("month"))
     best = F.max_by(F.struct(*[F.col(c) for c in keep]), order)
     return (
         df.filter(_present(metric))
@@ -87,13 +89,12 @@ def best_row_per_station(df: DataFrame, metric: str, keep: list[str]) -> DataFra
 def top_station_months(csi: DataFrame, k: int = 5) -> DataFrame:
     """Stations whose best month has the highest CSI: top k of the argmax rows."""
     best = best_row_per_station(csi, "csi", ["year", "month", "csi"])
-    return best.orderBy(_key("csi").desc(), "station_complex").limit(k)
+    return best.orderBy(rank_key("csi").desc(), "station_complex").limit(k)
 
 
 # -- C13 ---------------------------------------------------------------------
 def _stations_of(hours: DataFrame, stations: DataFrame, year=None, month=None) -> DataFrame:
-    # ``stations`` comes from a top-k list: at most k rows, safe to broadcast.
-    names = F.broadcast(stations.select("station_complex").distinct())
+    names = stations.select("station_complex").distinct()
     out = hours.join(names, "station_complex", "left_semi").filter(
         F.col("day_of_week").isNotNull() & F.col("hour_of_day").isNotNull()
     )
@@ -152,20 +153,27 @@ def latest_month(csi: DataFrame) -> DataFrame:
     return latest_month_key(csi).withColumn("month_name", month_name("year", "month"))
 
 
-def in_latest_month(df: DataFrame, csi: DataFrame) -> DataFrame:
-    """Rows of ``df`` in the latest month of ``csi`` (scalar-subquery filter)."""
-    latest = csi.agg(F.max(F.struct("year", "month")).alias("ym")).scalar()
-    return df.filter(F.struct("year", "month") == latest)
+def in_month(df: DataFrame, csi: DataFrame, month: tuple[int, int] | None = None) -> DataFrame:
+    """Rows of ``df`` in ``month`` (year, month); by default the latest of ``csi``.
+
+    Plain comparisons of the partition columns with literals or scalar
+    subqueries, so a scan of a table partitioned by (year, month) reads one.
+    """
+    if month is not None:
+        year, number = (F.lit(v) for v in month)
+    else:
+        latest = csi.agg(F.max(F.struct("year", "month")).alias("ym"))
+        year, number = latest.select("ym.year").scalar(), latest.select("ym.month").scalar()
+    return df.filter((F.col("year") == year) & (F.col("month") == number))
 
 
-def latest_month_table(csi: DataFrame, hours: DataFrame) -> DataFrame:
-    """Latest month's CSI rows with the station's monthly ridership."""
-    totals = (
-        in_latest_month(hours, csi)
-        .select(*NAME_MONTH, "monthly_ridership")
-        .dropDuplicates(NAME_MONTH)
-    )
-    return join_on_keys(in_latest_month(csi, csi), totals, NAME_MONTH, how="left")
+def month_table(csi: DataFrame, totals: DataFrame, month: tuple[int, int] | None = None) -> DataFrame:
+    """A month's CSI rows with the station's monthly ridership (default: the latest).
+
+    ``totals`` has ``monthly_ridership`` per station name, year and month.
+    """
+    own = in_month(totals, csi, month).select(*NAME_MONTH, "monthly_ridership")
+    return join_on_keys(in_month(csi, csi, month), own, NAME_MONTH, how="left")
 
 
 # -- C15 ---------------------------------------------------------------------
@@ -176,7 +184,7 @@ def _fmt(col: str, digits: int) -> Column:
 def top_per_borough(latest: DataFrame, boroughs, k: int = 5) -> DataFrame:
     """Top k stations by monthly ridership in each listed borough, in list order."""
     w = Window.partitionBy("borough").orderBy(
-        F.col("monthly_ridership").desc(), F.col("station_complex")
+        rank_key("monthly_ridership").desc(), F.col("station_complex")
     )
     order = F.array_position(F.array(*[F.lit(b) for b in boroughs]), F.col("borough"))
     return (
@@ -208,7 +216,7 @@ def flagged_latest_top(latest: DataFrame, k: int = 10) -> DataFrame:
     """Top k flagged stations of the latest month by monthly ridership."""
     return (
         latest.filter((F.col("danger_zone") == 1) & _present("monthly_ridership"))
-        .orderBy(F.col("monthly_ridership").desc(), "station_complex")
+        .orderBy(rank_key("monthly_ridership").desc(), "station_complex")
         .limit(k)
         .select(
             "station_complex", "borough", "year", "month", "monthly_ridership",
@@ -244,7 +252,7 @@ def high_rolling_stations(
     if flagged_only:
         cond = cond & (F.col("danger_zone") == 1)
     best = best_row_per_station(csi.filter(cond), "csi_6mo_rolling", ["year", "month", "csi_6mo_rolling"])
-    return best.orderBy(_key("csi_6mo_rolling").desc(), "station_complex").limit(k)
+    return best.orderBy(rank_key("csi_6mo_rolling").desc(), "station_complex").limit(k)
 
 
 def trend_rows(csi: DataFrame, stations: DataFrame, start: _dt.date) -> DataFrame:
@@ -252,7 +260,7 @@ def trend_rows(csi: DataFrame, stations: DataFrame, start: _dt.date) -> DataFram
 
     ``date`` is the first of the month as a zone-less timestamp (a plotting
     axis value, like a parsed date-time)."""
-    names = F.broadcast(stations.select("station_complex").distinct())
+    names = stations.select("station_complex").distinct()
     return (
         csi.join(names, "station_complex", "left_semi")
         .withColumn("date", first_of_month("year", "month").cast("timestamp_ntz"))

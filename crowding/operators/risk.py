@@ -5,12 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numeric import stable_round
+from ..functions.numeric import rank_key
 from ._joins import join_on_keys
 
-# Ranking keys are snapped to 9 decimals so ties do not depend on the order
-# in which float sums were added up.
-RANK_DIGITS = 9
 PERCENTILE_CUT = 0.9
 # The documented absolute thresholds of the alternative rule.
 CSI_THRESHOLD = 0.65
@@ -27,7 +24,7 @@ def attach_delay(csi: DataFrame, delay: DataFrame) -> DataFrame:
     return join_on_keys(csi, keyed, ["station_complex_id", "year", "month"], how="left")
 
 
-def month_percentiles(df: DataFrame, digits: int = RANK_DIGITS) -> DataFrame:
+def month_percentiles(df: DataFrame) -> DataFrame:
     """percent_rank of CSI and of APT within each (year, month).
 
     Nulls sort first and still count in n: a station without APT gets
@@ -36,9 +33,9 @@ def month_percentiles(df: DataFrame, digits: int = RANK_DIGITS) -> DataFrame:
     """
     w = Window.partitionBy("year", "month")
     return df.withColumns({
-        "csi_pctl": F.percent_rank().over(w.orderBy(stable_round("csi", digits).asc_nulls_first())),
+        "csi_pctl": F.percent_rank().over(w.orderBy(rank_key("csi").asc_nulls_first())),
         "apt_minutes_pctl": F.percent_rank().over(
-            w.orderBy(stable_round("apt_minutes", digits).asc_nulls_first())
+            w.orderBy(rank_key("apt_minutes").asc_nulls_first())
         ),
     })
 

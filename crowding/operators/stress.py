@@ -17,18 +17,6 @@ STATION_MONTH = ["station_complex", "station_complex_id", "borough", "year", "mo
 BASELINE_ACCURACY = 100_000
 BASELINE_QUANTILE = 0.9
 
-CSI_COLUMNS = [
-    "station_complex",
-    "year",
-    "month",
-    "station_complex_id",
-    "borough",
-    "peak_hr_ridership",
-    "volume_component",
-    "hhi_monthly_concentration",
-    "csi",
-]
-
 
 def _is_peak_row() -> F.Column:
     return F.col("time_window").isin(*PEAK_WINDOWS)
@@ -143,6 +131,11 @@ def peak_from_moments(moments: DataFrame) -> DataFrame:
     return moments.filter(F.col("peak_rows") > 0).select(*STATION_MONTH, "peak_hr_ridership")
 
 
+def month_totals(moments: DataFrame) -> DataFrame:
+    """Monthly ridership per station name from station-month moments."""
+    return moments.groupBy(*NAME_MONTH).agg(F.sum("ridership_sum").alias("monthly_ridership"))
+
+
 def variation_cv(hours: DataFrame) -> DataFrame:
     """Coefficient of variation of hourly ridership per station-name month.
 

@@ -8,14 +8,16 @@ they need, so a query pays only for its own part of the plan.
 
 from __future__ import annotations
 
+import datetime as _dt
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import schemas
-from ..operators import delay, features, reports, risk, stress
+from ..operators import delay, features, risk, stress
 from ..session import scratch_path
 from ..sources import fixtures, lake
+from ..sources.slices import time_range
 
 
 class Inputs:
@@ -51,7 +53,11 @@ class Inputs:
     # -- station-month tables ---------------------------------------------------
     @cached_property
     def baseline(self) -> DataFrame:
-        return stress.baseline_p90(stress.peak_volume(self.hour_features), self.baseline_year)
+        """From the baseline year's rows alone: the range reaches the scan."""
+        year = self.baseline_year
+        raw = time_range(self.raw, "transit_timestamp", _dt.date(year, 1, 1), _dt.date(year + 1, 1, 1))
+        hours = features.time_features(features.hourly_fact(raw))
+        return stress.baseline_p90(stress.peak_volume(hours), year)
 
     @cached_property
     def moments_stored(self) -> DataFrame:
@@ -89,39 +95,18 @@ class Inputs:
         return risk.rolling_means(self.flagged).select(*risk.CSI_TABLE_COLUMNS)
 
     # -- stored tables for the report queries ------------------------------
-    @cached_property
-    def hours_stored(self) -> DataFrame:
-        """Hour facts with features, written once to the shared folder.
-
-        Reports, like the lake's readers, start from the stored hour table:
-        one pass over the raw extract, then parallel reads of the written
-        files by every consumer (baseline, CSI, latest month, heatmaps).
-        """
-        path = scratch_path(self.spark, "hour-features")
-        lake.write_table(lake.conform(self.hour_features, schemas.HOUR_FEATURES), path)
-        return lake.read_table(self.spark, path, schemas.HOUR_FEATURES)
-
     @cached_property
     def csi_stored(self) -> DataFrame:
-        """The station-month table computed from the stored hours, written, read back.
+        """The station-month table, written by (year, month) and read back.
 
-        Computed once per query instead of once per reference in a report's
-        plan; the lineage back to the raw extract is cut.
+        Computed once per query from the stored moments instead of once per
+        reference in a report's plan; a report of one month reads one folder.
         """
-        hours = self.hours_stored
-        baseline = stress.baseline_p90(stress.peak_volume(hours), self.baseline_year)
-        flagged = risk.risk_flag(stress.stress_index(hours, baseline), self.delay)
-        table = risk.rolling_means(flagged).select(*risk.CSI_TABLE_COLUMNS)
         path = scratch_path(self.spark, "csi-table")
-        lake.write_table(lake.conform(table, schemas.CSI), path)
+        lake.write_partitioned(lake.conform(self.csi, schemas.CSI), path)
         return lake.read_table(self.spark, path, schemas.CSI)
 
     @cached_property
-    def latest_hours(self) -> DataFrame:
-        """Hour rows of the latest stored month with their month total and rank.
-
-        Totals and ranks are per month, so computing them on the month's own
-        rows gives the stored values.
-        """
-        month = reports.in_latest_month(self.hours_stored, self.csi_stored)
-        return features.monthly_total_rank(month)
+    def month_totals(self) -> DataFrame:
+        """Monthly ridership per station name, from the stored moments."""
+        return stress.month_totals(self.moments_stored)

@@ -12,11 +12,16 @@ from __future__ import annotations
 
 def r6(expr: str) -> str:
     """SQL twin of ``stable_round(x, 6)``."""
-    return f"floor(({expr}) * 1e6 + 0.5001) / 1e6"
+    v = f"({expr})"
+    return (
+        f"CASE WHEN abs({v} * 1e6 + 0.5001) < 9007199254740992.0 "
+        f"THEN floor({v} * 1e6 + 0.5001) / 1e6 ELSE CAST({v} AS DOUBLE) END"
+    )
 
 
-def r9(expr: str) -> str:
-    return f"floor(({expr}) * 1e9 + 0.5001) / 1e9"
+def key(col: str) -> str:
+    """SQL twin of ``rank_key``."""
+    return f"(CASE WHEN abs({col}) < 1e300 THEN {col} * 4097.0 - ({col} * 4097.0 - {col}) ELSE {col} END)"
 
 
 RIDERSHIP = """
@@ -37,7 +42,6 @@ ridership AS (
   JOIN supplier ON l_suppkey = s_suppkey
   JOIN nation ON s_nationkey = n_nationkey
   JOIN region ON n_regionkey = r_regionkey
-  WHERE l_shipdate < TIMESTAMP '2001-11-01 00:00:00'
 )"""
 
 APT = """
@@ -168,7 +172,7 @@ csi AS (
     AVG(apt_minutes) OVER (PARTITION BY station_complex_id ORDER BY year, month
                    ROWS BETWEEN 5 PRECEDING AND CURRENT ROW) AS apt_6mo_rolling
   FROM flagged
-)""".format(csi_key=r9("csi"), apt_key=r9("apt_minutes"))
+)""".format(csi_key=key("csi"), apt_key=key("apt_minutes"))
 
 
 def with_ctes(*ctes: str, body: str) -> str:
@@ -245,8 +249,11 @@ FLAG_COLS = CSI_COLS_BASE + [
 ALL_DOUBLES = CSI_DOUBLES + ["csi_pctl", "apt_minutes_pctl", "csi_6mo_rolling", "apt_6mo_rolling",
                              "monthly_ridership"]
 
+LATEST_MONTH = "latest AS (SELECT year, month FROM csi ORDER BY year DESC, month DESC LIMIT 1)"
+STATED_MONTH = "latest AS (SELECT 2001 AS year, 10 AS month)"
+
 LATEST = """
-latest AS (SELECT year, month FROM csi ORDER BY year DESC, month DESC LIMIT 1),
+{latest},
 lt AS (
   SELECT c.*, t.monthly_ridership
   FROM csi c JOIN latest l ON c.year = l.year AND c.month = l.month
@@ -255,7 +262,7 @@ lt AS (
 ),
 ftop AS (
   SELECT * FROM lt WHERE danger_zone = 1 AND monthly_ridership IS NOT NULL
-  ORDER BY monthly_ridership DESC, station_complex LIMIT 10
+  ORDER BY {km} DESC, station_complex LIMIT 10
 ),
 top5 AS (
   SELECT station_complex, year, month, csi FROM (
@@ -285,7 +292,9 @@ heat AS (
   FROM feat WHERE station_complex IN (SELECT station_complex FROM top5)
     AND day_of_week IS NOT NULL AND hour_of_day IS NOT NULL
   GROUP BY station_complex, day_of_week, hour_of_day
-)""".format(k=r9("csi"), kr=r9("csi_6mo_rolling"))
+)""".format(
+    k=key("csi"), kr=key("csi_6mo_rolling"), km=key("monthly_ridership"), latest=LATEST_MONTH
+)
 
 REPORT = FULL + (LATEST,)
 
@@ -330,12 +339,12 @@ QUERIES.update({
                   {r6('hhi_monthly_concentration')} AS hhi_monthly_concentration,
                   {r6('csi')} AS csi, {r6('apt_minutes')} AS apt_minutes
             FROM csi WHERE danger_zone = 1
-            ORDER BY {r9('csi')} DESC NULLS LAST, station_complex, year, month LIMIT 10"""
+            ORDER BY {key('csi')} DESC NULLS LAST, station_complex, year, month LIMIT 10"""
     ),
     "flagged_by_apt": q(
         f"""SELECT station_complex, year, month, {r6('csi')} AS csi, {r6('apt_minutes')} AS apt_minutes
             FROM csi WHERE danger_zone = 1
-            ORDER BY {r9('apt_minutes')} DESC NULLS LAST, station_complex, year, month LIMIT 10"""
+            ORDER BY {key('apt_minutes')} DESC NULLS LAST, station_complex, year, month LIMIT 10"""
     ),
     "top_station_months": q(
         f"SELECT station_complex, year, month, {r6('csi')} AS csi FROM top5", REPORT
@@ -377,7 +386,7 @@ QUERIES.update({
                   {_fmt('apt_minutes_pctl', 2)} AS apt_minutes_pctl_fmt
             FROM (
               SELECT *, row_number() OVER (PARTITION BY borough
-                                           ORDER BY monthly_ridership DESC, station_complex) AS rn
+                                           ORDER BY {key('monthly_ridership')} DESC, station_complex) AS rn
               FROM lt WHERE borough IN ('AFRICA', 'AMERICA', 'ASIA', 'EUROPE')
                 AND monthly_ridership IS NOT NULL AND NOT isnan(monthly_ridership)
             ) WHERE rn <= 5""",
@@ -436,7 +445,7 @@ RAW_COLS = (
     f"{r6('latitude')} AS latitude, {r6('longitude')} AS longitude, georeference"
 )
 KNOWN = "known AS (SELECT s_name AS station_complex FROM supplier WHERE s_acctbal >= 0)"
-AS_OF = "DATE '2001-11-15'"
+AS_OF = "DATE '2001-12-15'"
 PREV_START = f"(date_trunc('month', {AS_OF}) - INTERVAL 1 MONTH)"
 PREV_END = f"date_trunc('month', {AS_OF})"
 
@@ -526,7 +535,89 @@ QUERIES["monthly_landing"] = q(
 QUERIES["monthly_feed"] = QUERIES["rolling_trend"]
 QUERIES["names_with_several_ids"] = q(
     """SELECT station_complex, CAST(count(station_complex_id) AS BIGINT) AS id_count
-       FROM (SELECT DISTINCT station_complex, station_complex_id FROM ridership)
+       FROM (SELECT DISTINCT CASE WHEN CAST(station_complex_id AS BIGINT) % 3 = 0
+                             THEN 'Shared ' || CAST(CAST(station_complex_id AS BIGINT) % 2 AS VARCHAR)
+                             ELSE station_complex END AS station_complex, station_complex_id FROM ridership)
        GROUP BY station_complex HAVING count(station_complex_id) > 1""",
     (RIDERSHIP,),
 )
+QUERIES["text_timestamps"] = QUERIES["hourly_fact"]
+
+# Reports of a stated month instead of the latest.
+for _stated, _latest in (
+    ("month_table", "latest_month_table"),
+    ("top5_per_borough_month", "top5_per_borough"),
+    ("flagged_month_top10", "flagged_latest_top10"),
+    ("scatter_points_month", "scatter_points"),
+    ("trend_series_month", "trend_series_all"),
+):
+    QUERIES[_stated] = QUERIES[_latest].replace(LATEST_MONTH, STATED_MONTH)
+_FLAGGED_HEAT = """
+fheat AS (
+  SELECT station_complex, day_of_week, hour_of_day, AVG(ridership) AS avg_ridership
+  FROM feat WHERE station_complex IN (SELECT station_complex FROM ftop)
+    AND day_of_week IS NOT NULL AND hour_of_day IS NOT NULL
+  GROUP BY station_complex, day_of_week, hour_of_day
+)"""
+_STATED = FULL + (LATEST.replace(LATEST_MONTH, STATED_MONTH), _FLAGGED_HEAT)
+QUERIES["heatmap_flagged"] = q(
+    f"SELECT station_complex, day_of_week, hour_of_day, {r6('avg_ridership')} AS avg_ridership FROM fheat", _STATED
+)
+QUERIES["heatmap_flagged_range"] = q(
+    f"SELECT {r6('MIN(avg_ridership)')} AS vmin, {r6('MAX(avg_ridership)')} AS vmax FROM fheat", _STATED
+)
+
+QUERIES["monthly_landing_apt"] = QUERIES["apt_upsert"] + (
+    f" WHERE month >= {PREV_START} AND month < {PREV_END}"
+)
+_APT_STATS = """
+stats AS (
+  SELECT count(*) AS n, count_if(month IS NULL) AS n_month, count_if(line IS NULL) AS n_line,
+         count_if(division IS NULL) AS n_division,
+         count_if(additional_platform_time IS NULL OR isnan(additional_platform_time)) AS n_time,
+         count_if(num_passengers IS NULL OR isnan(num_passengers)) AS n_riders
+  FROM apt
+), unk AS (SELECT 0 AS u)"""
+QUERIES["quality_report_apt"] = q(
+    " UNION ALL ".join([
+        _check("row_count", None, "n", "20", "n >= 20"),
+        _check("nulls", "month", "n_month", "0", "n_month = 0"),
+        _check("nulls", "line", "n_line", "0", "n_line = 0"),
+        _check("nulls", "division", "n_division", "0", "n_division = 0"),
+        _check("nulls", "additional_platform_time", "n_time", "0", "n_time = 0"),
+        _check("nulls", "num_passengers", "n_riders", "0", "n_riders = 0"),
+    ]).replace("'ridership' AS dataset", "'apt' AS dataset"),
+    (APT, _APT_STATS),
+)
+QUERIES["audit_rows"] = q(
+    """SELECT '2001-12-15T06:00:00.000000Z' AS run_date, dataset, CAST(n AS BIGINT) AS rows_ingested,
+              'ridership_2001_11' AS source_file, CASE WHEN ok THEN 'success' ELSE 'failed' END AS status
+       FROM st, range(2)""",
+    (
+        RIDERSHIP, APT, KNOWN,
+        f"m AS (SELECT * FROM ridership WHERE transit_timestamp >= {PREV_START} AND transit_timestamp < {PREV_END})",
+        f"a AS (SELECT * FROM apt WHERE month >= {PREV_START} AND month < {PREV_END})",
+        """st AS (
+          SELECT 'ridership' AS dataset, count(*) AS n,
+                 count(*) >= 1 AND count_if(transit_timestamp IS NULL OR station_complex IS NULL
+                   OR station_complex_id IS NULL OR ridership IS NULL OR isnan(ridership)) = 0
+                 AND (SELECT count(*) FROM (SELECT DISTINCT station_complex FROM m) d WHERE NOT EXISTS
+                      (SELECT 1 FROM known k WHERE k.station_complex = d.station_complex)) <= 10 AS ok
+          FROM m
+          UNION ALL
+          SELECT 'apt', count(*), count(*) >= 1 AND count_if(month IS NULL OR line IS NULL OR division IS NULL
+                   OR additional_platform_time IS NULL OR isnan(additional_platform_time)
+                   OR num_passengers IS NULL OR isnan(num_passengers)) = 0
+          FROM a)""",
+    ),
+)
+_SEPTEMBER = "transit_timestamp >= TIMESTAMP '2001-09-01' AND transit_timestamp < TIMESTAMP '2001-10-01'"
+QUERIES["correction_equals_full"] = QUERIES["rolling_trend"].replace(
+    RIDERSHIP,
+    RIDERSHIP.replace("ridership AS (", "recorded AS (", 1)
+    + f""",
+ridership AS (
+  SELECT * REPLACE (CASE WHEN {_SEPTEMBER} THEN ridership * 2 ELSE ridership END AS ridership) FROM recorded
+  WHERE NOT ({_SEPTEMBER} AND CAST(station_complex_id AS BIGINT) % 5 = 0)
+)""",
+)

@@ -15,15 +15,25 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions.calendar import first_of_month, previous_month_bounds
+from ..functions.calendar import as_timestamp, first_of_month
 from ..operators import delay, features, quality, risk, stress
-from ..sources import lake
-from ..sources.slices import coerce_numeric, time_range
+from ..session import scratch_path
+from ..sources import lake, landing
+from ..sources.slices import previous_month, time_range
 
 ROLLING_HISTORY = risk.ROLLING_ROWS - 1
 CSI_BASE_COLUMNS = [c for c in risk.CSI_TABLE_COLUMNS if c not in ("csi_6mo_rolling", "apt_6mo_rolling")]
 
 
+def _with_month(raw: DataFrame) -> DataFrame:
+    """Raw rows with the year and month of their time, as the raw table has them."""
+    ts = as_timestamp(raw, "transit_timestamp")
+    return lake.conform(
+        raw.withColumns({"transit_timestamp": ts, "year": F.year(ts), "month": F.month(ts)}),
+        schemas.RIDERSHIP_MONTHS,
+    )
+
+
 def _months_between(df: DataFrame, start, end) -> DataFrame:
     """Rows whose (year, month) lies in [start, end); a partition-column filter."""
     d = first_of_month("year", "month")
@@ -53,17 +63,17 @@ def build_history(
     p = lake.LakePaths(root)
     lake.upsert_apt_month(apt, p.apt)
     lake.write_table(delay.route_bridge(stations), p.route_lookup)
-    # A range on the raw timestamp reaches the Parquet scan (row-group skipping).
-    first_year = time_range(
-        raw, "transit_timestamp", _dt.date(baseline_year, 1, 1), _dt.date(baseline_year + 1, 1, 1)
-    )
+    lake.write_partitioned(_with_month(raw), p.ridership)
+    raw = lake.read_table(spark, p.ridership, schemas.RIDERSHIP_MONTHS)
+    # One year's partitions of the raw table.
+    first_year = raw.filter(F.col("year") == baseline_year)
     lake.write_table(quality.known_names(first_year), p.station_names)
 
     lake.write_partitioned(lake.conform(features.ridership_transformed(raw), schemas.HOURS), p.hours)
     hours = lake.read_table(spark, p.hours, schemas.HOURS)
 
     lake.write_baseline(stress.baseline_p90(stress.peak_volume(hours), baseline_year), p.baseline)
-    baseline = lake.read_baseline(spark, p.baseline, baseline_year)
+    baseline = lake.require_baseline(spark, p.baseline, baseline_year)
 
     table = station_month_table(
         hours,
@@ -88,16 +98,54 @@ def last_rows_per_station(csi: DataFrame, n: int = ROLLING_HISTORY) -> DataFrame
     return csi.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
 
 
+def _month_list(df: DataFrame) -> set[tuple[int, int]]:
+    """The (year, month) pairs of a few months' rows."""
+    return {(r["year"], r["month"]) for r in df.select("year", "month").distinct().collect()}
+
+
+def _refresh_following(spark: SparkSession, paths: lake.LakePaths, start, end) -> None:
+    """Recompute the rolling means that reach back into the months [start, end).
+
+    Those are the next five stored rows of each station. The months that hold
+    them are recomputed as a whole, from their own rows and the five before,
+    by way of a written copy, as a table can't be read and overwritten at once.
+    """
+    stored = lake.read_table(spark, paths.csi, schemas.CSI)
+    month = first_of_month("year", "month")
+    w = Window.partitionBy("station_complex_id").orderBy("year", "month", "station_complex", "borough")
+    following = stored.filter(month >= F.lit(end).cast("date")).withColumn("_rn", F.row_number().over(w))
+    last = following.filter(F.col("_rn") <= ROLLING_HISTORY).agg(F.max(month).alias("m")).first()["m"]
+    if last is None:
+        return
+    span = stored.filter((month >= F.lit(end).cast("date")) & (month <= F.lit(last)))
+    before = last_rows_per_station(stored.filter(month < F.lit(end).cast("date")))
+    rolled = risk.rolling_means(
+        span.select(*CSI_BASE_COLUMNS).unionByName(before.select(*CSI_BASE_COLUMNS))
+    ).filter(month >= F.lit(end).cast("date"))
+    copy = scratch_path(spark, "csi-following")
+    lake.write_table(lake.conform(rolled, schemas.CSI), copy)
+    lake.write_partitioned(lake.read_table(spark, copy, schemas.CSI), paths.csi)
+
+
 def update_months(spark: SparkSession, raw_new: DataFrame, paths: lake.LakePaths, start, end,
                   baseline_year: int | None = None) -> None:
     """Recompute hours and CSI for the months in [start, end) of ``raw_new``.
 
     Month totals, ranks and percentiles only need the new months; the 6-row
     rolling means also need each station's last five stored rows, which are
-    read from the CSI table and unioned in before the window.
+    read from the CSI table and unioned in before the window. When later
+    months are stored already, the rolling means that reach back into the
+    recomputed ones are refreshed too. Stored months of the range that the new
+    rows don't have go.
     """
-    hours_new = features.ridership_transformed(time_range(raw_new, "transit_timestamp", start, end))
-    lake.write_partitioned(lake.conform(hours_new, schemas.HOURS), paths.hours)
+    landed = _with_month(time_range(raw_new, "transit_timestamp", start, end))
+    stored_raw = lake.read_table(spark, paths.ridership, schemas.RIDERSHIP_MONTHS)
+    gone = _month_list(_months_between(stored_raw, start, end)) - _month_list(landed)
+    lake.write_partitioned(landed, paths.ridership)
+    for path in (paths.ridership, paths.hours, paths.csi):
+        lake.drop_months(spark, path, gone)
+    raw = _months_between(lake.read_table(spark, paths.ridership, schemas.RIDERSHIP_MONTHS), start, end)
+    lake.write_partitioned(lake.conform(features.ridership_transformed(raw), schemas.HOURS), paths.hours)
     hours = _months_between(lake.read_table(spark, paths.hours, schemas.HOURS), start, end)
 
     baseline = lake.require_baseline(spark, paths.baseline, baseline_year)
@@ -113,38 +161,67 @@ def update_months(spark: SparkSession, raw_new: DataFrame, paths: lake.LakePaths
     lake.write_partitioned(
         lake.conform(_months_between(rolled, start, end), schemas.CSI), paths.csi
     )
+    _refresh_following(spark, paths, start, end)
 
 
-def run_month(
+def run_landed_month(
     spark: SparkSession,
-    raw_records: DataFrame,
-    apt_records: DataFrame,
+    raw_month: DataFrame,
+    apt_month: DataFrame | None,
     root: str,
-    as_of: _dt.date,
+    start: _dt.date,
     source_file: str = "",
     gates: tuple[quality.GateSpec, quality.GateSpec] = (quality.RIDERSHIP_GATE, quality.APT_GATE),
     baseline_year: int | None = None,
+    run_time: str | None = None,
 ) -> None:
-    """The monthly run for the month before ``as_of``: slice, coerce, gate,
-    upsert APT, transform, audit. A failed gate is audited and raised."""
+    """Gate, APT upsert, transform and audit of one landed month.
+
+    The gate report is computed once and stored; it decides, and it is what
+    the audit log gets. A failed gate is audited and raised.
+    """
     p = lake.LakePaths(root)
-    start_c, end_c = previous_month_bounds(as_of)
-    first_this = as_of.replace(day=1)
-    start = (first_this - _dt.timedelta(days=1)).replace(day=1)
     rid_gate, apt_gate = gates
-
-    raw_m = coerce_numeric(time_range(raw_records, "transit_timestamp", start_c, end_c), rid_gate.numeric_cols)
-    apt_m = coerce_numeric(time_range(apt_records, "month", start_c, end_c), apt_gate.numeric_cols)
+    end = (start.replace(day=28) + _dt.timedelta(days=4)).replace(day=1)
     known = lake.read_table(spark, p.station_names, schemas.STATION_NAMES)
-    report = quality.quality_report(raw_m, rid_gate, known).unionByName(
-        quality.quality_report(apt_m, apt_gate)
-    )
+    checks = quality.quality_report(raw_month, rid_gate, known)
+    if apt_month is not None:
+        checks = checks.unionByName(quality.quality_report(apt_month, apt_gate))
+    path = scratch_path(spark, "gate-report")
+    lake.write_table(checks, path)
+    report = lake.read_table(spark, path, checks.schema)
+    audit = quality.audit_records(report, source_file, run_time)
     try:
         quality.enforce(report)
     except quality.GateFailure:
-        lake.append_audit(quality.audit_records(report, source_file), p.audit)
+        lake.append_audit(audit, p.audit)
         raise
+    if apt_month is not None:
+        lake.upsert_apt_month(apt_month, p.apt)
+    update_months(spark, raw_month, p, start, end, baseline_year)
+    lake.append_audit(audit, p.audit)
+
+
+def run_month(
+    spark: SparkSession,
+    raw_records: DataFrame,
+    apt_records: DataFrame,
+    root: str,
+    as_of: _dt.date,
+    source_file: str = "",
+    gates: tuple[quality.GateSpec, quality.GateSpec] = (quality.RIDERSHIP_GATE, quality.APT_GATE),
+    baseline_year: int | None = None,
+    run_time: str | None = None,
+) -> None:
+    """The monthly run for the month before ``as_of``.
 
-    lake.upsert_apt_month(apt_m, p.apt)
-    update_months(spark, raw_m, p, start, first_this, baseline_year)
-    lake.append_audit(quality.audit_records(report, source_file), p.audit)
+    Both records are sliced, coerced and landed once; everything after reads
+    the landed month.
+    """
+    p = lake.LakePaths(root)
+    start, _ = previous_month(as_of)
+    raw_path = landing.land_month(raw_records, as_of, p.landing, "ridership", "transit_timestamp", gates[0].numeric_cols)
+    apt_path = landing.land_month(apt_records, as_of, p.landing, "apt", "month", gates[1].numeric_cols)
+    raw_month = lake.read_table(spark, raw_path, schemas.RIDERSHIP)
+    apt_month = lake.read_table(spark, apt_path, schemas.APT)
+    run_landed_month(spark, raw_month, apt_month, root, start, source_file, gates, baseline_year, run_time)

@@ -27,6 +27,9 @@ RIDERSHIP = _struct(
     ("georeference", S),
 )
 
+# The raw table of the lake, partitioned by year and month.
+RIDERSHIP_MONTHS = T.StructType([*RIDERSHIP.fields, *_struct(("year", I), ("month", I)).fields])
+
 # Monthly line-level journey metrics (one row per month x line x period).
 APT_MEASURES = (
     "num_passengers",

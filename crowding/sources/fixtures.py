@@ -9,9 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Fixed values of the mapping: the last month kept (exclusive bound), the
-# line number mapped to a non-subway mode, and the brand numbers of division A.
-RIDERSHIP_END = "2001-11-01 00:00:00"
+# Fixed values of the mapping: the line number mapped to a non-subway mode, and
+# the brand numbers of division A.
 TRAM_LINENUMBER = 7
 A_DIVISION_MAX_BRAND = 8
 PEAK_HOURS = ((7, 9), (16, 19))
@@ -59,15 +58,13 @@ def with_region(df: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def ridership(spark: SparkSession, sf_dir: str, end: str = RIDERSHIP_END) -> DataFrame:
+def ridership(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw hourly entries: one line item = one payment/fare row of a station-hour.
 
     The supplier join is left to the planner: broadcast while the supplier
     table is below the size threshold, a sort-merge join beyond it.
     """
-    li = table(spark, sf_dir, "lineitem").filter(
-        F.col("l_shipdate") < F.to_timestamp_ntz(F.lit(end))
-    )
+    li = table(spark, sf_dir, "lineitem")
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     rows = with_region(li.join(s, li["l_suppkey"] == s["s_suppkey"]), spark, sf_dir)
     return rows.select(

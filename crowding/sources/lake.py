@@ -23,6 +23,18 @@ class LakePaths:
     def _p(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
 
+    @property
+    def ridership(self) -> str:
+        return self._p("ridership")
+
+    @property
+    def landing(self) -> str:
+        return self._p("landing")
+
+    @property
+    def feed_checkpoint(self) -> str:
+        return self._p("_feed_checkpoint")
+
     @property
     def hours(self) -> str:
         return self._p("ridership_transformed")
@@ -104,18 +116,30 @@ def read_baseline(spark: SparkSession, path: str, year: int | None = None) -> Da
 
 
 def require_baseline(spark: SparkSession, path: str, year: int | None = None) -> DataFrame:
-    """The stored baseline, checked to be exactly one row; raises otherwise.
+    """The stored baseline, checked to be one row with a positive p90; raises otherwise.
 
-    A missing baseline would otherwise surface as a silently null CSI.
+    A missing baseline would otherwise surface as a silently null CSI: a year
+    without data leaves a null p90, a year of zeros a zero one.
     """
     b = read_baseline(spark, path, year)
-    rows = b.limit(2).count()
-    if rows != 1:
+    rows = [r["p90_peak_hr_ridership"] for r in b.limit(2).collect()]
+    if len(rows) != 1 or rows[0] is None or not rows[0] > 0:
         which = f"year {year}" if year is not None else "any year"
-        raise ValueError(f"expected one stored baseline for {which} at {path}, found {rows}")
+        raise ValueError(f"expected one positive baseline for {which} at {path}, found {rows}")
     return b
 
 
+def drop_months(spark: SparkSession, path: str, months, cols=("year", "month")) -> None:
+    """Remove the folders of (year, month) partitions, as a re-run without rows needs.
+
+    Dynamic overwrite only touches partitions that the new rows have.
+    """
+    jvm = spark._jvm
+    for year, month in months:
+        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{cols[0]}={year}/{cols[1]}={month}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def append_audit(records: DataFrame, path: str) -> None:
     """Append audit rows; the only append-mode write in the package."""
     conform(records, schemas.AUDIT).coalesce(1).write.mode("append").parquet(path)

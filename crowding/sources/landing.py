@@ -17,16 +17,13 @@ from .slices import coerce_numeric, previous_month, previous_month_slice
 PAGE_ROWS = 50_000
 
 
-def land_pages(records: DataFrame, path: str, order_col: str = "transit_timestamp",
-               page_rows: int = PAGE_ROWS) -> None:
-    """Write records as ordered CSV pages of at most ``page_rows`` rows each."""
-    (
-        records.orderBy(order_col)
-        .write.mode("overwrite")
-        .option("header", True)
-        .option("maxRecordsPerFile", page_rows)
-        .csv(path)
-    )
+def land_pages(records: DataFrame, path: str, order_cols=("transit_timestamp", "station_complex_id"),
+               page_rows: int | None = None) -> None:
+    """Write records as ordered CSV pages, of at most ``page_rows`` rows where given."""
+    writer = records.orderBy(*order_cols).write.mode("overwrite").option("header", True)
+    if page_rows:
+        writer = writer.option("maxRecordsPerFile", page_rows)
+    writer.csv(path)
 
 
 def read_pages(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

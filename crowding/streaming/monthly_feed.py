@@ -7,34 +7,30 @@ re-landed month, still ends up whole), then written with partition overwrite.
 The stream checkpoint records which files were processed; together with the
 idempotent writes a restarted or retried batch leaves the lake unchanged.
 
-Months are expected to land in calendar order, as the monthly cadence does;
-rolling means of later, already stored months are not revisited.
+A month that lands late also refreshes the rolling means of the months stored
+after it.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas
-from ..plans.runs import update_months
-from ..session import scratch_path
+from ..operators import quality
+from ..plans.runs import run_landed_month
 from ..sources.lake import LakePaths
 from ..sources.slices import time_range
 
 
-def _month_span(batch: DataFrame) -> tuple[_dt.date, _dt.date] | None:
-    """First month and the month after the last one present in the batch."""
-    row = batch.agg(
-        F.min(F.trunc(F.to_date("transit_timestamp"), "MM")).alias("lo"),
-        F.add_months(F.max(F.trunc(F.to_date("transit_timestamp"), "MM")), 1).alias("hi"),
-    ).first()
-    if row is None or row["lo"] is None:
-        return None
-    return row["lo"], row["hi"]
+def _months(batch: DataFrame) -> list[_dt.date]:
+    """First days of the months in the batch, in order."""
+    month = F.trunc(F.to_date("transit_timestamp"), "MM").alias("m")
+    return sorted(r["m"] for r in batch.select(month).distinct().collect() if r["m"] is not None)
 
 
 def start_monthly_feed(
@@ -44,26 +40,39 @@ def start_monthly_feed(
     checkpoint: str | None = None,
     baseline_year: int | None = None,
     available_now: bool = True,
+    gates: tuple[quality.GateSpec, quality.GateSpec] = (quality.RIDERSHIP_GATE, quality.APT_GATE),
+    apt_dir: str | None = None,
+    run_time: str | None = None,
 ) -> StreamingQuery:
-    """Start the feed; with ``available_now`` it processes what is landed and stops."""
-    paths = LakePaths(root)
+    """Start the feed; with ``available_now`` it processes what is landed and stops.
+
+    Every month of a batch goes through ``run_landed_month``: gates, APT load
+    (from the files landed in ``apt_dir``, where given), transform and audit. A
+    failing gate is audited and stops the feed. The checkpoint lies in the
+    lake's root, so a restarted feed goes on where it stopped.
+    """
     source = f"{landing_dir.rstrip('/')}/*"
     stream = spark.readStream.schema(schemas.RIDERSHIP).parquet(source)
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        span = _month_span(batch)
-        if span is None:
-            return
-        start, end = span
         session = batch.sparkSession
-        landed = session.read.schema(schemas.RIDERSHIP).parquet(source)
-        update_months(session, time_range(landed, "transit_timestamp", start, end), paths,
-                      start, end, baseline_year)
+        for start in _months(batch):
+            end = (start.replace(day=28) + _dt.timedelta(days=4)).replace(day=1)
+            landed = session.read.schema(schemas.RIDERSHIP).parquet(source)
+            apt = None
+            if apt_dir:
+                apt = session.read.schema(schemas.APT).parquet(f"{apt_dir.rstrip('/')}/*")
+                apt = time_range(apt, "month", start, end)
+            run_landed_month(
+                session, time_range(landed, "transit_timestamp", start, end), apt, root, start,
+                f"ridership_{start:%Y_%m}", gates, baseline_year, run_time,
+            )
 
+    name = hashlib.sha1(root.encode()).hexdigest()[:8]
     writer = (
         stream.writeStream.foreachBatch(process)
-        .option("checkpointLocation", checkpoint or scratch_path(spark, "feed-checkpoint"))
-        .queryName(f"monthly_feed_{abs(hash(root)) % 10**8}")
+        .option("checkpointLocation", checkpoint or LakePaths(root).feed_checkpoint)
+        .queryName(f"monthly_feed_{name}")
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 hour")
     return writer.start()

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import re
 from pathlib import Path
 
 import duckdb
@@ -43,7 +44,8 @@ def _canon(df: pd.DataFrame):
 
 def test_every_query_has_oracle_or_is_rows_only():
     assert set(SQL) <= set(QUERIES)
-    assert set(QUERIES) - set(SQL) == {"audit_rows"}
+    # Only training-data queries, where they are installed, go beyond SQL.
+    assert all(re.match(r"op\d+_|pipeline$", name) for name in set(QUERIES) - set(SQL))
 
 
 def test_entry_smoke(spark):

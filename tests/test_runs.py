@@ -39,6 +39,7 @@ def test_incremental_equals_full_and_rerun(spark, inputs):
     runs.build_history(spark, _before(inputs.raw, dt.date(2001, 9, 1)), inputs.apt, inputs.stations, root, 2000)
     runs.run_month(spark, inputs.raw, inputs.apt, root, dt.date(2001, 10, 3), "sep", GATES)
     runs.run_month(spark, inputs.raw, inputs.apt, root, dt.date(2001, 11, 3), "oct", GATES)
+    runs.run_month(spark, inputs.raw, inputs.apt, root, dt.date(2001, 12, 3), "nov", GATES)
     p = lake.LakePaths(root)
     stored = lake.read_table(spark, p.csi, schemas.CSI)
     assert _rounded(stored) == _rounded(inputs.csi)
@@ -49,7 +50,7 @@ def test_incremental_equals_full_and_rerun(spark, inputs):
     assert lake.read_table(spark, p.csi, schemas.CSI).count() == n_csi
     assert lake.read_table(spark, p.hours, schemas.HOURS).count() == n_hours
     audit = lake.read_table(spark, p.audit, schemas.AUDIT)
-    assert audit.count() == 6 and {r["status"] for r in audit.collect()} == {"success"}
+    assert audit.count() == 8 and {r["status"] for r in audit.collect()} == {"success"}
 
 
 def test_failed_gate_is_audited(spark, inputs):
@@ -65,11 +66,18 @@ def test_monthly_feed(spark, inputs):
     root = scratch_path(spark, "t-feed")
     landing_dir = scratch_path(spark, "t-landing")
     runs.build_history(spark, _before(inputs.raw, dt.date(2001, 9, 1)), inputs.apt, inputs.stations, root, 2000)
-    for as_of in (dt.date(2001, 10, 2), dt.date(2001, 11, 2)):
+    for as_of in (dt.date(2001, 10, 2), dt.date(2001, 11, 2), dt.date(2001, 12, 2)):
         landing.land_month(inputs.raw, as_of, landing_dir, "ridership", "transit_timestamp",
                            quality.RIDERSHIP_GATE.numeric_cols)
-    q = start_monthly_feed(spark, landing_dir, root)
+    q = start_monthly_feed(spark, landing_dir, root, gates=GATES)
     q.awaitTermination(300)
+    audit = lake.read_table(spark, lake.LakePaths(root).audit, schemas.AUDIT)
+    assert {(r["source_file"], r["status"]) for r in audit.collect()} == {
+        (f"ridership_2001_{m:02d}", "success") for m in (9, 10, 11)
+    }
+    # A restarted feed goes on where it stopped: nothing is processed again.
+    start_monthly_feed(spark, landing_dir, root, gates=GATES).awaitTermination(300)
+    assert lake.read_table(spark, lake.LakePaths(root).audit, schemas.AUDIT).count() == 3
     stored = lake.read_table(spark, lake.LakePaths(root).csi, schemas.CSI)
     assert _rounded(stored) == _rounded(inputs.csi)
 
@@ -90,14 +98,14 @@ def test_latest_month_filter_prunes_lake_partitions(spark, inputs):
     path = scratch_path(spark, "t-prune")
     lake.write_partitioned(lake.conform(inputs.csi, schemas.CSI), path)
     csi = lake.read_table(spark, path, schemas.CSI)
-    latest = reports.in_latest_month(csi, csi)
+    latest = reports.in_month(csi, csi)
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
         latest.explain(mode="formatted")
     scans = [b for b in buf.getvalue().split("\n\n") if "Scan parquet" in b and "PartitionFilters" in b]
     assert any("Subquery" in b.split("PartitionFilters")[1].split("\n")[0] for b in scans)
     got = {(r["year"], r["month"]) for r in latest.select("year", "month").distinct().collect()}
-    assert got == {(2001, 10)}
+    assert got == {(2001, 11)}
 
 
 def test_missing_baseline_fails_clearly(spark, inputs):
@@ -106,3 +114,50 @@ def test_missing_baseline_fails_clearly(spark, inputs):
     with pytest.raises(ValueError, match="baseline"):
         lake.require_baseline(spark, path, 1999)
     assert lake.require_baseline(spark, path, 2000).count() == 1
+
+
+@pytest.mark.parametrize("p90", [None, 0.0])
+def test_null_or_zero_baseline_fails_clearly(spark, p90):
+    path = scratch_path(spark, "t-badbase")
+    lake.write_baseline(spark.createDataFrame([(2000, p90)], schemas.BASELINE), path)
+    with pytest.raises(ValueError, match="positive baseline"):
+        lake.require_baseline(spark, path, 2000)
+
+
+def test_history_without_baseline_year_fails(spark, inputs):
+    root = scratch_path(spark, "t-noyear")
+    with pytest.raises(ValueError, match="baseline"):
+        runs.build_history(spark, inputs.raw, inputs.apt, inputs.stations, root, 1900)
+
+
+def test_failing_gate_stops_the_feed(spark, inputs):
+    root, landing_dir = scratch_path(spark, "t-feedgate"), scratch_path(spark, "t-landgate")
+    runs.build_history(spark, _before(inputs.raw, dt.date(2001, 10, 1)), inputs.apt, inputs.stations, root, 2000)
+    landing.land_month(inputs.raw, dt.date(2001, 11, 2), landing_dir, "ridership", "transit_timestamp", ())
+    before = _rounded(lake.read_table(spark, lake.LakePaths(root).csi, schemas.CSI))
+    q = start_monthly_feed(spark, landing_dir, root)
+    with pytest.raises(Exception, match="row_count"):
+        q.awaitTermination(300)
+    audit = lake.read_table(spark, lake.LakePaths(root).audit, schemas.AUDIT).collect()
+    assert [r["status"] for r in audit] == ["failed"]
+    assert _rounded(lake.read_table(spark, lake.LakePaths(root).csi, schemas.CSI)) == before
+
+
+def test_a_month_rerun_without_rows_goes(spark, inputs):
+    root = scratch_path(spark, "t-shrink")
+    start, end = dt.date(2001, 9, 1), dt.date(2001, 10, 1)
+    runs.build_history(spark, inputs.raw, inputs.apt, inputs.stations, root, 2000)
+    ts = F.col("transit_timestamp")
+    inside = (ts >= F.lit(start).cast("timestamp_ntz")) & (ts < F.lit(end).cast("timestamp_ntz"))
+    runs.update_months(spark, inputs.raw.filter(~inside), lake.LakePaths(root), start, end, 2000)
+    other = scratch_path(spark, "t-shrunk")
+    runs.build_history(spark, inputs.raw.filter(~inside), inputs.apt, inputs.stations, other, 2000)
+    got, want = (
+        _rounded(lake.read_table(spark, lake.LakePaths(r).csi, schemas.CSI)) for r in (root, other)
+    )
+    assert got == want
+
+
+def test_fixture_reads_every_line_item(spark, inputs):
+    li = spark.read.parquet(f"{inputs.sf_dir}/lineitem.parquet").agg(F.sum("l_quantity")).first()[0]
+    assert inputs.raw.agg(F.sum("ridership")).first()[0] == li

@@ -258,3 +258,23 @@ def test_names_with_several_ids(spark):
     df = spark.createDataFrame(rows, schemas.RIDERSHIP)
     got = [(r["station_complex"], r["id_count"]) for r in quality.names_with_several_ids(df).collect()]
     assert got == [("86 St", 2)]
+
+
+def test_stable_round_keeps_what_it_cannot_count(spark):
+    from crowding.functions.numeric import stable_round
+
+    values = [1e10, 1e13, -1e18, float("inf"), float("-inf"), None, 1.23456749, 3e-8]
+    df = spark.createDataFrame([(v,) for v in values] + [(float("nan"),)], "x double")
+    got = [r[0] for r in df.select(stable_round("x", 6)).collect()]
+    assert got[:6] == values[:6] and got[6] == 1.234567 and got[7] == 0.0 and got[8] != got[8]
+    nine = [r[0] for r in df.select(stable_round("x", 9)).collect()]
+    assert nine[:3] == [1e10, 1e13, -1e18] and nine[7] == 3e-8
+
+
+def test_rank_key_is_relative(spark):
+    from crowding.functions.numeric import rank_key
+
+    values = [1.23e-8, 1.23e-8 * (1 + 1e-15), 1.23001e-8, 1e13, 1e13 * (1 + 1e-15), 1e13 + 1e3, float("inf")]
+    df = spark.createDataFrame([(v,) for v in values] + [(float("nan"),)], "x double")
+    k = [r[0] for r in df.select(rank_key("x")).collect()]
+    assert k[0] == k[1] < k[2] and k[3] == k[4] < k[5] and k[6] == float("inf") and k[7] != k[7]
