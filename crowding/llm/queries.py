@@ -89,9 +89,9 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op7_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Passages of 50 words or more that occur in another place, kept or not."""
+    """Passages of 50 words or more that an earlier place has, and its document."""
     out = suffixes.repeated_passages(_table(spark, sf_dir, "documents"))
-    return out.select("doc_id", "start_word", "n_words", "keeps", "source_id")
+    return out.select("doc_id", "start_word", "n_words", "source_id")
 
 
 @_query
