@@ -67,48 +67,48 @@ class ChunkIds:
 
     def _learn(self, lost: set[str]) -> None:
         new, old = self.new, self.old
-        plan, atoms = [], {}
-
-        def need(k: str) -> None:
-            if k in new or k in atoms:
-                return
-            if k in old:
-                new[k] = old[k]
+        plan, atoms = [], set()
+        wanted = list(lost)
+        for k in wanted:  # grows by the halves of keys
+            if k in new:
+                continue
+            known = old.get(k)
+            if known is not None:
+                new[k] = known
             elif halves := _halves(k):
-                for h in halves:
-                    need(h)
                 plan.append((k, halves))
+                wanted += [h for h in halves if h not in new and h not in atoms]
             else:
-                atoms[k] = None
-            self.load += len(k) + 100
-
-        for k in lost:
-            need(k)
+                atoms.add(k)
+        self.load += sum(map(len, wanted)) + 100 * len(wanted)
         todo = list(atoms)
         for lo in range(0, len(todo), 20_000):
             part = todo[lo : lo + 20_000]
             new.update(zip(part, self.encode([chunk(k) for k in part]), strict=True))
-        for k, (a, b) in plan:
+        for k, (a, b) in reversed(plan):  # halves come after their keys
             new[k] = new[a] + new[b]
 
     def of(self, texts: list[str]) -> list[bytes]:
         if self.load > self.size:
             self.old, self.new, self.load = self.new, {}, 0
-        get = self.new.get
+        new, get = self.new, self.new.get
         out: list[bytes | None] = []
         wait, lost = [], set()
         for t in texts:
             ks = keys(t)
             found = list(map(get, ks))
             if None in found:
-                wait.append((len(out), ks))
-                lost.update(k for k, v in zip(ks, found, strict=True) if v is None)
+                miss = [i for i, v in enumerate(found) if v is None]
+                wait.append((len(out), ks, found, miss))
+                lost.update([ks[i] for i in miss])
                 out.append(None)
             else:
                 out.append(b"".join(found))
         self._learn(lost)
-        for i, ks in wait:
-            out[i] = b"".join(map(get, ks))
+        for at, ks, found, miss in wait:
+            for i in miss:
+                found[i] = new[ks[i]]
+            out[at] = b"".join(found)
         return out
 
 
