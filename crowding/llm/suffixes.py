@@ -26,13 +26,14 @@ from .common import as_long, fmix, run_hashes, stored, text_steps, word_hashes,
 
 MIN_WORDS = 50
 GRAM = 8
-SPREAD = 17
+SPREAD = 25
 
 _MULS = (0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3)
 
 
 def _copy_key(text: Column) -> Column:
-    return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
+    """What copies of a text are told by, with their number of words: 64 bits."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
 def minimisers(h: np.ndarray, first: np.ndarray, least: int) -> np.ndarray:
@@ -52,8 +53,8 @@ def minimisers(h: np.ndarray, first: np.ndarray, least: int) -> np.ndarray:
 def _suffixes(least: int):
     prefix = least - SPREAD + 1
     schema = pa.schema(
-        [("key", pa.int64()), ("place", pa.int64()), ("pos", pa.int32()), ("lead", pa.bool_()),
-         ("doc_id", pa.int64()), ("copy", pa.binary()), ("n_words", pa.int32())]
+        [("key", pa.int64()), ("place", pa.int32()), ("pos", pa.int32()), ("lead", pa.bool_()),
+         ("doc_id", pa.int64()), ("copy", pa.int64()), ("n_words", pa.int32())]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -73,12 +74,12 @@ def _suffixes(least: int):
                 short = np.minimum(at, np.maximum(first[doc + 1] - prefix, 0))
                 key = run_hashes(h, short, prefix, _MULS[1]) if len(at) else np.zeros(0, np.uint64)
                 copies = batch.column(2).slice(row, len(size))
-                number = np.frombuffer(b"".join(copies.to_pylist()), np.uint64)[::2]
+                number = copies.to_numpy(zero_copy_only=False).view(np.uint64)
                 place = fmix(number[doc] + pos.astype(np.uint64) * np.uint64(_MULS[2])) if len(at) else key
                 take = pa.array(doc)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(as_long(key)), pa.array(as_long(place)), pa.array(pos.astype(np.int32)), pa.array(lead),
+                        pa.array(as_long(key)), pa.array((place >> np.uint64(32)).astype(np.uint32).view(np.int32)), pa.array(pos.astype(np.int32)), pa.array(lead),
                         batch.column(0).slice(row, len(size)).take(take), copies.take(take),
                         pa.array(size[doc].astype(np.int32)),
                     ],
@@ -90,7 +91,7 @@ def _suffixes(least: int):
 
 def _extensions(least: int):
     schema = pa.schema(
-        [("h1", pa.int64()), ("h2", pa.int64()), ("first_id", pa.int64()), ("copy", pa.binary()), ("start", pa.int32())]
+        [("h", pa.int64()), ("first_id", pa.int64()), ("copy", pa.int64()), ("start", pa.int32())]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,10 +113,10 @@ def _extensions(least: int):
                 start = np.flatnonzero(np.cumsum(edge[: len(h)]) > 0)
                 doc = np.searchsorted(first, start, side="right") - 1
                 take = pa.array(doc)
-                h1, h2 = (run_hashes(h, start, least, m) for m in _MULS[1:])
+                run_hash = run_hashes(h, start, least, _MULS[2])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(as_long(h1)), pa.array(as_long(h2)),
+                        pa.array(as_long(run_hash)),
                         batch.column(1).slice(row, n).take(take), batch.column(0).slice(row, n).take(take),
                         pa.array((start - first[doc]).astype(np.int32)),
                     ],
@@ -128,13 +129,14 @@ def _extensions(least: int):
 def repeated_passages(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", least: int = MIN_WORDS
 ) -> DataFrame:
-    """Every passage of at least ``least`` words that occurs in another place.
+    """Every passage of at least ``least`` words that an earlier place has.
 
-    Returns doc_id, copy (MD5 of the text), start_word, n_words, keeps,
-    source_id. ``keeps`` marks first occurrences, in order of doc_id (nulls
-    last), then text, then place; ``source_id`` is the document of the first
-    occurrence of the passage's beginning. Words are runs of bytes other than
-    ASCII white space and compare as they are. Overlapping or touching repeats
+    Returns doc_id, copy (a hash of the text), start_word, n_words, source_id.
+    Earlier is in order of doc_id (nulls last), then text hash, then place;
+    ``source_id`` is the document of the first occurrence of the passage's
+    beginning. Words are runs of bytes other than
+    ASCII white space and compare by 64-bit hashes of whole runs, so n repeated
+    runs hold n * n / 2**65 false matches on average. Overlapping or touching repeats
     are one passage. Within one document, an occurrence that overlaps the first
     is no repeat. Texts with fewer words, null and empty ones have none. Of
     several documents with the same text, all but the first are one passage
@@ -149,16 +151,16 @@ def repeated_passages(
     suffixes = stored(
         text.mapInArrow(
             _suffixes(least),
-            "key long, place long, pos int, lead boolean, doc_id long, copy binary, n_words int",
+            "key long, place int, pos int, lead boolean, doc_id long, copy long, n_words int",
         ),
         "suffixes",
     )
     texts = stored(
-        suffixes.where("lead").groupBy("copy").agg(
-            F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id")).alias("first"),
-            F.max("n_words").alias("n_words"),
-            F.count("*").alias("docs"),
-        ).select("copy", F.col("first.doc_id").alias("first_id"), "n_words", "docs"),
+        suffixes.where("lead").groupBy("copy", "n_words", "doc_id").agg(F.count("*").alias("rows"))
+        .groupBy("copy", "n_words").agg(
+            F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "rows")).alias("first"),
+            F.sum("rows").alias("docs"),
+        ).select("copy", "n_words", F.col("first.doc_id").alias("first_id"), F.col("first.rows").alias("rows"), "docs"),
         "suffix-texts",
     )
     # Neighbours: the same prefix in two places of different texts, or of one.
@@ -171,44 +173,45 @@ def repeated_passages(
         suffixes.where(usable).select("key", "copy", "pos").join(near, "key", "left_semi")
         .groupBy("copy").agg(F.collect_set("pos").alias("places"))
     )
-    wanted = stored(places.join(texts.select("copy", "first_id"), "copy"), "suffix-places")
+    wanted = stored(places.join(texts.select("copy", "first_id", "rows"), "copy"), "suffix-places")
     of_first = (text["copy"] == wanted["copy"]) & text["doc_id"].eqNullSafe(wanted["first_id"])
+    found = text.join(wanted, of_first).select(wanted["copy"], "first_id", "text", "places", "rows")
+    once = found.where("rows = 1")
+    if not wanted.where("rows > 1").isEmpty():
+        # Rows that repeat both id and text.
+        once = once.unionByName(found.where("rows > 1").dropDuplicates(["copy"]))
     extended = stored(
-        text.join(wanted, of_first).select(wanted["copy"], "first_id", "text", "places").dropDuplicates(["copy"])
-        .mapInArrow(_extensions(least), "h1 long, h2 long, first_id long, copy binary, start int"),
+        once.select("copy", "first_id", "text", "places").mapInArrow(
+            _extensions(least), "h long, first_id long, copy long, start int"
+        ),
         "extensions",
-    )
+    )
     no_id = F.col("first_id").isNull().alias("no_id")
-    firsts = extended.groupBy("h1", "h2").agg(
+    firsts = extended.groupBy("h").agg(
         F.min(F.struct(no_id, "first_id", "copy", "start")).alias("f"), F.count("*").alias("c")
-    ).where("c > 1").select("h1", "h2", "f")
+    ).where("c > 1").select("h", "f")
     far = (F.col("copy") != F.col("f.copy")) | (F.col("start") - F.col("f.start") >= least)
     hits = stored(
-        extended.join(firsts, ["h1", "h2"]).select(
-            "copy", "first_id", "start", far.alias("again"), F.col("f.first_id").alias("source_id"),
-            ((F.col("copy") == F.col("f.copy")) & (F.col("start") != F.col("f.start")) & ~far).alias("overlaps"),
-        ),
+        extended.join(firsts, "h").where(far).select("copy", "first_id", "start", F.col("f.first_id").alias("source_id")),
         "hits",
-    )
+    )
     # Runs of starts that overlap or touch are one passage; a group is one text.
-    w = Window.partitionBy("copy", "again").orderBy("start")
+    w = Window.partitionBy("copy", "first_id").orderBy("start")
     fresh = F.coalesce(F.col("start") > F.lag("start").over(w) + least, F.lit(True)).cast("int")
     spans = (
-        hits.where("not overlaps").withColumn("run", F.sum(fresh).over(w))
-        .groupBy("copy", "again", "run")
+        hits.withColumn("run", F.sum(fresh).over(w))
+        .groupBy("copy", "first_id", "run")
         .agg(
-            F.first("first_id").alias("doc_id"), F.min("start").alias("start_word"),
-            (F.max("start") + least - F.min("start")).alias("n_words"), F.min_by("source_id", "start").alias("source_id"),
+            F.min("start").alias("start_word"), (F.max("start") + least - F.min("start")).alias("n_words"),
+            F.min_by("source_id", "start").alias("source_id"),
         )
-        .select("doc_id", "copy", "start_word", "n_words", (~F.col("again")).alias("keeps"), "source_id")
+        .select(F.col("first_id").alias("doc_id"), "copy", "start_word", "n_words", "source_id")
     )
-    copies = texts.where(F.col("docs") > 1).select("copy", "first_id")
+    copies = texts.where(F.col("docs") > F.col("rows")).select("copy", "n_words", "first_id")
     whole = (
-        suffixes.where("lead").select("doc_id", "copy", "n_words").join(copies, "copy")
-        .select(
-            "doc_id", "copy", F.lit(0).alias("start_word"), "n_words",
-            F.col("doc_id").eqNullSafe(F.col("first_id")).alias("keeps"), F.col("first_id").alias("source_id"),
-        )
+        suffixes.where("lead").select("doc_id", "copy", "n_words").join(copies, ["copy", "n_words"])
+        .where(~F.col("doc_id").eqNullSafe(F.col("first_id")))
+        .select("doc_id", "copy", F.lit(0).alias("start_word"), "n_words", F.col("first_id").alias("source_id"))
     )
     return spans.unionByName(whole)
 
@@ -217,7 +220,7 @@ def _cutter(schema: pa.Schema, text_col: str, count_col: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for text, spans in zip(batch.column(text_col).to_pylist(), batch.column("cut_spans").to_pylist(), strict=True):
+            for text, spans in zip(batch.column(text_col).to_pylist(), batch.column("__cut_spans").to_pylist(), strict=True):
                 raw = (text or "").encode("utf-8")
                 data = np.frombuffer(raw, np.uint8)
                 starts, _, _ = words(data, np.array([0, len(raw)]))
@@ -240,7 +243,7 @@ def _cutter(schema: pa.Schema, text_col: str, count_col: str | None):
 def cut_passages(
     docs: DataFrame, passages: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", count_col: str = "n_chars"
 ) -> DataFrame:
-    """``docs`` without the passages that don't keep; all columns.
+    """``docs`` without the repeated passages; all columns.
 
     ``passages`` is the result of ``repeated_passages`` on the same rows.
     Other text stays byte for byte. A document that has words and loses all of
@@ -250,13 +253,13 @@ def cut_passages(
     from pyspark.sql.pandas.types import to_arrow_schema
 
     cuts = stored(
-        passages.where(~F.col("keeps")).groupBy("doc_id", "copy")
-        .agg(F.collect_list(F.struct("start_word", "n_words")).alias("cut_spans"))
-        .withColumnRenamed("doc_id", "cut_id").withColumnRenamed("copy", "cut_copy"),
+        passages.groupBy("doc_id", "copy")
+        .agg(F.collect_list(F.struct("start_word", "n_words")).alias("__cut_spans"))
+        .withColumnRenamed("doc_id", "__cut_id").withColumnRenamed("copy", "__cut_copy"),
         "cuts",
     )
-    same = (F.col("cut_copy") == _copy_key(docs[text_col])) & F.col("cut_id").eqNullSafe(docs[id_col].cast("long"))
-    mine = docs.join(cuts, same).drop("cut_id", "cut_copy")
+    same = (F.col("__cut_copy") == _copy_key(docs[text_col])) & F.col("__cut_id").eqNullSafe(docs[id_col].cast("long"))
+    mine = docs.join(cuts, same).drop("__cut_id", "__cut_copy")
     counted = count_col if count_col in docs.columns else None
     run = _cutter(to_arrow_schema(docs.schema), text_col, counted)
     changed = mine.mapInArrow(run, docs.schema).where(F.col(text_col).rlike(r"[^ \t\n\x0B\f\r]"))
