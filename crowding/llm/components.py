@@ -8,15 +8,18 @@ of the join can be split.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .common import stored
 
 
-def _state(edges: DataFrame) -> tuple:
+def _written(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The edges, stored, and their number and sum, observed as they are written."""
+    seen = Observation()
     both = F.xxhash64("u", "v").cast("decimal(38,0)")
-    return tuple(edges.agg(F.count("*"), F.sum(both)).first())
+    out = stored(edges.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(both).alias("s")), "edges")
+    return out, (seen.get.get("n", 0), seen.get.get("s"))
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -39,12 +42,10 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     nothing; no links give no rows."""
     x, y = F.col(a), F.col(b)
     edges = links.where(x != y).select(F.greatest(x, y).alias("u"), F.least(x, y).alias("v")).distinct()
-    edges = stored(edges, "edges")
+    edges, now = _written(edges)
     before = None
-    while (now := _state(edges)) != before:
+    while now != before and now[0]:
         before = now
-        if now[0] == 0:
-            break
-        edges = stored(_small_star(_large_star(edges).distinct()).distinct(), "edges")
+        edges, now = _written(_small_star(_large_star(edges)).distinct())
     root = edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(root)

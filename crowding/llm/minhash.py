@@ -10,10 +10,10 @@ Documents with the same shingles are one shape. Shapes that agree on a band of
 registers share a bucket; candidate pairs come from buckets, and a pair is a
 link if the Jaccard similarity of its shingle sets reaches the threshold.
 Classes are the connected components. Buckets never emit all their pairs:
-members are compared with one leader each, components are formed, and only
-buckets that still hold several components go on, to new leaders and, once few
-pairs are left, to every pair of different components that wasn't compared. So
-no link between two components stays unseen within a bucket.
+members are compared with the most central one, components are formed, and
+only buckets that still hold several components go on, to the pairs of
+different components that can be links at all. So no link
+between two components stays unseen within a bucket.
 """
 
 from __future__ import annotations
@@ -30,11 +30,14 @@ from .components import components
 
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
-BANDS = 20
-ROWS = 4
-#: Pairs of different components are listed in full once they are at most this
-#: many times the rows of all buckets; until then another leader is tried.
-PAIRS_A_ROW = 4
+BANDS = 32
+ROWS = 6
+#: Rounds in which members are compared with one leader of their bucket.
+LEADERS = 1
+#: Buckets that give all pairs of different components, and shingles that are
+#: looked up, have at most so many members.
+SMALL_BUCKET = 16
+RARE = 8
 
 _DOCS_A_STEP = 4000
 _ID_BITS = np.uint64(52)
@@ -150,27 +153,58 @@ def _copy_key(text: Column) -> Column:
 
 
 def _leaders(rows: DataFrame, turn: int) -> DataFrame:
-    """Pairs (a, b, na, nb) of each bucket's leader with its members."""
-    order = F.struct(F.xxhash64("shape", "bucket", F.lit(turn)).alias("o"), "shape", "n", "root")
-    first = rows.groupBy("bucket").agg(F.min(order).alias("l"))
-    return rows.join(first, "bucket").select(
+    """Pairs (x, y) of each bucket's leader with its members: at first the most
+    central one, that with the largest buckets, then another by hash."""
+    first = F.xxhash64("shape", "bucket", F.lit(turn)) if turn > 1 else -F.col("weight")
+    order = F.struct(first.alias("o"), "shape", "n", "root")
+    lead = rows.groupBy("bucket").agg(F.min(order).alias("l"))
+    return rows.join(lead, "bucket").select(
         F.col("l.shape").alias("x"), F.col("l.n").alias("nx"), F.col("l.root").alias("rx"),
         F.col("shape").alias("y"), F.col("n").alias("ny"), F.col("root").alias("ry"),
     )
 
 
-def _all_pairs(rows: DataFrame, threshold: float) -> DataFrame:
+def _pairs(rows: DataFrame, on: Column | None = None) -> DataFrame:
+    """Pairs of a bucket's members of different components."""
     x, y = rows.alias("x"), rows.alias("y")
-    on = (
+    both = (
         (F.col("x.bucket") == F.col("y.bucket"))
         & (F.col("x.shape") < F.col("y.shape"))
         & (F.col("x.root") != F.col("y.root"))
-        & _sizes_fit(F.col("x.n"), F.col("y.n"), threshold)
     )
-    return x.join(y, on).select(
-        F.col("x.shape").alias("x"), F.col("x.n").alias("nx"), F.col("x.root").alias("rx"),
-        F.col("y.shape").alias("y"), F.col("y.n").alias("ny"), F.col("y.root").alias("ry"),
-    )
+    return x.join(y, both if on is None else both & on).selectExpr(*_PAIR)
+
+
+_PAIR = [f"{s}.{c} AS {name}{s}" for s in "xy" for c, name in (("shape", ""), ("n", "n"), ("root", "r"))]
+
+
+def _remaining(rows: DataFrame, sets: DataFrame, bands: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of different components that share a bucket and may be links.
+
+    Small buckets give all of them. In large ones, two shapes that share no
+    rare shingle (one that at most RARE of these shapes have) share at most
+    what is left of each without its rare ones, which rules out most pairs
+    inside the join; pairs that share one come from its short list of shapes.
+    A pair that shares several buckets comes from the first of them.
+    """
+    small = rows.where(F.col("size") <= SMALL_BUCKET)
+    large = rows.where(F.col("size") > SMALL_BUCKET)
+    shapes = large.select("shape", "n", "root").distinct()
+    ids = sets.join(shapes, "shape").select("shape", "n", "root", F.explode("ids").alias("id"))
+    rare = stored(ids.join(ids.groupBy("id").agg(F.count("*").alias("c")).where(F.col("c") <= RARE), "id"), "rare")
+    member = F.struct("shape", "n", "root")
+    listed = rare.where("c > 1").groupBy("id").agg(F.collect_list(member).alias("l"))
+    crossed = F.flatten(F.transform("l", lambda x: F.transform("l", lambda y: F.struct(x.alias("x"), y.alias("y")))))
+    crossed = F.filter(crossed, lambda p: (p["x"]["shape"] < p["y"]["shape"]) & (p["x"]["root"] != p["y"]["root"]))
+    sharing = listed.select(F.explode(crossed).alias("p")).select("p.x", "p.y").selectExpr(*_PAIR)
+    kept = large.join(rare.groupBy("shape").agg(F.count("*").alias("rare")), "shape", "left").withColumn(
+        "open", F.col("n") - F.coalesce("rare", F.lit(0))
+    )
+    kept = kept.where(F.col("open") >= F.col("n") * F.lit(threshold - 1e-9)).join(bands, "shape")
+    most = F.least("x.open", "y.open")
+    bound = most >= (F.col("x.n") + F.col("y.n") - most) * F.lit(threshold - 1e-9)
+    bound = bound & (F.array_min(F.array_intersect("x.bands", "y.bands")) == F.col("x.bucket"))
+    return _pairs(small).unionByName(sharing).unionByName(_pairs(kept, bound))
 
 
 def _sizes_fit(a: Column, b: Column, threshold: float) -> Column:
@@ -196,7 +230,7 @@ def near_duplicates(
     all have it. Shingles are runs of ``words_a_shingle`` words; a shorter text
     is one shingle. Null, empty and blank texts have no shingles and are one
     class. A pair at the threshold misses all bands with probability
-    (1 - threshold**rows)**bands, 3e-5 by default, more similar ones less.
+    (1 - threshold**rows)**bands, 6e-5 by default, more similar ones less.
     An empty table gives an empty result; other columns are not read.
     """
     k = words_a_shingle
@@ -217,11 +251,14 @@ def near_duplicates(
         "shapes",
     )
     spread = shapes.select("shape", "n", F.explode("bands").alias("bucket"))
-    shared = spread.groupBy("bucket").agg(F.count("*").alias("c")).where(F.col("c") > 1).select("bucket")
+    # Written, so that the planner knows its size when it joins it.
+    shared = stored(spread.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"), "shared")
+    members = stored(spread.join(shared, "bucket"), "buckets")
+    weight = members.groupBy("shape").agg(F.sum("size").alias("weight"))
     members = stored(
-        spread.join(shared, "bucket").select("bucket", "shape", "n", F.col("shape").alias("root")), "buckets"
+        members.join(weight, "shape").select("bucket", "size", "shape", "n", "weight", F.col("shape").alias("root")), "buckets"
     )
-    keys = members.select("shape").distinct()
+    keys = stored(weight.select("shape"), "candidates")
     # One text per candidate shape, found again by its row's id and MD5.
     wanted = shapes.join(keys, "shape", "left_semi").select("shape", "first")
     row = (F.col("copy") == F.col("first.copy")) & F.col("doc_id").eqNullSafe(F.col("first.doc_id"))
@@ -231,22 +268,16 @@ def near_duplicates(
         "shingles",
     )
 
-    total = members.count()
-    left, links, tested = members, None, None
-    turn = 0
-    while total:
-        turn += 1
-        full = False
+    left, links, tested, roots = members, None, None, None
+    for turn in range(1, LEADERS + 2):
         if turn > 1:
-            per = left.groupBy("bucket", "root").count()
-            pairs = per.groupBy("bucket").agg(
-                ((F.sum("count") * F.sum("count") - F.sum(F.col("count") * F.col("count"))) / 2).alias("p")
-            )
-            open_pairs = pairs.agg(F.sum("p")).first()[0] or 0
-            if open_pairs == 0:
-                break
-            full = open_pairs <= PAIRS_A_ROW * total
-        raw = _all_pairs(left, threshold) if full else _leaders(left, turn)
+            now = members.drop("root").join(
+                roots.select(F.col("node").alias("shape"), "root"), "shape", "left"
+            ).withColumn("root", F.coalesce("root", "shape"))
+            now = stored(now, "rooted")
+            mixed = now.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
+            left = stored(now.join(mixed.select("bucket"), "bucket", "left_semi"), "mixed")
+        raw = _leaders(left, turn) if turn <= LEADERS else _remaining(left, sets, shapes.select("shape", "bands"), threshold)
         raw = raw.where((F.col("rx") != F.col("ry")) & _sizes_fit(F.col("nx"), F.col("ny"), threshold))
         pairs = raw.select(
             F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"),
@@ -266,21 +297,11 @@ def near_duplicates(
         links = found if links is None else links.unionByName(found)
         tested = checked.select("a", "b") if tested is None else tested.unionByName(checked.select("a", "b"))
         roots = components(links, "a", "b")
-        if full:
-            break
-        now = members.drop("root").join(
-            roots.select(F.col("node").alias("shape"), "root"), "shape", "left"
-        ).withColumn("root", F.coalesce("root", "shape"))
-        now = stored(now, "rooted")
-        mixed = now.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
-        left = now.join(mixed.select("bucket"), "bucket", "left_semi")
-
-    named = shapes.select("shape", "first", "docs")
-    if links is not None:
-        named = named.join(roots.select(F.col("node").alias("shape"), "root"), "shape", "left")
-        named = named.withColumn("root", F.coalesce("root", "shape"))
-    else:
-        named = named.withColumn("root", F.col("shape"))
+
+    named = shapes.select("shape", "first", "docs").join(
+        roots.select(F.col("node").alias("shape"), "root"), "shape", "left"
+    )
+    named = named.withColumn("root", F.coalesce("root", "shape"))
     classes = named.groupBy("root").agg(F.min("first").alias("keep"), F.sum("docs").alias("class_size"))
     by_shape = named.select("shape", "root").join(classes, "root").select("shape", "keep", "class_size")
     keeps = F.col("doc_id").eqNullSafe(F.col("keep.doc_id")) & (F.col("copy") == F.col("keep.copy"))
@@ -302,12 +323,12 @@ def one_of_each(docs: DataFrame, classes: DataFrame, *, id_col: str = "doc_id",
     again = classes.where("keeps").groupBy(*key).count().where(F.col("count") > 1).select(*key)
     row_id, row_copy = docs[id_col].cast("long"), _copy_key(docs[text_col])
 
-    other = gone.unionByName(again).withColumnRenamed("doc_id", "gone_id").withColumnRenamed("copy", "gone_copy")
+    other = gone.unionByName(again).withColumnRenamed("doc_id", "__gone_id").withColumnRenamed("copy", "__gone_copy")
     stay = docs.join(
-        other, (F.col("gone_copy") == row_copy) & F.col("gone_id").eqNullSafe(row_id), "left_anti"
+        other, (F.col("__gone_copy") == row_copy) & F.col("__gone_id").eqNullSafe(row_id), "left_anti"
     )
-    twice = again.withColumnRenamed("doc_id", "again_id").withColumnRenamed("copy", "again_copy")
+    twice = again.withColumnRenamed("doc_id", "__again_id").withColumnRenamed("copy", "__again_copy")
     doubled = docs.join(
-        twice, (F.col("again_copy") == row_copy) & F.col("again_id").eqNullSafe(row_id), "left_semi"
+        twice, (F.col("__again_copy") == row_copy) & F.col("__again_id").eqNullSafe(row_id), "left_semi"
     )
     return stay.unionByName(doubled.dropDuplicates([id_col, text_col]))
