@@ -24,7 +24,7 @@ CORE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Runtime broadcast threshold, checked against actual shuffle bytes.
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
     # Plan-time broadcast threshold, checked against size statistics.
     "spark.sql.autoBroadcastJoinThreshold": "10MB",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
