@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from .pretokens import ChunkIds, text_groups
 
 _GROUP_CHARS = 2_000_000
-_CACHE_CHARS = 100_000_000
+_CACHE_CHARS = 75_000_000
 
 
 #: One bit of a bitmap word; words and their directory have 256 bits.

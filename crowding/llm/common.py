@@ -18,7 +18,7 @@ from ..session import scratch_path
 
 #: Bytes of text that one vectorised step handles at a time; a longer single
 #: document is a step of its own.
-STEP_BYTES = 4 << 20
+STEP_BYTES = 1 << 20
 
 _WS = np.zeros(256, dtype=bool)
 _WS[[9, 10, 11, 12, 13, 32]] = True

@@ -44,7 +44,7 @@ _AFFIX = [[fmix(np.arange(256, dtype=np.uint64) + np.uint64((9 + 3 * a + i) << 9
 
 
 def _bucket(h: np.ndarray) -> np.ndarray:
-    return (fmix(h) >> np.uint64(49)).astype(np.int64)
+    return (fmix(h) >> np.uint64(49)).astype(np.int32)
 
 
 @dataclass
@@ -78,15 +78,18 @@ def read_words(data: np.ndarray, offsets: np.ndarray) -> Words:
     if len(starts) == 0:
         none = np.zeros(0, np.int64)
         return Words(first, none, none, np.zeros((0, 6), np.int64), np.zeros(0, np.uint64))
-    left = np.zeros(len(low), np.int64)
+    left = np.zeros(len(low), np.int16)
     left[1:] = low[:-1]
     left[starts] = 256
-    right = np.zeros(len(low), np.int64)
+    right = np.zeros(len(low), np.int16)
     right[:-1] = low[1:]
     right[ends - 1] = 257
-    tri = _bucket((_TRI[0][left] + _TRI[1][low] + _TRI[2][right])[letter])
+    h = _TRI[0][left[letter]]
+    h += _TRI[1][low[letter]]
+    h += _TRI[2][right[letter]]
+    tri = _bucket(h)
     size = ends - starts
-    affix = np.full((len(starts), 6), _BUCKETS, np.int64)
+    affix = np.full((len(starts), 6), _BUCKETS, np.int32)
     for a in (0, 1):
         h = np.zeros(len(starts), np.uint64)
         for i in range(3):
@@ -145,6 +148,7 @@ def marginals(scores: np.ndarray, moves: np.ndarray, first: np.ndarray) -> tuple
     expected = np.zeros((k, k))
     if len(scores) == 0:
         return np.zeros((0, k)), expected, 0.0
+    scores = scores.astype(np.float64)
     # Chains in descending length; words place by place, so that a place's
     # words of all chains lie together.
     rank = np.argsort(-size, kind="stable")
@@ -259,6 +263,7 @@ def fit_texts(texts: list[str], labels: list[str]) -> LanguageModel:
                 g = g / len(some)
                 a += g * g
                 x -= 0.2 * g / np.sqrt(a)
+    model.weights, model.lexicon_weights = weights.astype(np.float32), lex_weights.astype(np.float32)
     return model
 
 
