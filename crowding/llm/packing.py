@@ -24,7 +24,7 @@ CAPACITY = 1024
 END_ID = 0
 _GROUP_CHARS = 2_000_000
 _OUT_BYTES = 8_000_000
-_CACHE_CHARS = 60_000_000
+_CACHE_CHARS = 70_000_000
 _SEQUENCES_A_TASK = 1 << 33
 
 SCHEMA = (
