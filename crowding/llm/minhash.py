@@ -1,10 +1,12 @@
 """Near-duplicate classes by ProbMinHash, banding and verification.
 
-A document is the weighted set of its word shingles, weight 1 + ln(count). Each
-shingle is a Poisson process whose rate is its weight; an arrival falls on one
-register, which keeps the shingle of its earliest arrival. Two documents agree
-on a register with the probability Jaccard similarity of their sets. Shingles
-whose next arrival is later than all of the document's registers stop early.
+A document is the set of its word shingles. Each shingle is a Poisson process
+whose rate is its weight; an arrival falls on one register, which keeps the
+shingle of its earliest arrival. Two documents agree on a register with the
+probability Jaccard similarity of their weighted sets. Shingles whose next
+arrival is later than all of the document's registers stop early. All weights
+are 1, however often a shingle occurs: then that similarity is the Jaccard
+similarity of the sets, by which a pair is a link.
 
 Documents with the same shingles are one shape. Shapes that agree on a band of
 registers share a bucket; candidate pairs come from buckets, and a pair is a
@@ -44,10 +46,8 @@ _ID_BITS = np.uint64(52)
 _ID_MASK = np.uint64((1 << 52) - 1)
 
 
-def weighted_shingles(
-    data: np.ndarray, offsets: np.ndarray, k: int
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct shingles of at most 4095 documents: document, 52-bit id, count.
+def distinct_shingles(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingles of at most 4095 documents: document, 52-bit id.
 
     In ascending order of document and id.
     """
@@ -56,9 +56,8 @@ def weighted_shingles(
     doc = np.repeat(np.arange(len(index) - 1, dtype=np.uint64), np.diff(index))
     key = np.sort(doc << _ID_BITS | h >> np.uint64(12))
     at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
-    count = np.diff(np.append(at, len(key)))
     key = key[at]
-    return (key >> _ID_BITS).astype(np.int64), key & _ID_MASK, count
+    return (key >> _ID_BITS).astype(np.int64), key & _ID_MASK
 
 
 def prob_min_hash(doc: np.ndarray, ids: np.ndarray, weight: np.ndarray, n: int, m: int) -> np.ndarray:
@@ -104,11 +103,11 @@ def _sketcher(k: int, bands: int, rows: int):
                 part = batch.slice(lo, _DOCS_A_STEP)
                 for first, data, offsets in text_steps(part.column(1)):
                     n = len(offsets) - 1
-                    doc, ids, count = weighted_shingles(data, offsets, k)
+                    doc, ids = distinct_shingles(data, offsets, k)
                     size = np.bincount(doc, minlength=n)
                     digest = np.stack([_sums(fmix(ids + np.uint64(c)), doc, n) for c in (1 << 60, 3 << 60)], axis=1)
                     shape = np.ascontiguousarray(digest).tobytes()
-                    win = prob_min_hash(doc, ids, 1 + np.log(count), n, bands * rows)
+                    win = prob_min_hash(doc, ids, np.ones(len(ids)), n, bands * rows)
                     mixed = np.tile(band_seed, (n, 1))
                     for r in range(rows):
                         mixed = fmix(mixed * np.uint64(0x9E3779B97F4A7C15) + win.reshape(n, bands, rows)[:, :, r])
@@ -138,7 +137,7 @@ def _shingle_lists(k: int):
                 part = batch.slice(lo, 500)
                 for first, data, offsets in text_steps(part.column(1)):
                     n = len(offsets) - 1
-                    doc, ids, _ = weighted_shingles(data, offsets, k)
+                    doc, ids = distinct_shingles(data, offsets, k)
                     edge = np.searchsorted(doc, np.arange(n + 1)).astype(np.int32)
                     listed = pa.ListArray.from_arrays(pa.array(edge), pa.array(as_long(ids)))
                     yield pa.RecordBatch.from_arrays(
@@ -230,7 +229,8 @@ def near_duplicates(
     all have it. Shingles are runs of ``words_a_shingle`` words; a shorter text
     is one shingle. Null, empty and blank texts have no shingles and are one
     class. A pair at the threshold misses all bands with probability
-    (1 - threshold**rows)**bands, 6e-5 by default, more similar ones less.
+    (1 - threshold**rows)**bands, 6e-5 by default, more similar ones less,
+    whatever the counts of their shingles.
     An empty table gives an empty result; other columns are not read.
     """
     k = words_a_shingle

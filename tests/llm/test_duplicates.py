@@ -62,6 +62,30 @@ def test_classes_equal_brute_force(spark, monkeypatch, small, rare):
     assert {k: sorted(v) for k, v in got.items()} == brute_classes(rows)
 
 
+def repeating_pages():
+    """Pages in four copies: each with its own footer, or the page's own line,
+    repeated once to hundreds of times."""
+    rows = []
+    for page in range(15):
+        body = " ".join(f"p{page}w{i}" for i in range(120))
+        line = " ".join(f"p{page}l{i}" for i in range(8))
+        for copy, times in enumerate((50, 300, 1, 300)):
+            footer = " ".join(f"p{page}c{copy}f{i}" for i in range(6))
+            rows.append(f"{body} " + " ".join([line if copy > 1 else footer] * times))
+    return list(enumerate(rows))
+
+
+def test_classes_of_texts_that_repeat_lines(spark):
+    rows = repeating_pages()
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = defaultdict(list)
+    for r in minhash.near_duplicates(df).collect():
+        got[r["class_id"]].append(str(r["doc_id"]))
+    want = brute_classes(rows)
+    assert len(want) == 15
+    assert {k: sorted(v) for k, v in got.items()} == want
+
+
 def test_near_duplicates_edge_rows(edge, nothing):
     rows = [(r["doc_id"], r["text"]) for r in edge.collect()]
     classes = minhash.near_duplicates(edge)
