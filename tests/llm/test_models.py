@@ -4,6 +4,7 @@ from itertools import product
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from crowding.llm import langid, quality, queries
 
@@ -96,6 +97,39 @@ def test_code_switched_text(spark):
     assert model.langs == ["de", "en"] and share[0, 1] == pytest.approx(0.75, abs=0.1)
 
 
+def copied_texts(spark):
+    """40 texts: the ones with the smallest and the largest place have 3000 copies each."""
+    texts = [f"text number {i} of the {i * i} that have words of their own" for i in range(40)]
+    df = spark.createDataFrame([(t, "en") for t in texts], "text string, lang string")
+    order = [r["text"] for r in df.orderBy(F.pmod(F.xxhash64("text"), F.lit(1 << 30))).collect()]
+    rows = texts + 3000 * [order[0], order[-1]]
+    return order, spark.createDataFrame([(t, "en") for t in rows], df.schema).repartition(3)
+
+
+def test_language_sample_has_distinct_texts(spark, monkeypatch):
+    order, docs = copied_texts(spark)
+    seen = []
+    monkeypatch.setattr(langid, "fit_texts", lambda texts, labels: seen.append((texts, labels)))
+    langid.fit(docs, train_texts=10)
+    langid.fit(docs, train_texts=100)
+    langid.fit(docs, train_texts=10, train_chars=14)
+    assert seen == [
+        (order[:10], ["en"] * 10), (order, ["en"] * 40), ([t[:14] for t in order[:10]], ["en"] * 10)
+    ]
+
+
+def test_quality_sample_has_distinct_texts(spark, monkeypatch):
+    order, docs = copied_texts(spark)
+    seen = []
+    monkeypatch.setattr(quality, "fit_scorer", lambda x, p: seen.append(x) or (np.zeros(quality.FEATURES), 0.0))
+    quality.fit(docs, train_docs=10)
+    quality.fit(docs, train_docs=100)
+    for x, texts in zip(seen, (order[:10], order), strict=True):
+        raw = [t.encode() for t in texts]
+        want = quality.features(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+        assert sorted(map(bytes, x)) == sorted(map(bytes, want.astype(np.float32)))
+
+
 def test_languages_edge_rows(edge, nothing):
     model = langid.fit(edge)
     out = langid.predict(edge, model).collect()
