@@ -59,6 +59,21 @@ def test_stages_keep_clean_documents(spark, small_docs):
     assert known.join(clean, "doc_id").count() >= 0.97 * n
 
 
+def test_language_stage_on_unlearned_languages(spark, small_docs):
+    """A model of few texts splits them evenly; README says what a larger one does."""
+    texts = {
+        -1: "Η γλώσσα αυτού του κειμένου δεν είναι γνωστή στο μοντέλο και όμως παίρνει μία ετικέτα",
+        -2: "これは 学習 されて いない 言語 の 文章 です",
+        -3: "W tym tekście nie ma ani jednego zdania w języku, który model poznał podczas nauki",
+        -4: "12 34 !!",
+        -5: "",
+    }
+    rows = [(i, t, None, "s", len(t)) for i, t in texts.items()]
+    docs = small_docs.unionByName(spark.createDataFrame(rows, small_docs.schema))
+    kept = corpus_pipeline.language_stage(spark, docs, SF).where("doc_id < 0").collect()
+    assert kept == []
+
+
 def test_edge_and_empty_tables(spark, edge, nothing):
     for docs in (edge, nothing):
         out = run_stages(spark, docs)
