@@ -13,7 +13,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprint, langid, minhash, packing, preference, quality, sharding, suffixes, topk
+from . import (
+    alignment,
+    bpe,
+    exact_dedup,
+    fingerprint,
+    langid,
+    minhash,
+    negatives,
+    packing,
+    preference,
+    quality,
+    sharding,
+    suffixes,
+    topk,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -130,3 +144,30 @@ def op9_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 best of all other vectors for each vector whose id is divisible by 50."""
     return topk.exact_top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256)
+
+
+@_query
+def op11_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of the vectors whose id is divisible by 100; a seventh of the labels is off by one."""
+    rows = _table(spark, sf_dir, "embeddings")
+    vec_id, label = F.col("vec_id"), F.col("label")
+    noisy = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+    out = negatives.hard_negatives(rows, vec_id % 100 == 0, noisy)
+    return out.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
+@_query
+def op12_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which document stays of each set of equal texts."""
+    out = exact_dedup.exact_duplicates(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+@_query
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Align a byte-level and a sentencepiece tokenizer over every document."""
+    return alignment.alignment(
+        _table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+    )
