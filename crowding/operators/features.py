@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import WEEKEND_DAYS, as_timestamp, time_window
 from ._joins import join_on_keys
+from .numbering import group_ranks
 
 HOUR_KEYS = ["station_complex", "station_complex_id", "transit_timestamp", "borough"]
 NAME_MONTH = ["station_complex", "year", "month"]
@@ -75,6 +76,17 @@ def monthly_total_rank(hours: DataFrame) -> DataFrame:
     return join_on_keys(hours, ranked, NAME_MONTH, how="left", null_safe=True)
 
 
+def hour_ranks(hours: DataFrame) -> DataFrame:
+    """Dense rank (largest first) and percent rank (smallest first) of every hour row in its month.
+
+    A month of hour rows is too large a group for one window task, so the ranks
+    come from ``group_ranks``. Null ridership ranks last, and lowest.
+    """
+    month = ["year", "month"]
+    dense = group_ranks(hours, month, "ridership", descending=True, nulls_last=True, dense="hour_rank", percent="_p")
+    return group_ranks(dense.drop("_p"), month, "ridership", dense="_d", percent="hour_pctl").drop("_d")
+
+
 HOURS_COLUMNS = [
     "station_complex",
     "station_complex_id",

@@ -24,6 +24,8 @@ class GateSpec:
     min_rows: int
     name_check: bool = False
     max_unknown: int = 10
+    #: Records that a delivery may have which can't be read; None: any number.
+    max_rejected: int | None = None
 
 
 # The reference's gate configuration per dataset.
@@ -121,6 +123,24 @@ def quality_report(df: DataFrame, spec: GateSpec, known: DataFrame | None = None
     )
 
 
+def rejection_report(rejected: DataFrame, spec: GateSpec) -> DataFrame:
+    """Report rows of the records that could not be read: the total, then one per reason.
+
+    The total is checked against ``max_rejected``; the reasons are for information.
+    """
+    limit = F.lit(spec.max_rejected).cast("long")
+    columns = lambda check, reason, n, passed: [
+        F.lit(spec.dataset).alias("dataset"), F.lit(check).alias("check"), reason.alias("column"),
+        n.cast("long").alias("value"), limit.alias("threshold"), passed.alias("passed"),
+    ]
+    by_reason = rejected.groupBy("reject_reason").agg(F.count("*").alias("n"))
+    total = rejected.agg(F.count("*").alias("n"))
+    within = F.coalesce(F.col("n") <= limit, F.lit(True))
+    return total.select(*columns("rejected_rows", F.lit(None).cast("string"), F.col("n"), within)).unionByName(
+        by_reason.select(*columns("rejected_reason", F.col("reject_reason"), F.col("n"), F.lit(True)))
+    )
+
+
 def enforce(report: DataFrame) -> None:
     """Raise ``GateFailure`` listing the failed checks, if any."""
     failed = report.filter(~F.col("passed")).collect()
@@ -137,6 +157,7 @@ def gate_status(report: DataFrame) -> DataFrame:
     return report.groupBy("dataset").agg(
         F.max(F.when(F.col("check") == "row_count", F.col("value"))).alias("rows_ingested"),
         F.when(F.bool_and("passed"), F.lit("success")).otherwise(F.lit("failed")).alias("status"),
+        F.max(F.when(F.col("check") == "rejected_rows", F.col("value"))).alias("rows_rejected"),
     )
 
 
@@ -149,6 +170,7 @@ def audit_records(report: DataFrame, source_file: str, run_time: str | None = No
         "rows_ingested",
         F.lit(source_file).alias("source_file"),
         "status",
+        "rows_rejected",
     )
 
 

@@ -550,6 +550,7 @@ for _stated, _latest in (
     ("flagged_month_top10", "flagged_latest_top10"),
     ("scatter_points_month", "scatter_points"),
     ("trend_series_month", "trend_series_all"),
+    ("trend_series_flagged_month", "trend_series_flagged"),
 ):
     QUERIES[_stated] = QUERIES[_latest].replace(LATEST_MONTH, STATED_MONTH)
 _FLAGGED_HEAT = """
@@ -621,3 +622,44 @@ ridership AS (
   WHERE NOT ({_SEPTEMBER} AND CAST(station_complex_id AS BIGINT) % 5 = 0)
 )""",
 )
+
+QUERIES["landed_pages"] = q(
+    f"""SELECT CAST((rn - 1) // 5000 AS BIGINT) AS page, CAST(min(rn) AS BIGINT) AS first_row,
+               CAST(count(*) AS BIGINT) AS n_rows, CAST(count(*) AS BIGINT) AS rows_read,
+               min(transit_timestamp) AS first_time, max(transit_timestamp) AS last_time,
+               {r6('SUM(ridership)')} AS ridership
+        FROM (SELECT *, row_number() OVER (ORDER BY transit_timestamp, station_complex_id, payment_method,
+                fare_class_category, transfers, ridership) AS rn FROM ridership)
+        GROUP BY 1""",
+    (RIDERSHIP,),
+)
+QUERIES["hour_ranks"] = q(
+    f"""SELECT station_complex, station_complex_id, transit_timestamp, borough, {r6('ridership')} AS ridership,
+               CAST(dense_rank() OVER (PARTITION BY year, month ORDER BY ridership DESC NULLS LAST) AS INTEGER) AS hour_rank,
+               {r6('percent_rank() OVER (PARTITION BY year, month ORDER BY ridership NULLS FIRST)')} AS hour_pctl
+        FROM feat""",
+    (RIDERSHIP, HOURS),
+)
+_SPOILED = """
+spoiled AS (
+  SELECT *, CASE WHEN transfers = 1 AND ridership = 13 THEN 'number: ridership'
+                 WHEN transfers = 2 AND ridership = 17 THEN 'time: transit_timestamp'
+                 WHEN transfers = 3 AND ridership = 19 THEN 'number of fields'
+                 WHEN transfers = 4 AND ridership = 23 THEN 'number: ridership; number: latitude' END AS reject_reason
+  FROM ridership)"""
+QUERIES["rejected_records"] = q(
+    f"""SELECT reject_reason, CAST(count(*) AS BIGINT) AS records,
+               {r6('SUM(CASE WHEN reject_reason IS NULL THEN ridership END)')} AS ridership,
+               CAST(count(reject_reason) AS BIGINT) AS kept_texts
+        FROM spoiled GROUP BY 1""",
+    (RIDERSHIP, _SPOILED),
+)
+QUERIES["checked_monthly_run"] = QUERIES["audit_rows"].replace(
+    RIDERSHIP, RIDERSHIP + "," + _SPOILED
+).replace(
+    "m AS (SELECT * FROM ridership WHERE", "m AS (SELECT * FROM spoiled WHERE reject_reason IS NULL AND"
+).replace(
+    "FROM st, range(2)",
+    ", '2001-11' AS run_id, CASE WHEN dataset = 'ridership' THEN (SELECT CAST(count(*) AS DOUBLE) FROM spoiled "
+    "WHERE reject_reason IS NOT NULL) END AS rows_rejected FROM st",
+)

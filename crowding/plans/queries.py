@@ -19,7 +19,7 @@ from .. import schemas
 from ..functions.numeric import round_doubles
 from ..operators import delay, features, quality, reports, risk, stress
 from ..session import scratch_path
-from ..sources import fixtures, lake, landing, slices
+from ..sources import fixtures, lake, landing, records, slices
 from ..streaming import start_monthly_feed
 from . import runs
 from .inputs import Inputs
@@ -405,7 +405,7 @@ def audit_rows(i: Inputs) -> DataFrame:
     )
     for _ in range(2):
         lake.append_audit(quality.audit_records(report, "ridership_2001_11", RUN_TIME), path)
-    return lake.read_table(i.spark, path, schemas.AUDIT)
+    return lake.read_table(i.spark, path, schemas.AUDIT).drop("rows_rejected", "run_id")
 
 
 @register("csv_route_bridge")
@@ -508,3 +508,74 @@ def corrected(raw: DataFrame, start: _dt.date, end: _dt.date) -> DataFrame:
     inside = (ts >= F.lit(start).cast("timestamp_ntz")) & (ts < F.lit(end).cast("timestamp_ntz"))
     gone = inside & (F.col("station_complex_id").cast("long") % 5 == 0)
     return raw.filter(~gone).withColumn("ridership", F.when(inside, F.col("ridership") * 2).otherwise(F.col("ridership")))
+
+
+#: Rows of a page and pages of a job, small enough that the mapped data has many.
+QUERY_PAGE_ROWS, QUERY_PAGES_A_JOB = 5000, 4
+
+
+@register("landed_pages")
+def landed_pages(i: Inputs) -> DataFrame:
+    """All raw rows landed as numbered pages of exactly 5,000, by a landing
+    that stops after its first lot of pages and is started again."""
+    path = scratch_path(i.spark, "landing-fixed")
+    order = ("transit_timestamp", "station_complex_id", "payment_method", "fare_class_category", "transfers", "ridership")
+    for most in (1, None):
+        landing.land_fixed_pages(i.raw, path, order, QUERY_PAGE_ROWS, QUERY_PAGES_A_JOB, most)
+    pages = landing.read_fixed_pages(i.spark, path, schemas.RIDERSHIP)
+    read = pages.groupBy("page").agg(
+        F.count("*").alias("rows_read"), F.min("transit_timestamp").alias("first_time"),
+        F.max("transit_timestamp").alias("last_time"), F.sum("ridership").alias("ridership"),
+    )
+    return landing.read_manifest(i.spark, path).join(read, "page")
+
+
+@register("hour_ranks")
+def hour_ranks(i: Inputs) -> DataFrame:
+    """W3-W5 over a large group: every hour row ranked in its month."""
+    return features.hour_ranks(i.hour_features).select(
+        "station_complex", "station_complex_id", "transit_timestamp", "borough", "ridership", "hour_rank", "hour_pctl"
+    )
+
+
+def _delivered(i: Inputs) -> str:
+    """The raw rows as CSV files without a header, some records spoiled."""
+    path = scratch_path(i.spark, "delivered-csv")
+    fixtures.delivered_lines(i.raw).write.text(path)
+    return path
+
+
+@register("rejected_records")
+def rejected_records(i: Inputs) -> DataFrame:
+    """Good and rejected records of a spoiled delivery, by reason."""
+    rows = records.read_checked_csv(i.spark, _delivered(i), schemas.RIDERSHIP, header=False)
+    good = F.when(F.col("reject_reason").isNull(), F.col("ridership"))
+    return rows.groupBy("reject_reason").agg(
+        F.count("*").alias("records"), F.sum(good).alias("ridership"),
+        F.count_if(F.col("record").isNotNull()).alias("kept_texts"),
+    )
+
+
+@register("checked_monthly_run")
+def checked_monthly_run(i: Inputs) -> DataFrame:
+    """A month delivered as spoiled CSV, run twice under one id: its audit rows."""
+    root = scratch_path(i.spark, "lake-checked")
+    start, _ = slices.previous_month(AS_OF)
+    history = i.raw.filter(F.col("transit_timestamp") < F.lit(start).cast("timestamp_ntz"))
+    runs.build_history(i.spark, history, i.apt, i.stations, root, i.baseline_year)
+    path = _delivered(i)
+    for _ in range(2):
+        runs.run_csv_month(
+            i.spark, path, i.apt, root, AS_OF, "ridership_2001_11", FIXTURE_GATES,
+            run_time=RUN_TIME, run_id="2001-11", header=False,
+        )
+    audit = lake.read_table(i.spark, lake.LakePaths(root).audit, schemas.AUDIT)
+    # Nullable integers as doubles, see NULLABLE_INTS.
+    return audit.withColumn("rows_rejected", F.col("rows_rejected").cast("double"))
+
+
+@register("trend_series_flagged_month")
+def trend_series_flagged_month(i: Inputs) -> DataFrame:
+    """C19 with the flagged stations of a stated month."""
+    top = reports.flagged_latest_top(_month(i, REPORT_MONTH))
+    return reports.trend_series(i.csi_stored, top, None, TREND_FROM_MONTH, TREND_START)

@@ -1,15 +1,17 @@
 """Full-history build and the incremental monthly run.
 
-Both are sequences of Spark jobs that meet at the lake: each stage writes a
-table and the next reads it back, which cuts the lineage (a lost executor
+Both are sequences of Spark jobs that meet at written tables: each stage writes
+one and the next reads it back, which cuts the lineage (a lost executor
 never forces recomputation from the raw extract) and lets later scans prune
-(year, month) partitions. Every write overwrites whole partitions, so a
-re-run or retry of a month replaces it.
+(year, month) partitions. A monthly run stages all its tables and replaces
+whole partitions of the lake at its end, so a re-run or retry of a month
+replaces it, and a run that is cut off leaves no half.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -17,9 +19,9 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions.calendar import as_timestamp, first_of_month
 from ..operators import delay, features, quality, risk, stress
-from ..session import scratch_path
-from ..sources import lake, landing
+from ..sources import lake, landing, records
 from ..sources.slices import previous_month, time_range
+from .ledger import Ledger, Stage, publish
 
 ROLLING_HISTORY = risk.ROLLING_ROWS - 1
 CSI_BASE_COLUMNS = [c for c in risk.CSI_TABLE_COLUMNS if c not in ("csi_6mo_rolling", "apt_6mo_rolling")]
@@ -103,65 +105,76 @@ def _month_list(df: DataFrame) -> set[tuple[int, int]]:
     return {(r["year"], r["month"]) for r in df.select("year", "month").distinct().collect()}
 
 
-def _refresh_following(spark: SparkSession, paths: lake.LakePaths, start, end) -> None:
-    """Recompute the rolling means that reach back into the months [start, end).
+def _following(before: DataFrame, after: DataFrame, end) -> DataFrame | None:
+    """Rows of stored months whose rolling means reach back before ``end``, recomputed.
 
-    Those are the next five stored rows of each station. The months that hold
-    them are recomputed as a whole, from their own rows and the five before,
-    by way of a written copy, as a table can't be read and overwritten at once.
+    ``before`` and ``after`` are the station-month rows before and from ``end``.
+    Those concerned are the next five stored rows of each station. The months
+    that hold them are recomputed as a whole, from their own rows and the five
+    before. None, where there are no such months.
     """
-    stored = lake.read_table(spark, paths.csi, schemas.CSI)
     month = first_of_month("year", "month")
     w = Window.partitionBy("station_complex_id").orderBy("year", "month", "station_complex", "borough")
-    following = stored.filter(month >= F.lit(end).cast("date")).withColumn("_rn", F.row_number().over(w))
-    last = following.filter(F.col("_rn") <= ROLLING_HISTORY).agg(F.max(month).alias("m")).first()["m"]
+    numbered = after.withColumn("_rn", F.row_number().over(w))
+    last = numbered.filter(F.col("_rn") <= ROLLING_HISTORY).agg(F.max(month).alias("m")).first()["m"]
     if last is None:
-        return
-    span = stored.filter((month >= F.lit(end).cast("date")) & (month <= F.lit(last)))
-    before = last_rows_per_station(stored.filter(month < F.lit(end).cast("date")))
-    rolled = risk.rolling_means(
-        span.select(*CSI_BASE_COLUMNS).unionByName(before.select(*CSI_BASE_COLUMNS))
-    ).filter(month >= F.lit(end).cast("date"))
-    copy = scratch_path(spark, "csi-following")
-    lake.write_table(lake.conform(rolled, schemas.CSI), copy)
-    lake.write_partitioned(lake.read_table(spark, copy, schemas.CSI), paths.csi)
-
-
-def update_months(spark: SparkSession, raw_new: DataFrame, paths: lake.LakePaths, start, end,
-                  baseline_year: int | None = None) -> None:
-    """Recompute hours and CSI for the months in [start, end) of ``raw_new``.
-
-    Month totals, ranks and percentiles only need the new months; the 6-row
-    rolling means also need each station's last five stored rows, which are
-    read from the CSI table and unioned in before the window. When later
-    months are stored already, the rolling means that reach back into the
-    recomputed ones are refreshed too. Stored months of the range that the new
-    rows don't have go.
+        return None
+    span = after.filter(month <= F.lit(last)).select(*CSI_BASE_COLUMNS)
+    rolled = risk.rolling_means(span.unionByName(last_rows_per_station(before).select(*CSI_BASE_COLUMNS)))
+    return rolled.filter(month >= F.lit(end).cast("date"))
+
+
+def stage_months(spark: SparkSession, raw_new: DataFrame, apt_new: DataFrame | None, paths: lake.LakePaths,
+                 stage: Stage, start, end, baseline_year: int | None = None) -> None:
+    """Recompute hours and CSI for the months in [start, end) of ``raw_new``, in the stage.
+
+    Nothing in the lake changes. Month totals, ranks and percentiles only need
+    the new months; the 6-row rolling means also need each station's last five
+    stored rows, which are read from the CSI table and unioned in before the
+    window. When later months are stored already, the rolling means that reach
+    back into the recomputed ones are staged too. Stored months of the range
+    that the new rows don't have are listed as gone. APT months that
+    ``apt_new`` has take the place of the stored ones.
     """
-    landed = _with_month(time_range(raw_new, "transit_timestamp", start, end))
+    lake.write_partitioned(_with_month(time_range(raw_new, "transit_timestamp", start, end)), stage.path("ridership"))
+    raw = lake.read_table(spark, stage.path("ridership"), schemas.RIDERSHIP_MONTHS)
     stored_raw = lake.read_table(spark, paths.ridership, schemas.RIDERSHIP_MONTHS)
-    gone = _month_list(_months_between(stored_raw, start, end)) - _month_list(landed)
-    lake.write_partitioned(landed, paths.ridership)
-    for path in (paths.ridership, paths.hours, paths.csi):
-        lake.drop_months(spark, path, gone)
-    raw = _months_between(lake.read_table(spark, paths.ridership, schemas.RIDERSHIP_MONTHS), start, end)
-    lake.write_partitioned(lake.conform(features.ridership_transformed(raw), schemas.HOURS), paths.hours)
-    hours = _months_between(lake.read_table(spark, paths.hours, schemas.HOURS), start, end)
+    gone = _month_list(_months_between(stored_raw, start, end)) - _month_list(raw)
+    if gone:
+        lake.write_table(spark.createDataFrame(sorted(gone), schemas.MONTHS), stage.path("gone"))
+    lake.write_partitioned(lake.conform(features.ridership_transformed(raw), schemas.HOURS), stage.path("hours"))
+    hours = lake.read_table(spark, stage.path("hours"), schemas.HOURS)
 
     baseline = lake.require_baseline(spark, paths.baseline, baseline_year)
     apt = _apt_months_between(lake.read_table(spark, paths.apt, schemas.APT), start, end)
+    if apt_new is not None:
+        lake.write_partitioned(lake.conform(apt_new, schemas.APT), stage.path("apt"), ("year", "month_num"))
+        fresh = lake.read_table(spark, stage.path("apt"), schemas.APT)
+        replaced = fresh.select("year", "month_num").distinct()
+        apt = apt.join(replaced, ["year", "month_num"], "left_anti").unionByName(_apt_months_between(fresh, start, end))
     new_rows = station_month_table(
         hours, baseline, lake.read_table(spark, paths.route_lookup, schemas.ROUTE_LOOKUP), apt
     )
 
     stored = lake.read_table(spark, paths.csi, schemas.CSI)
-    before = stored.filter(first_of_month("year", "month") < F.lit(start).cast("date"))
+    month = first_of_month("year", "month")
+    before = stored.filter(month < F.lit(start).cast("date"))
     history = last_rows_per_station(before).select(*CSI_BASE_COLUMNS)
     rolled = risk.rolling_means(new_rows.unionByName(history))
-    lake.write_partitioned(
-        lake.conform(_months_between(rolled, start, end), schemas.CSI), paths.csi
-    )
-    _refresh_following(spark, paths, start, end)
+    lake.write_partitioned(lake.conform(_months_between(rolled, start, end), schemas.CSI), stage.path("csi"))
+    fresh = lake.read_table(spark, stage.path("csi"), schemas.CSI)
+    following = _following(before.unionByName(fresh), stored.filter(month >= F.lit(end).cast("date")), end)
+    if following is not None:
+        lake.write_partitioned(lake.conform(following, schemas.CSI), stage.path("csi_following"))
+
+
+def update_months(spark: SparkSession, raw_new: DataFrame, paths: lake.LakePaths, start, end,
+                  baseline_year: int | None = None) -> None:
+    """Stage and publish the months in [start, end) of ``raw_new``, outside any run."""
+    stage = Ledger(spark, paths.root).new_stage()
+    stage_months(spark, raw_new, None, paths, stage, start, end, baseline_year)
+    publish(spark, stage, paths)
+    lake.drop_folder(spark, stage.root)
 
 
 def run_landed_month(
@@ -174,32 +187,44 @@ def run_landed_month(
     gates: tuple[quality.GateSpec, quality.GateSpec] = (quality.RIDERSHIP_GATE, quality.APT_GATE),
     baseline_year: int | None = None,
     run_time: str | None = None,
+    run_id: str | None = None,
+    rejected: DataFrame | None = None,
 ) -> None:
-    """Gate, APT upsert, transform and audit of one landed month.
+    """Gate, APT load, transform and audit of one landed month, as one run.
 
     The gate report is computed once and stored; it decides, and it is what
-    the audit log gets. A failed gate is audited and raised.
+    the audit log gets. A failed gate is audited and raised. The run takes
+    effect as a whole (see ``ledger``). With a ``run_id``, a run that was cut
+    off and starts again under the same id equals one that was not, audit
+    included, and one that starts again after its end does nothing; without one,
+    every call is a run of its own. ``rejected`` has the ridership records that
+    could not be read; they are counted by the gate and in the audit.
     """
-    p = lake.LakePaths(root)
+    p, ledger = lake.LakePaths(root), Ledger(spark, root)
+    ledger.recover()
+    if run_id is not None and ledger.state(run_id):
+        return
+    run_id = run_id or uuid.uuid4().hex
     rid_gate, apt_gate = gates
     end = (start.replace(day=28) + _dt.timedelta(days=4)).replace(day=1)
     known = lake.read_table(spark, p.station_names, schemas.STATION_NAMES)
     checks = quality.quality_report(raw_month, rid_gate, known)
+    if rejected is not None:
+        checks = checks.unionByName(quality.rejection_report(rejected, rid_gate))
     if apt_month is not None:
         checks = checks.unionByName(quality.quality_report(apt_month, apt_gate))
-    path = scratch_path(spark, "gate-report")
-    lake.write_table(checks, path)
-    report = lake.read_table(spark, path, checks.schema)
+    stage = ledger.new_stage()
+    lake.write_table(checks, stage.path("gate-report"))
+    report = lake.read_table(spark, stage.path("gate-report"), checks.schema)
     audit = quality.audit_records(report, source_file, run_time)
     try:
         quality.enforce(report)
     except quality.GateFailure:
-        lake.append_audit(audit, p.audit)
+        lake.append_audit(audit, p.audit, run_id)
         raise
-    if apt_month is not None:
-        lake.upsert_apt_month(apt_month, p.apt)
-    update_months(spark, raw_month, p, start, end, baseline_year)
-    lake.append_audit(audit, p.audit)
+    stage_months(spark, raw_month, apt_month, p, stage, start, end, baseline_year)
+    lake.append_audit(audit, stage.path("audit"), run_id)
+    ledger.commit(run_id, stage)
 
 
 def run_month(
@@ -212,11 +237,12 @@ def run_month(
     gates: tuple[quality.GateSpec, quality.GateSpec] = (quality.RIDERSHIP_GATE, quality.APT_GATE),
     baseline_year: int | None = None,
     run_time: str | None = None,
+    run_id: str | None = None,
 ) -> None:
     """The monthly run for the month before ``as_of``.
 
     Both records are sliced, coerced and landed once; everything after reads
-    the landed month.
+    the landed month. ``run_id``: see ``run_landed_month``.
     """
     p = lake.LakePaths(root)
     start, _ = previous_month(as_of)
@@ -224,4 +250,39 @@ def run_month(
     apt_path = landing.land_month(apt_records, as_of, p.landing, "apt", "month", gates[1].numeric_cols)
     raw_month = lake.read_table(spark, raw_path, schemas.RIDERSHIP)
     apt_month = lake.read_table(spark, apt_path, schemas.APT)
-    run_landed_month(spark, raw_month, apt_month, root, start, source_file, gates, baseline_year, run_time)
+    run_landed_month(spark, raw_month, apt_month, root, start, source_file, gates, baseline_year, run_time, run_id)
+
+
+def run_csv_month(
+    spark: SparkSession,
+    csv_path: str,
+    apt_records: DataFrame | None,
+    root: str,
+    as_of: _dt.date,
+    source_file: str = "",
+    gates: tuple[quality.GateSpec, quality.GateSpec] = (quality.RIDERSHIP_GATE, quality.APT_GATE),
+    baseline_year: int | None = None,
+    run_time: str | None = None,
+    run_id: str | None = None,
+    header: bool = True,
+) -> None:
+    """The monthly run on ridership delivered as CSV text.
+
+    The month's good records and all rejected ones are landed in one pass;
+    rejected ones stay in quarantine beside the month with their reason.
+    """
+    p = lake.LakePaths(root)
+    start, _ = previous_month(as_of)
+    raw_path = records.land_checked_month(
+        records.read_checked_csv(spark, csv_path, schemas.RIDERSHIP, header), as_of, p.landing, "ridership",
+        schemas.RIDERSHIP, "transit_timestamp",
+    )
+    apt_month = None
+    if apt_records is not None:
+        apt_path = landing.land_month(apt_records, as_of, p.landing, "apt", "month", gates[1].numeric_cols)
+        apt_month = lake.read_table(spark, apt_path, schemas.APT)
+    good = records.read_good(spark, raw_path, schemas.RIDERSHIP)
+    run_landed_month(
+        spark, good, apt_month, root, start, source_file, gates, baseline_year, run_time, run_id,
+        records.read_rejected(spark, raw_path),
+    )

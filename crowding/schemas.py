@@ -132,4 +132,15 @@ AUDIT = _struct(
     ("rows_ingested", L),
     ("source_file", S),
     ("status", S),
+    # Records that could not be read; null where none were looked for.
+    ("rows_rejected", L),
+    ("run_id", S),
 )
+
+# One row per state that a run has reached.
+LEDGER = _struct(("stage", S), ("marked_at", S), ("run_id", S), ("state", S))
+
+MONTHS = _struct(("year", I), ("month", I))
+
+# Records that the reader rejected, as they were found.
+REJECTED = _struct(("source_file", S), ("reject_reason", S), ("record", S))

@@ -175,3 +175,26 @@ def known_station_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     non-negative account balance (the others play newly opened stations)."""
     s = table(spark, sf_dir, "supplier")
     return s.filter(F.col("s_acctbal") >= 0).select(F.col("s_name").alias("station_complex"))
+
+
+def delivered_lines(raw: DataFrame) -> DataFrame:
+    """The raw rows as lines of CSV text (column ``value``), some of them spoiled.
+
+    By transfers and ridership: 1, 13 has no number for ridership; 2, 17 no time;
+    3, 19 ends after four fields; 4, 23 has no number for ridership and latitude.
+    """
+
+    def is_(transfers, riders):
+        return (F.col("transfers") == transfers) & (F.col("ridership") == riders)
+
+    text = {c: F.col(c).cast("string") for c in raw.columns}
+    time = F.date_format("transit_timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSS")
+    text["transit_timestamp"] = F.when(is_(2, 17), F.lit("soon")).otherwise(time)
+    text["ridership"] = (
+        F.when(is_(1, 13), F.lit("n/a")).when(is_(4, 23), F.lit("--")).otherwise(text["ridership"])
+    )
+    text["latitude"] = F.when(is_(4, 23), F.lit("??")).otherwise(text["latitude"])
+    fields = [text[c].alias(c) for c in raw.columns]
+    return raw.select(
+        F.when(is_(3, 19), F.concat_ws(",", *fields[:4])).otherwise(F.to_csv(F.struct(*fields))).alias("value")
+    )

@@ -1,12 +1,14 @@
 """Typed readers and writers of the partitioned result lake.
 
 Every write is an overwrite of whole partitions ("dynamic" mode), so a
-re-run or a retried task replaces its months instead of appending twice;
-only the audit log appends. Reads pass an explicit schema.
+re-run or a retried task replaces its months instead of appending twice. The
+audit log has one folder per run, replaced likewise. Reads pass an explicit
+schema.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -63,6 +65,10 @@ class LakePaths:
     def audit(self) -> str:
         return self._p("audit_log")
 
+    @property
+    def ledger(self) -> str:
+        return self._p("run_ledger")
+
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select the schema's columns in order, cast; absent columns become null."""
@@ -92,6 +98,12 @@ def write_partitioned(df: DataFrame, path: str, cols=("year", "month")) -> None:
     )
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """If the file or folder is there, in whatever store the path names."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
@@ -140,6 +152,16 @@ def drop_months(spark: SparkSession, path: str, months, cols=("year", "month"))
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def append_audit(records: DataFrame, path: str) -> None:
-    """Append audit rows; the only append-mode write in the package."""
-    conform(records, schemas.AUDIT).coalesce(1).write.mode("append").parquet(path)
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all it holds; one that isn't there is fine."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def append_audit(records: DataFrame, path: str, run_id: str | None = None) -> None:
+    """Add a run's audit rows to the log; rows of the same ``run_id`` are replaced.
+
+    Without an id the rows are those of a run of their own.
+    """
+    rows = conform(records, schemas.AUDIT).withColumn("run_id", F.lit(run_id or uuid.uuid4().hex))
+    write_partitioned(rows.coalesce(1), path, ("run_id",))

@@ -4,8 +4,9 @@ A Structured Streaming file source watches the landing folder; each
 micro-batch names the months it brought and those months are recomputed from
 *all* landed files of the same months (so a month split across batches, or a
 re-landed month, still ends up whole), then written with partition overwrite.
-The stream checkpoint records which files were processed; together with the
-idempotent writes a restarted or retried batch leaves the lake unchanged.
+The stream checkpoint records which files were processed. A month of a batch is
+a run under the stream's id, the batch's number and the month, so a batch that
+is restarted or retried finishes what it had begun, and adds nothing twice.
 
 A month that lands late also refreshes the rolling means of the months stored
 after it.
@@ -15,6 +16,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import hashlib
+import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,8 +56,12 @@ def start_monthly_feed(
     source = f"{landing_dir.rstrip('/')}/*"
     stream = spark.readStream.schema(schemas.RIDERSHIP).parquet(source)
 
+    checkpoint = checkpoint or LakePaths(root).feed_checkpoint
+
     def process(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
+        # The stream's own id: a new checkpoint numbers its batches anew.
+        stream_id = json.loads(session.read.text(f"{checkpoint}/metadata").first()[0])["id"]
         for start in _months(batch):
             end = (start.replace(day=28) + _dt.timedelta(days=4)).replace(day=1)
             landed = session.read.schema(schemas.RIDERSHIP).parquet(source)
@@ -66,12 +72,13 @@ def start_monthly_feed(
             run_landed_month(
                 session, time_range(landed, "transit_timestamp", start, end), apt, root, start,
                 f"ridership_{start:%Y_%m}", gates, baseline_year, run_time,
+                f"{stream_id}-{batch_id}-{start:%Y_%m}",
             )
 
     name = hashlib.sha1(root.encode()).hexdigest()[:8]
     writer = (
         stream.writeStream.foreachBatch(process)
-        .option("checkpointLocation", checkpoint or LakePaths(root).feed_checkpoint)
+        .option("checkpointLocation", checkpoint)
         .queryName(f"monthly_feed_{name}")
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 hour")
