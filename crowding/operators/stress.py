@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.calendar import PEAK_WINDOWS
+from ..functions.calendar import PEAK_WINDOWS, first_of_month
 from ..functions.numeric import hhi_from_moments, safe_div
 from .features import NAME_MONTH
 
@@ -52,6 +52,47 @@ def baseline_p90(
     )
 
 
+# Items that a peak-volume sketch keeps at its top level. A sketch of fewer
+# values is exact; beyond, a rank is off by at most ``sketch_rank_error``.
+SKETCH_K = 4096
+
+
+def sketch_rank_error(k: int = SKETCH_K) -> float:
+    """Rank error, as a share of all values, that a KLL sketch keeps with 99 % confidence."""
+    return 2.296 / k**0.9021
+
+
+def peak_sketches(peak: DataFrame, k: int = SKETCH_K) -> DataFrame:
+    """One quantile sketch of the station peak volumes of each month: (year, month, n, sketch).
+
+    A sketch has a few times ``k`` numbers whatever the number of stations, and
+    sketches of any months can be merged, so a baseline of another period needs
+    neither the raw rows nor the station-months again.
+    """
+    return peak.where(F.col("peak_hr_ridership").isNotNull()).groupBy("year", "month").agg(
+        F.count("*").alias("n"), F.kll_sketch_agg_double("peak_hr_ridership", k).alias("sketch")
+    )
+
+
+def baseline_from_sketches(
+    sketches: DataFrame, start, end, quantile: float = BASELINE_QUANTILE, k: int = SKETCH_K
+) -> DataFrame:
+    """One-row baseline of the months in [start, end) from their sketches.
+
+    ``baseline_year`` is the period's first year; ``n`` its station-months. As
+    ``baseline_p90``, null without any. Exact up to ``k`` station-months, then
+    within ``sketch_rank_error(k)`` of the quantile's rank.
+    """
+    day = first_of_month("year", "month")
+    inside = sketches.where((day >= F.lit(start).cast("date")) & (day < F.lit(end).cast("date")))
+    merged = inside.agg(F.kll_merge_agg_double("sketch", k).alias("s"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+    return merged.select(
+        F.lit(start.year).cast("int").alias("baseline_year"),
+        F.when(F.col("n") > 0, F.kll_sketch_get_quantile_double("s", F.lit(quantile))).alias("p90_peak_hr_ridership"),
+        F.col("n"),
+    )
+
+
 def concentration(hours: DataFrame) -> DataFrame:
     """HHI of hourly shares per station-name month: sum r^2 / (sum r)^2."""
     r = F.col("ridership")

@@ -43,6 +43,7 @@ def _tables(paths: lake.LakePaths) -> list[tuple]:
         ("apt", paths.apt, schemas.APT, ("year", "month_num")),
         ("ridership", paths.ridership, schemas.RIDERSHIP_MONTHS, months),
         ("hours", paths.hours, schemas.HOURS, months),
+        ("sketches", paths.sketches, schemas.PEAK_SKETCHES, months),
         ("csi", paths.csi, schemas.CSI, months),
         ("csi_following", paths.csi, schemas.CSI, months),
         ("audit", paths.audit, schemas.AUDIT, ("run_id",)),
@@ -105,5 +106,5 @@ def publish(spark: SparkSession, stage: Stage, paths: lake.LakePaths) -> None:
             lake.write_partitioned(lake.read_table(spark, stage.path(name), schema), path, cols)
     if lake.exists(spark, stage.path("gone")):
         gone = [(r["year"], r["month"]) for r in lake.read_table(spark, stage.path("gone"), schemas.MONTHS).collect()]
-        for path in (paths.ridership, paths.hours, paths.csi):
+        for path in (paths.ridership, paths.hours, paths.sketches, paths.csi):
             lake.drop_months(spark, path, gone)

@@ -633,6 +633,11 @@ QUERIES["landed_pages"] = q(
         GROUP BY 1""",
     (RIDERSHIP,),
 )
+QUERIES["baseline_from_sketches"] = q(
+    f"""SELECT year AS baseline_year, CAST(count(*) AS BIGINT) AS n,
+               {r6("CAST(quantile_disc(peak_hr_ridership, 0.9) AS DOUBLE)")} AS p90_peak_hr_ridership, TRUE AS within_error
+        FROM peak WHERE year BETWEEN 1995 AND 2001 GROUP BY year""",
+)
 QUERIES["hour_ranks"] = q(
     f"""SELECT station_complex, station_complex_id, transit_timestamp, borough, {r6('ridership')} AS ridership,
                CAST(dense_rank() OVER (PARTITION BY year, month ORDER BY ridership DESC NULLS LAST) AS INTEGER) AS hour_rank,
@@ -663,3 +668,30 @@ QUERIES["checked_monthly_run"] = QUERIES["audit_rows"].replace(
     ", '2001-11' AS run_id, CASE WHEN dataset = 'ridership' THEN (SELECT CAST(count(*) AS DOUBLE) FROM spoiled "
     "WHERE reject_reason IS NOT NULL) END AS rows_rejected FROM st",
 )
+
+# Deliveries: rows of a period, and those held back one (transfers 5) or two (6).
+_DELIVERED = """
+fed AS (
+  SELECT *, CASE WHEN transit_timestamp < TIMESTAMP '1997-07-01' THEN 1
+                 WHEN transit_timestamp < TIMESTAMP '1999-07-01' THEN 2 ELSE 3 END AS period
+  FROM ridership WHERE transit_mode = 'subway'
+),
+fed_in AS (SELECT *, least(3, period + CASE WHEN transfers = 5 THEN 1 WHEN transfers = 6 THEN 2 ELSE 0 END) AS delivery FROM fed),
+marks AS (
+  SELECT d.range AS delivery, max(transit_timestamp) - INTERVAL 400 DAY AS mark
+  FROM range(1, 4) d JOIN fed_in f ON f.delivery <= d.range GROUP BY 1
+),
+fed_rows AS (
+  SELECT f.*, f.transit_timestamp + INTERVAL 1 HOUR <= m.mark AS too_late
+  FROM fed_in f LEFT JOIN marks m ON m.delivery = f.delivery - 1
+)"""
+QUERIES["late_hours"] = q(
+    f"""SELECT station_complex, station_complex_id, borough, transit_timestamp, {r6('ridership')} AS ridership,
+               CASE WHEN any_late THEN 'corrected'
+                    WHEN transit_timestamp + INTERVAL 1 HOUR > (SELECT max(mark) FROM marks) THEN 'open'
+                    ELSE 'streamed' END AS state
+        FROM (SELECT station_complex, station_complex_id, borough, transit_timestamp, SUM(ridership) AS ridership,
+                     bool_or(coalesce(too_late, FALSE)) AS any_late
+              FROM fed_rows GROUP BY ALL)""",
+    (RIDERSHIP, _DELIVERED),
+)

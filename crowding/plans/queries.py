@@ -20,7 +20,7 @@ from ..functions.numeric import round_doubles
 from ..operators import delay, features, quality, reports, risk, stress
 from ..session import scratch_path
 from ..sources import fixtures, lake, landing, records, slices
-from ..streaming import start_monthly_feed
+from ..streaming import settled_hours, start_hourly_feed, start_monthly_feed
 from . import runs
 from .inputs import Inputs
 
@@ -574,8 +574,65 @@ def checked_monthly_run(i: Inputs) -> DataFrame:
     return audit.withColumn("rows_rejected", F.col("rows_rejected").cast("double"))
 
 
+@register("baseline_from_sketches")
+def baseline_from_sketches(i: Inputs) -> DataFrame:
+    """Every year's baseline from stored monthly sketches, beside the exact one."""
+    path = scratch_path(i.spark, "peak-sketches")
+    peak = stress.peak_from_moments(i.moments_stored)
+    lake.write_partitioned(lake.conform(stress.peak_sketches(peak), schemas.PEAK_SKETCHES), path)
+    sketches = lake.read_table(i.spark, path, schemas.PEAK_SKETCHES)
+    out = None
+    for year in SKETCHED_YEARS:
+        one = stress.baseline_from_sketches(sketches, _dt.date(year, 1, 1), _dt.date(year + 1, 1, 1))
+        out = one if out is None else out.unionByName(one)
+    # The share of the year's station-months below, and not above, the sketch's answer.
+    volume, answer = F.col("peak_hr_ridership"), F.col("p90_peak_hr_ridership")
+    near = stress.sketch_rank_error()
+    ranks = peak.join(out, peak["year"] == out["baseline_year"]).groupBy("baseline_year", "n", answer).agg(
+        F.avg((volume < answer).cast("int")).alias("below"), F.avg((volume <= answer).cast("int")).alias("up_to")
+    )
+    return ranks.select(
+        "baseline_year", "n", "p90_peak_hr_ridership",
+        ((F.col("below") <= 0.9 + near) & (F.col("up_to") >= 0.9 - near)).alias("within_error"),
+    )
+
+
+SKETCHED_YEARS = range(1995, 2002)
+
+
 @register("trend_series_flagged_month")
 def trend_series_flagged_month(i: Inputs) -> DataFrame:
     """C19 with the flagged stations of a stated month."""
     top = reports.flagged_latest_top(_month(i, REPORT_MONTH))
     return reports.trend_series(i.csi_stored, top, None, TREND_FROM_MONTH, TREND_START)
+
+
+# Deliveries of the hourly feed: where a period ends, and how long hours stay open.
+FEED_PERIODS = (_dt.datetime(1997, 7, 1), _dt.datetime(1999, 7, 1))
+FEED_DELAY = "400 days"
+
+
+def deliveries(raw: DataFrame) -> DataFrame:
+    """Raw rows with the delivery (1 to 3) they come in: that of their period, or
+    one (transfers 5) or two (transfers 6) later."""
+    ts = F.col("transit_timestamp")
+    first, second = (F.lit(t) for t in FEED_PERIODS)
+    period = F.when(ts < first, 1).when(ts < second, 2).otherwise(3)
+    held = F.when(F.col("transfers") == 5, 1).when(F.col("transfers") == 6, 2).otherwise(0)
+    return raw.withColumn("delivery", F.least(F.lit(3), period + held))
+
+
+@register("late_hours")
+def late_hours(i: Inputs) -> DataFrame:
+    """Hours aggregated as they arrive, in three deliveries with late rows,
+    the feed stopped and restarted between them; rows too late for it are corrected."""
+    landing_dir, root = scratch_path(i.spark, "landing-hourly"), scratch_path(i.spark, "hourly-feed")
+    rows = deliveries(i.raw)
+    for d in (1, 2, 3):
+        part = rows.where(F.col("delivery") == d).drop("delivery")
+        lake.write_table(lake.conform(part, schemas.RIDERSHIP), f"{landing_dir}/delivery_{d}")
+        feed = start_hourly_feed(i.spark, landing_dir, root, FEED_DELAY)
+        feed.awaitTermination()
+        if feed.exception() is not None:
+            raise RuntimeError(f"hourly feed failed: {feed.exception()}")
+    return settled_hours(i.spark, landing_dir, root)

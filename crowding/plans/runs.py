@@ -53,6 +53,24 @@ def station_month_table(hours: DataFrame, baseline, route_lookup: DataFrame, apt
     return risk.risk_flag(csi, delay.station_delay(route_lookup, apt)).select(*CSI_BASE_COLUMNS)
 
 
+def _write_sketches(hours: DataFrame, path: str) -> None:
+    """The months' quantile sketches of peak volume: what a later baseline is made from."""
+    sketches = stress.peak_sketches(stress.peak_volume(hours))
+    lake.write_partitioned(lake.conform(sketches, schemas.PEAK_SKETCHES), path)
+
+
+def rebase(spark: SparkSession, root: str, start: _dt.date, end: _dt.date) -> DataFrame:
+    """Make the months [start, end) the baseline of the runs that follow; returns it.
+
+    Only the months' sketches are read. Months that are stored already keep
+    their CSI until they are run again.
+    """
+    p = lake.LakePaths(root)
+    sketches = lake.read_table(spark, p.sketches, schemas.PEAK_SKETCHES)
+    lake.write_baseline(stress.baseline_from_sketches(sketches, start, end), p.baseline)
+    return lake.require_baseline(spark, p.baseline)
+
+
 def build_history(
     spark: SparkSession,
     raw: DataFrame,
@@ -75,6 +93,7 @@ def build_history(
     hours = lake.read_table(spark, p.hours, schemas.HOURS)
 
     lake.write_baseline(stress.baseline_p90(stress.peak_volume(hours), baseline_year), p.baseline)
+    _write_sketches(hours, p.sketches)
     baseline = lake.require_baseline(spark, p.baseline, baseline_year)
 
     table = station_month_table(
@@ -144,6 +163,7 @@ def stage_months(spark: SparkSession, raw_new: DataFrame, apt_new: DataFrame | N
         lake.write_table(spark.createDataFrame(sorted(gone), schemas.MONTHS), stage.path("gone"))
     lake.write_partitioned(lake.conform(features.ridership_transformed(raw), schemas.HOURS), stage.path("hours"))
     hours = lake.read_table(spark, stage.path("hours"), schemas.HOURS)
+    _write_sketches(hours, stage.path("sketches"))
 
     baseline = lake.require_baseline(spark, paths.baseline, baseline_year)
     apt = _apt_months_between(lake.read_table(spark, paths.apt, schemas.APT), start, end)

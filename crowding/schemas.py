@@ -85,6 +85,9 @@ HOURS = _struct(
     ("month", I),
 )
 
+# Hour facts alone.
+HOUR_FACT = _struct(*[(f.name, f.dataType) for f in HOURS.fields[:5]])
+
 # Hour facts with calendar features only (before month totals and ranks).
 HOUR_FEATURES = _struct(*[(f.name, f.dataType) for f in HOURS.fields
                           if f.name not in ("monthly_ridership", "monthly_rank")])
@@ -124,6 +127,9 @@ MOMENTS = _struct(
     ("ridership_sq_sum", D),
 )
 
+# Quantile sketches of a month's station peak volumes.
+PEAK_SKETCHES = _struct(("n", L), ("sketch", T.BinaryType()), ("year", I), ("month", I))
+
 BASELINE = _struct(("baseline_year", I), ("p90_peak_hr_ridership", D))
 
 AUDIT = _struct(

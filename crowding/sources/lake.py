@@ -49,6 +49,10 @@ class LakePaths:
     def baseline(self) -> str:
         return self._p("csi_baseline")
 
+    @property
+    def sketches(self) -> str:
+        return self._p("peak_sketches")
+
     @property
     def apt(self) -> str:
         return self._p("apt")
