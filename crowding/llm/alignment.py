@@ -11,22 +11,25 @@ offsets agree, which is checked, not assumed.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+from public_tokenizers import PATTERN
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import released, stored
 from .pretokens import text_groups
 
-_GROUP_CHARS = 500_000
+_GROUP_CHARS = 300_000
 #: Bytes of windows that a worker keeps, twice: the elder half goes when the younger is full.
 _MEMO_BYTES = 60_000_000
-#: Tokens of one tokenizer above which a window is not kept.
-_LONG_WINDOW = 64
+#: Bytes of ids above which a window is not kept.
+_LONG_WINDOW = 256
 
 
 def byte_level_bytes() -> dict[str, int]:
@@ -41,22 +44,55 @@ def byte_level_bytes() -> dict[str, int]:
 
 
 class ByteLevelTokens:
-    """A tokenizers file of byte-level BPE; special tokens' strings are plain text."""
+    """A tokenizers file of byte-level BPE; special tokens' strings are plain text.
 
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
+    Where the file holds no more than that, merges in the order of their ids
+    after the one pre-token pattern, its ranks go to tiktoken, which gives the
+    same ids in a fifth of the time. Any other file goes to tokenizers.
+    """
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+    def __init__(self, path: str):
+        with open(path, encoding="utf-8") as f:
+            file = json.load(f)
         of = byte_level_bytes()
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.bytes_of = [b""] * (max(vocabulary.values()) + 1)
-        for entry, i in vocabulary.items():
-            whole = all(c in of for c in entry)
+        entries = dict(file["model"]["vocab"])
+        added = {t["content"]: t["id"] for t in file.get("added_tokens") or []}
+        ordinary = {k: i for k, i in entries.items() if k not in added}
+        self.bytes_of = [b""] * (max([*entries.values(), *added.values()]) + 1)
+        for entry, i in (entries | added).items():
+            whole = entry in ordinary and all(c in of for c in entry)
             self.bytes_of[i] = bytes(of[c] for c in entry) if whole else entry.encode("utf-8")
+        self.plain = self._is_plain(file, ordinary, of)
+        if self.plain:
+            ranks = {self.bytes_of[i]: i for i in ordinary.values()}
+            from tiktoken import Encoding
+
+            self._one = Encoding(path, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        else:
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"
+            from tokenizers import Tokenizer
+
+            self.tokenizer = Tokenizer.from_file(path)
+            self.tokenizer.encode_special_tokens = True
+
+    @staticmethod
+    def _is_plain(file: dict, ordinary: dict[str, int], of: dict[str, int]) -> bool:
+        model, before = file["model"], file.get("pre_tokenizer") or {}
+        other = ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")
+        if file.get("normalizer") or model.get("type") != "BPE" or any(model.get(x) for x in other):
+            return False
+        if before.get("type") != "ByteLevel" or before.get("add_prefix_space") or not before.get("use_regex", True):
+            return False
+        if not all(c in of for entry in ordinary for c in entry) or any(c not in ordinary for c in of):
+            return False
+        merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+        made = [ordinary.get("".join(m), -1) for m in merges]
+        # Each merge makes a token, none is made twice, later ones have higher ids.
+        return len(made) + 256 == len(ordinary) and all(x < y for x, y in zip([255, *made], made, strict=False))
 
     def ids(self, texts: list[str]) -> list[list[int]]:
+        if self.plain:
+            return [self._one(" " + t) for t in texts]
         found = self.tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
         return [e.ids for e in found]
 
@@ -78,34 +114,54 @@ class PieceTokens:
         return self.model.encode(texts, num_threads=1)
 
 
-def align(a: list[int], b: list[int], size_a: list[int], size_b: list[int]) -> tuple[bytes, int, bytes]:
-    """Groups of one window as text, their number, and its links as packed 64-bit id pairs.
+#: Marks the right side's ids in a window's key.
+_RIGHT = np.uint32(1 << 31)
 
-    Both sides have the same number of bytes. Of two tokens that overlap, the
-    one that ends first is done with; where both end, so does a group.
+
+def align(keys: list[bytes], left: "_Side", right: "_Side") -> list[tuple[bytes, bytes]]:
+    """For each window its groups as text and its links as packed 64-bit id pairs.
+
+    A window's two id tuples have the same number of bytes, so laid end to end
+    all windows keep their byte offsets on both sides. A place where either side
+    has an end closes one link; where both have, it closes a group too. Each
+    group's text ends with ';'.
     """
-    links, groups = [], []
-    i = j = first_a = first_b = 0
-    end_a, end_b = size_a[a[0]], size_b[b[0]]
-    while True:
-        links.append(a[i] << 32 | b[j])
-        if end_a == end_b:
-            i, j = i + 1, j + 1
-            groups.append(
-                f"{','.join(map(str, a[first_a:i]))}|{','.join(map(str, b[first_b:j]))}"
-            )
-            if i == len(a):
-                break
-            first_a, first_b = i, j
-            end_a += size_a[a[i]]
-            end_b += size_b[b[j]]
-        elif end_a < end_b:
-            i += 1
-            end_a += size_a[a[i]]
-        else:
-            j += 1
-            end_b += size_b[b[j]]
-    return ";".join(groups).encode("ascii"), len(groups), np.array(links, np.int64).tobytes()
+    ids = np.frombuffer(b"".join(keys), "<u4")
+    size = np.cumsum([len(k) // 4 for k in keys])
+    mine = ids < _RIGHT
+    a, b = ids[mine].astype(np.int64), (ids[~mine] - _RIGHT).astype(np.int64)
+    end_a, end_b = np.cumsum(left.length[a]), np.cumsum(right.length[b])
+    ends = np.union1d(end_a, end_b)
+    links = a[np.searchsorted(end_a, ends)] << 32 | b[np.searchsorted(end_b, ends)]
+    shared = np.intersect1d(end_a, end_b, assume_unique=True)
+    group_a, group_b = np.searchsorted(shared, end_a), np.searchsorted(shared, end_b)
+    # A group's left tokens, then its right ones, in one row of text parts.
+    place_a = np.arange(len(a)) + np.searchsorted(group_b, group_a, side="left")
+    place_b = np.arange(len(b)) + np.searchsorted(group_a, group_b, side="right")
+    parts = np.empty(len(ids), object)
+    parts[place_a] = np.where(shared[group_a] == end_a, left.last[a], left.inner[a])
+    parts[place_b] = np.where(shared[group_b] == end_b, right.last[b], right.inner[b])
+    parts = parts.tolist()
+    last = end_a[np.cumsum(mine)[size - 1] - 1]
+    to_part = [0, *size.tolist()]
+    to_link = [0, *(8 * np.searchsorted(ends, last, side="right")).tolist()]
+    data = links.tobytes()
+    return [
+        (b"".join(parts[i:j]), data[k:m])
+        for i, j, k, m in zip(to_part[:-1], to_part[1:], to_link[:-1], to_link[1:], strict=True)
+    ]
+
+
+class _Side:
+    """What the alignment needs of a tokenizer's tokens, by id."""
+
+    def __init__(self, bytes_of: list[bytes], after: bytes):
+        self.length = np.array([len(x) for x in bytes_of])
+        self.spaced = np.array([x[:1] == b" " for x in bytes_of])
+        number = [b"%d" % i for i in range(len(bytes_of))]
+        #: An id's text where others of its group follow on its side, and where none do.
+        self.inner = np.array([x + b"," for x in number], object)
+        self.last = np.array([x + after for x in number], object)
 
 
 class Aligner:
@@ -113,57 +169,77 @@ class Aligner:
 
     def __init__(self, left, right):
         self.left, self.right = left, right
-        self.size_a, self.size_b = ([len(x) for x in t.bytes_of] for t in (left, right))
-        self.length_a, self.length_b = np.array(self.size_a), np.array(self.size_b)
-        self.spaced_a, self.spaced_b = (np.array([x[:1] == b" " for x in t.bytes_of]) for t in (left, right))
+        self.a, self.b = _Side(left.bytes_of, b"|"), _Side(right.bytes_of, b";")
         self.new, self.old, self.load = {}, {}, 0
 
-    def _window(self, key: tuple[bytes, bytes]) -> tuple[bytes, int, bytes]:
-        found = self.old.get(key)
-        if found is None:
-            a, b = (np.frombuffer(x, "<u4").tolist() for x in key)
-            found = align(a, b, self.size_a, self.size_b)
-            if len(a) > _LONG_WINDOW:
-                return found
+    def _learn(self, keys: set[bytes]) -> dict[bytes, tuple[bytes, bytes]]:
+        """The windows of these keys; short ones are kept."""
         if self.load > _MEMO_BYTES:
             self.old, self.new, self.load = self.new, {}, 0
-        self.new[key] = found
-        self.load += 300 + len(key[0]) + len(key[1]) + len(found[0]) + len(found[2])
+        old = self.old
+        found = {k: old[k] for k in keys & old.keys()}
+        fresh = list(keys - found.keys())
+        if fresh:
+            found.update(zip(fresh, align(fresh, self.a, self.b), strict=True))
+        short = {k: v for k, v in found.items() if len(k) <= _LONG_WINDOW}
+        self.new.update(short)
+        self.load += 350 * len(short)
         return found
 
-    def windows(self, a: np.ndarray, b: np.ndarray) -> list[tuple[bytes, int, bytes]]:
-        """The aligned windows of one text, in order."""
-        end_a, end_b = np.cumsum(self.length_a[a]), np.cumsum(self.length_b[b])
-        begin_a, begin_b = (end_a - self.length_a[a])[self.spaced_a[a]], (end_b - self.length_b[b])[self.spaced_b[b]]
-        anchors = np.intersect1d(begin_a, begin_b, assume_unique=True)
-        # An anchor after the text's beginning: the ends before it are shared.
-        anchors = anchors[anchors > 0]
-        cut_a = [0, *(4 * np.searchsorted(end_a, anchors) + 4).tolist(), 4 * len(a)]
-        cut_b = [0, *(4 * np.searchsorted(end_b, anchors) + 4).tolist(), 4 * len(b)]
-        data_a, data_b = a.astype("<u4").tobytes(), b.astype("<u4").tobytes()
-        keys = [
-            (data_a[i:j], data_b[k:m])
-            for i, j, k, m in zip(cut_a[:-1], cut_a[1:], cut_b[:-1], cut_b[1:], strict=True)
-        ]
-        out = list(map(self.new.get, keys))
-        for i, found in enumerate(out):
-            if found is None:
-                out[i] = self.new.get(keys[i]) or self._window(keys[i])
+    def windows(self, a: np.ndarray, b: np.ndarray, begin: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+        """Cut texts' ids, laid end to end, at their anchors: keys, and each text's first.
+
+        ``begin`` has the byte offset where each text begins, with a space, and
+        the end. A key is a window's left ids, then its right ids, marked.
+        """
+        length_a, length_b = self.a.length[a], self.b.length[b]
+        end_a, end_b = np.cumsum(length_a), np.cumsum(length_b)
+        spaced_a, spaced_b = np.flatnonzero(self.a.spaced[a]), np.flatnonzero(self.b.spaced[b])
+        anchors, at_a, at_b = np.intersect1d(
+            (end_a - length_a)[spaced_a], (end_b - length_b)[spaced_b], assume_unique=True, return_indices=True
+        )
+        # The ends before an anchor are shared, so both sides' windows end there.
+        cut_a, cut_b = spaced_a[at_a], spaced_b[at_b]
+        key = np.empty(len(a) + len(b), "<u4")
+        window_a = np.searchsorted(cut_a, np.arange(len(a)), side="right") - 1
+        window_b = np.searchsorted(cut_b, np.arange(len(b)), side="right") - 1
+        key[np.arange(len(a)) + cut_b[window_a]] = a
+        key[np.arange(len(b)) + np.append(cut_a, len(a))[window_b + 1]] = b.astype(np.uint32) | _RIGHT
+        data = key.tobytes()
+        edge = [*(4 * (cut_a + cut_b)).tolist(), len(data)]
+        return [data[i:j] for i, j in zip(edge[:-1], edge[1:], strict=True)], np.searchsorted(anchors, begin)
+
+    def _spelled(self, text: str, a: list[int], b: list[int]) -> bool:
+        """If both sides' tokens make up space + text."""
+        want, of_a, of_b = b" " + text.encode("utf-8"), self.left.bytes_of, self.right.bytes_of
+        return text != "" and b"".join([of_a[i] for i in a]) == want == b"".join([of_b[i] for i in b])
+
+    def texts(self, texts: list[str]) -> list[tuple]:
+        """Of each text: n_a, n_b, n_groups, n_links, groups' digest, pairs and their counts as arrays."""
+        none = np.zeros(0, np.int64)
+        out: list[tuple] = [(0, 0, 0, 0, "", none, none)] * len(texts)
+        ids = zip(texts, self.left.ids(texts), self.right.ids(texts), strict=True)
+        used = [(i, a, b) for i, (text, a, b) in enumerate(ids) if self._spelled(text, a, b)]
+        if not used:
+            return out
+        size = [len(texts[i].encode("utf-8")) + 1 for i, _, _ in used]
+        a, b = (np.array(list(chain.from_iterable(x[side] for x in used))) for side in (1, 2))
+        keys, first = self.windows(a, b, np.cumsum([0, *size]))
+        found = list(map(self.new.get, keys))
+        if None in found:
+            lost = {k for k, v in zip(keys, found, strict=True) if v is None}
+            learned = self._learn(lost)
+            found = [learned[k] if v is None else v for k, v in zip(keys, found, strict=True)]
+        first = first.tolist()
+        for (i, x, y), lo, hi in zip(used, first[:-1], first[1:], strict=True):
+            groups, links = zip(*found[lo:hi], strict=True)
+            text = b"".join(groups)
+            packed = np.frombuffer(b"".join(links), np.int64)
+            pairs, count = np.unique(packed, return_counts=True)
+            digest = hashlib.sha256(text[:-1]).hexdigest()
+            out[i] = (len(x), len(y), text.count(b";"), len(packed), digest, pairs, count)
         return out
 
-    def text(self, text: str, a: list[int], b: list[int]) -> tuple:
-        """n_a, n_b, n_groups, n_links, groups' digest, pairs and their counts as arrays."""
-        want = b" " + text.encode("utf-8")
-        of_a, of_b = self.left.bytes_of, self.right.bytes_of
-        if not text or b"".join([of_a[i] for i in a]) != want or b"".join([of_b[i] for i in b]) != want:
-            none = np.zeros(0, np.int64)
-            return 0, 0, 0, 0, "", none, none
-        found = self.windows(np.array(a), np.array(b))
-        digest = hashlib.sha256(b";".join([x[0] for x in found])).hexdigest()
-        links = np.frombuffer(b"".join([x[2] for x in found]), np.int64)
-        pairs, count = np.unique(links, return_counts=True)
-        return len(a), len(b), sum([x[1] for x in found]), len(links), digest, pairs, count
-
 
 _aligners: dict[tuple, Aligner] = {}
 
@@ -202,15 +278,14 @@ def linked_documents(
         own = aligner(ByteLevelTokens, left_path, PieceTokens, right_path)
         for batch in batches:
             for first, texts in text_groups(batch.column(1).to_pylist(), _GROUP_CHARS):
-                both = zip(texts, own.left.ids(texts), own.right.ids(texts), strict=True)
-                cols = list(zip(*(own.text(*x) for x in both), strict=True))
+                cols = list(zip(*own.texts(texts), strict=True))
                 ids = batch.column(0).slice(first, len(texts))
                 made = [pa.array(c, f.type) for c, f in zip(cols[:5], list(schema)[1:6], strict=True)]
                 arrays = [ids, *made, lists(cols[5], pa.int64()), lists(cols[6], pa.int32())]
                 yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
     return docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text")).mapInArrow(
-        run,
+        released(run),
         "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
         "pairs array<long>, pair_counts array<int>",
     )

@@ -7,7 +7,9 @@ retries and runs.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import contextlib
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +22,9 @@ from ..session import scratch_path
 #: document is a step of its own.
 STEP_BYTES = 1 << 20
 
+#: A writer keeps a row group of so many bytes in an executor's heap.
+BLOCK_BYTES = 32 << 20
+
 _WS = np.zeros(256, dtype=bool)
 _WS[[9, 10, 11, 12, 13, 32]] = True
 
@@ -33,10 +38,28 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     Cuts the lineage: what follows survives the loss of any executor.
     """
     path = scratch_path(df.sparkSession, f"llm-{name}")
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", BLOCK_BYTES).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def released(run: Callable) -> Callable:
+    """A task of ``mapInArrow`` that returns its worker's free memory at its end.
+
+    Workers are used again by later tasks and stages; what an earlier one
+    needed would otherwise count against the executor until the session ends.
+    """
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(AttributeError, OSError):  # C libraries without it
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return task
+
+
 def fmix(h: np.ndarray) -> np.ndarray:
     """The 64-bit finaliser of MurmurHash3 over an unsigned array."""
     h = h.astype(np.uint64, copy=True)

@@ -99,17 +99,35 @@ def own():
 
 def test_windows_are_kept_under_their_ids(own, monkeypatch):
     text = "again and again and again"
-    first = own.text(text, own.left.ids([text])[0], own.right.ids([text])[0])
+    first = own.texts([text])
     calls = []
     monkeypatch.setattr(alignment, "align", lambda *x: calls.append(x))
-    again = own.text(text, own.left.ids([text])[0], own.right.ids([text])[0])
-    assert not calls and first[:5] == again[:5]
+    assert not calls and own.texts([text, text])[1][:5] == first[0][:5]
 
 
 def test_small_memory_gives_the_same(own, monkeypatch):
     texts = [t for _, t in SHORT if t] * 2
-    want = [own.text(t, *(x.ids([t])[0] for x in (own.left, own.right)))[:5] for t in texts]
+    want = [x[:5] for x in own.texts(texts)]
     monkeypatch.setattr(alignment, "_MEMO_BYTES", 400)
     monkeypatch.setattr(alignment, "_LONG_WINDOW", 3)
     own.new, own.old, own.load = {}, {}, 0
-    assert want == [own.text(t, *(x.ids([t])[0] for x in (own.left, own.right)))[:5] for t in texts]
+    assert want == [own.texts([t])[0][:5] for t in texts]
+
+
+def test_fast_path_equals_the_tokenizers_library(own, small_docs):
+    assert own.left.plain
+    texts = [t for _, t in SHORT if t] + [r.text for r in small_docs.collect() if r.text]
+    texts += [" " * 50_000 + "x", "!?" * 20_000, "abcdefgh" * 9_000, "é" * 9_000]
+    library = Tokenizer.from_file(A)
+    library.encode_special_tokens = True
+    assert own.left.ids(texts) == [library.encode(" " + t, add_special_tokens=False).ids for t in texts]
+
+
+@pytest.mark.parametrize("change", [("model", "ignore_merges", True), ("pre_tokenizer", "add_prefix_space", True)])
+def test_other_files_go_to_the_library(tmp_path, change):
+    file = json.load(open(A))
+    file[change[0]][change[1]] = change[2]
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(file))
+    other = alignment.ByteLevelTokens(str(path))
+    assert not other.plain and other.ids(["a b"]) == [Tokenizer.from_file(str(path)).encode(" a b").ids]
