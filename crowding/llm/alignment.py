@@ -14,7 +14,6 @@ import hashlib
 import json
 import os
 from collections.abc import Callable, Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -90,11 +89,11 @@ class ByteLevelTokens:
         # Each merge makes a token, none is made twice, later ones have higher ids.
         return len(made) + 256 == len(ordinary) and all(x < y for x, y in zip([255, *made], made, strict=False))
 
-    def ids(self, texts: list[str]) -> list[list[int]]:
+    def ids(self, texts: list[str]) -> list[np.ndarray]:
         if self.plain:
-            return [self._one(" " + t) for t in texts]
+            return [np.array(self._one(" " + t), np.uint32) for t in texts]
         found = self.tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
-        return [e.ids for e in found]
+        return [np.array(e.ids, np.uint32) for e in found]
 
 
 class PieceTokens:
@@ -110,8 +109,8 @@ class PieceTokens:
             for p in [self.model.id_to_piece(i)]
         ]
 
-    def ids(self, texts: list[str]) -> list[list[int]]:
-        return self.model.encode(texts, num_threads=1)
+    def ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(x, np.uint32) for x in self.model.encode(texts, num_threads=1)]
 
 
 #: Marks the right side's ids in a window's key.
@@ -135,33 +134,38 @@ def align(keys: list[bytes], left: "_Side", right: "_Side") -> list[tuple[bytes,
     links = a[np.searchsorted(end_a, ends)] << 32 | b[np.searchsorted(end_b, ends)]
     shared = np.intersect1d(end_a, end_b, assume_unique=True)
     group_a, group_b = np.searchsorted(shared, end_a), np.searchsorted(shared, end_b)
-    # A group's left tokens, then its right ones, in one row of text parts.
+    # A group's left tokens, then its right ones, as rows of one table of text.
     place_a = np.arange(len(a)) + np.searchsorted(group_b, group_a, side="left")
     place_b = np.arange(len(b)) + np.searchsorted(group_a, group_b, side="right")
-    parts = np.empty(len(ids), object)
-    parts[place_a] = np.where(shared[group_a] == end_a, left.last[a], left.inner[a])
-    parts[place_b] = np.where(shared[group_b] == end_b, right.last[b], right.inner[b])
-    parts = parts.tolist()
+    text = np.empty((len(ids), left.text.shape[1]), np.uint8)
+    text[place_a], text[place_b] = left.text[a], right.text[b]
+    text[place_a[shared[group_a] == end_a], -1] = left.after
+    text[place_b[shared[group_b] == end_b], -1] = right.after
+    shown = text != 0
+    written = np.cumsum(np.count_nonzero(shown, axis=1))
+    text = text[shown].tobytes()
     last = end_a[np.cumsum(mine)[size - 1] - 1]
-    to_part = [0, *size.tolist()]
+    to_text = [0, *written[size - 1].tolist()]
     to_link = [0, *(8 * np.searchsorted(ends, last, side="right")).tolist()]
     data = links.tobytes()
     return [
-        (b"".join(parts[i:j]), data[k:m])
-        for i, j, k, m in zip(to_part[:-1], to_part[1:], to_link[:-1], to_link[1:], strict=True)
+        (text[i:j], data[k:m])
+        for i, j, k, m in zip(to_text[:-1], to_text[1:], to_link[:-1], to_link[1:], strict=True)
     ]
 
 
 class _Side:
     """What the alignment needs of a tokenizer's tokens, by id."""
 
-    def __init__(self, bytes_of: list[bytes], after: bytes):
+    def __init__(self, bytes_of: list[bytes], after: str):
         self.length = np.array([len(x) for x in bytes_of])
         self.spaced = np.array([x[:1] == b" " for x in bytes_of])
-        number = [b"%d" % i for i in range(len(bytes_of))]
-        #: An id's text where others of its group follow on its side, and where none do.
-        self.inner = np.array([x + b"," for x in number], object)
-        self.last = np.array([x + after for x in number], object)
+        #: Rows of an id's digits, zeros before them, and a comma: what stands
+        #: after it where others of its group follow; ``after`` where none do.
+        self.after = ord(after)
+        digits = "".join(f"{i:>10}," for i in range(len(bytes_of))).encode("ascii")
+        self.text = np.frombuffer(digits, np.uint8).reshape(-1, 11).copy()
+        self.text[self.text == ord(" ")] = 0
 
 
 class Aligner:
@@ -169,7 +173,9 @@ class Aligner:
 
     def __init__(self, left, right):
         self.left, self.right = left, right
-        self.a, self.b = _Side(left.bytes_of, b"|"), _Side(right.bytes_of, b";")
+        self.a, self.b = _Side(left.bytes_of, "|"), _Side(right.bytes_of, ";")
+        width = 1 + max(len(str(len(t.bytes_of) - 1)) for t in (left, right))
+        self.a.text, self.b.text = (np.ascontiguousarray(x.text[:, -width:]) for x in (self.a, self.b))
         self.new, self.old, self.load = {}, {}, 0
 
     def _learn(self, keys: set[bytes]) -> dict[bytes, tuple[bytes, bytes]]:
@@ -204,27 +210,32 @@ class Aligner:
         window_a = np.searchsorted(cut_a, np.arange(len(a)), side="right") - 1
         window_b = np.searchsorted(cut_b, np.arange(len(b)), side="right") - 1
         key[np.arange(len(a)) + cut_b[window_a]] = a
-        key[np.arange(len(b)) + np.append(cut_a, len(a))[window_b + 1]] = b.astype(np.uint32) | _RIGHT
+        key[np.arange(len(b)) + np.append(cut_a, len(a))[window_b + 1]] = b | _RIGHT
         data = key.tobytes()
         edge = [*(4 * (cut_a + cut_b)).tolist(), len(data)]
         return [data[i:j] for i, j in zip(edge[:-1], edge[1:], strict=True)], np.searchsorted(anchors, begin)
 
-    def _spelled(self, text: str, a: list[int], b: list[int]) -> bool:
-        """If both sides' tokens make up space + text."""
-        want, of_a, of_b = b" " + text.encode("utf-8"), self.left.bytes_of, self.right.bytes_of
-        return text != "" and b"".join([of_a[i] for i in a]) == want == b"".join([of_b[i] for i in b])
+    def _spelled(self, want: bytes, a: np.ndarray, b: np.ndarray) -> bool:
+        """If both sides' tokens make up these bytes, a space and a text that isn't empty."""
+        of_a, of_b = self.left.bytes_of, self.right.bytes_of
+        return (
+            len(want) > 1
+            and int(self.a.length[a].sum()) == len(want) == int(self.b.length[b].sum())
+            and b"".join([of_b[i] for i in b.tolist()]) == want
+            and b"".join([of_a[i] for i in a.tolist()]) == want
+        )
 
     def texts(self, texts: list[str]) -> list[tuple]:
         """Of each text: n_a, n_b, n_groups, n_links, groups' digest, pairs and their counts as arrays."""
         none = np.zeros(0, np.int64)
         out: list[tuple] = [(0, 0, 0, 0, "", none, none)] * len(texts)
-        ids = zip(texts, self.left.ids(texts), self.right.ids(texts), strict=True)
-        used = [(i, a, b) for i, (text, a, b) in enumerate(ids) if self._spelled(text, a, b)]
+        wanted = [b" " + t.encode("utf-8") for t in texts]
+        ids = zip(wanted, self.left.ids(texts), self.right.ids(texts), strict=True)
+        used = [(i, a, b) for i, (want, a, b) in enumerate(ids) if self._spelled(want, a, b)]
         if not used:
             return out
-        size = [len(texts[i].encode("utf-8")) + 1 for i, _, _ in used]
-        a, b = (np.array(list(chain.from_iterable(x[side] for x in used))) for side in (1, 2))
-        keys, first = self.windows(a, b, np.cumsum([0, *size]))
+        a, b = (np.concatenate([x[side] for x in used]) for side in (1, 2))
+        keys, first = self.windows(a, b, np.cumsum([0, *(len(wanted[i]) for i, _, _ in used)]))
         found = list(map(self.new.get, keys))
         if None in found:
             lost = {k for k, v in zip(keys, found, strict=True) if v is None}
