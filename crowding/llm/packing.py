@@ -1,11 +1,13 @@
 """Harmonic packing of token ids into sequences of a fixed capacity.
 
-Lengths fall into reciprocal classes capacity/1, capacity/2, capacity/4, ...:
-a document is cut into pieces of exactly these lengths (the binary digits of
-its length), and a class's bins hold a fixed number of pieces, 2**class, so a
-full bin has no padding. Each task fills the bins of its own rows, without a
-shuffle. What is left of a class at the end of a task is cut into bins of
-powers of two, which are not padded either.
+A document's full sequences are cut off first; what remains, r ids, falls into
+the reciprocal class k = capacity // r: k such remainders fit a bin, and a bin
+of class k holds exactly k of them. Each task fills the bins of its own rows,
+without a shuffle. What a full bin lacks is cut from a filler, a remainder that
+came while there was none, so bins have no padding and only fillers are cut.
+At a task's end the bins that aren't full are laid end to end and cut into
+sequences; the last ids of the task become sequences of powers of two, which
+are not padded either.
 """
 
 from __future__ import annotations
@@ -22,6 +24,8 @@ from .pretokens import ChunkIds, text_groups
 
 CAPACITY = 1024
 END_ID = 0
+#: Classes of remainders; smaller ones share the last.
+CLASSES = 32
 _GROUP_CHARS = 2_000_000
 _OUT_BYTES = 8_000_000
 _CACHE_CHARS = 70_000_000
@@ -44,8 +48,8 @@ def token_ids(texts: list[str], path: str) -> list[bytes]:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
-
+        # Special tokens' strings are these tokens wherever they stand in a text.
+        added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
         newline = tokenizer.encode("\n", add_special_tokens=False).ids
 
         def encode(chunks: list[str]) -> list[bytes]:
@@ -67,46 +71,87 @@ def token_ids(texts: list[str], path: str) -> list[bytes]:
                 out[i] = np.array(e.ids, dtype="<u4").tobytes()
             return out
 
-        _tokenizers[path] = ChunkIds(encode, _CACHE_CHARS)
+        _tokenizers[path] = ChunkIds(encode, _CACHE_CHARS, added)
     return _tokenizers[path].of(texts)
 
 
-def harmonic_pieces(n: int, capacity: int) -> list[int]:
-    """Lengths, longest first, that add to n: capacities, then its halves."""
-    out = [capacity] * (n // capacity)
-    rest, size = n % capacity, capacity // 2
-    while rest:
-        if rest >= size:
-            out.append(size)
-            rest -= size
-        size //= 2
-    return out
+def harmonic_class(r: int, capacity: int) -> int:
+    """How many remainders of r ids a bin holds: capacity / (k + 1) < r <= capacity / k."""
+    return min(capacity // r, CLASSES)
 
 
 class _Bins:
-    """Open bins of one task: for each class the pieces of its unfilled bin."""
+    """Open bins of one task. A piece is [doc id, start, ids as bytes, document's ids]."""
 
     def __init__(self, capacity: int, first: int):
-        self.capacity, self.next, self.open = capacity, first, {}
-
-    def _close(self, pieces: list[tuple], size: int) -> Iterator[tuple]:
-        for i, p in enumerate(pieces):
-            yield (*p, self.next, i * size)
+        self.capacity, self.next = capacity, first
+        self.open: dict[int, list[list]] = {}
+        self.filler: list | None = None
+        self.lacking: list[list] = []
+
+    def _sequence(self, pieces: list[list]) -> Iterator[tuple]:
+        at = 0
+        for doc_id, start, data, n in pieces:
+            size = len(data) // 4
+            yield doc_id, start, size, data, n, self.next, at
+            at += size
         self.next += 1
 
-    def add(self, piece: tuple, size: int) -> Iterator[tuple]:
-        waiting = self.open.setdefault(size, [])
-        waiting.append(piece)
-        if len(waiting) * size == self.capacity:
-            self.open[size] = []
-            yield from self._close(waiting, size)
+    @staticmethod
+    def _cut(piece: list, size: int) -> tuple[list, list | None]:
+        """The first ``size`` ids of a piece, and what is left of it."""
+        doc_id, start, data, n = piece
+        rest = [doc_id, start + size, data[4 * size :], n] if len(data) > 4 * size else None
+        return [doc_id, start, data[: 4 * size], n], rest
+
+    def _fill(self, pieces: list[list]) -> Iterator[tuple]:
+        """Close a bin, its gap filled; without enough filler it waits for the next one."""
+        gap = self.capacity - sum(len(p[2]) for p in pieces) // 4
+        if gap and self.filler:
+            part, self.filler = self._cut(self.filler, gap)
+            pieces = [*pieces, part]
+            gap -= len(part[2]) // 4
+        if gap:
+            self.lacking = pieces
+        else:
+            self.lacking = []
+            yield from self._sequence(pieces)
+
+    def add(self, doc_id, data: bytes) -> Iterator[tuple]:
+        n, whole = len(data) // 4, self.capacity
+        for start in range(0, n - n % whole, whole):
+            yield from self._sequence([[doc_id, start, data[4 * start : 4 * (start + whole)], n]])
+        r = n % whole
+        if not r:
+            return
+        piece = [doc_id, n - r, data[4 * (n - r) :], n]
+        if not self.filler:
+            self.filler = piece
+            if self.lacking:
+                yield from self._fill(self.lacking)
+            return
+        k = harmonic_class(r, whole)
+        mine = self.open.setdefault(k, [])
+        mine.append(piece)
+        if len(mine) == k:
+            self.open[k] = []
+            yield from self._fill(mine)
 
     def rest(self) -> Iterator[tuple]:
-        for size, waiting in sorted(self.open.items(), reverse=True):
-            while waiting:
-                take = 1 << (len(waiting).bit_length() - 1)
-                yield from self._close(waiting[:take], size)
-                waiting = waiting[take:]
+        """What is left at the end: laid end to end, cut at the capacity, then at powers of two."""
+        left = self.lacking + [p for k in sorted(self.open) for p in self.open[k]] + ([self.filler] if self.filler else [])
+        total = sum(len(p[2]) for p in left) // 4
+        while total:
+            size = self.capacity if total >= self.capacity else 1 << (total.bit_length() - 1)
+            total -= size
+            pieces = []
+            while size:
+                part, rest = self._cut(left.pop(0), size)
+                pieces.append(part)
+                size -= len(part[2]) // 4
+                if rest:
+                    left.insert(0, rest)
+            yield from self._sequence(pieces)
 
 
 def pack_documents(
@@ -126,6 +171,7 @@ def pack_documents(
     text has the end id alone. ``capacity`` is a power of two; sequences are
     full, or hold a power of two. Null and repeated ids are documents of their
     own; an empty table gives an empty result; other columns are not read.
+    Special tokens' strings in a text are encoded as the tokenizer file has it.
     A task's sequence numbers begin at its partition's, so a task that runs
     again makes the same rows.
     """
@@ -147,13 +193,8 @@ def pack_documents(
             ids = batch.column(0).to_pylist()
             for first, texts in text_groups(batch.column(1).to_pylist(), _GROUP_CHARS):
                 for i, found in enumerate(token_ids(texts, tokenizer_path), first):
-                    data = found + end
-                    n, start = len(data) // 4, 0
-                    for size in harmonic_pieces(n, capacity):
-                        piece = data[4 * start : 4 * (start + size)]
-                        rows.extend(bins.add((ids[i], start, size, piece, n), size))
-                        start += size
-                    load += len(data)
+                    rows.extend(bins.add(ids[i], found + end))
+                    load += len(found)
                     if load > _OUT_BYTES and rows:
                         yield made()
                         load = 0

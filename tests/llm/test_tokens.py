@@ -28,9 +28,7 @@ def reference():
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(JSON)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(JSON)
 
 
 def texts():
@@ -71,10 +69,56 @@ def test_encode_and_decode_edge_rows(edge, nothing, reference):
     assert bpe.decode(bpe.encode(nothing, RANKS, public_tokenizers.PATTERN), RANKS, public_tokenizers.PATTERN).count() == 0
 
 
-def test_pieces_are_powers_of_two():
-    for n in (1, 2, 1023, 1024, 1025, 5000):
-        got = packing.harmonic_pieces(n, 1024)
-        assert sum(got) == n and all(x & (x - 1) == 0 and x <= 1024 for x in got)
+SPECIAL = "<|endoftext|>"
+
+
+def test_special_tokens_are_the_librarys(tokenizer):
+    some = [f"a{SPECIAL}b", SPECIAL, f"{SPECIAL}{SPECIAL}", f"one two{SPECIAL}\nthree {SPECIAL} four", f"x  {SPECIAL}  y",
+            f"word{SPECIAL}.", f"word{SPECIAL[:-1]} >", f"line\n{SPECIAL}\n\nline", SPECIAL.replace("of", " of"), f"\0{SPECIAL}"]
+    assert 50256 in tokenizer.encode(some[0], add_special_tokens=False).ids
+    for t, got in zip(some, packing.token_ids(some, JSON), strict=True):
+        assert np.frombuffer(got, "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids, repr(t)
+
+
+def packed(lengths, capacity):
+    bins, rows, at = packing._Bins(capacity, 0), [], 0
+    for i, n in enumerate(lengths):
+        rows += bins.add(i, np.arange(at, at + n, dtype="<u4").tobytes())
+        at += n
+    bound = len(rows)
+    return rows + list(bins.rest()), bound
+
+
+@pytest.mark.parametrize("capacity", [1, 2, 8, 64, 1024])
+def test_bins_hold_their_classes_number(capacity):
+    rng = random.Random(capacity)
+    lengths = [max(1, int(rng.paretovariate(0.7) * capacity / 9)) % (9 * capacity) + 1 for _ in range(3000)]
+    rows, bound = packed(lengths, capacity)
+    by, sequences = defaultdict(list), defaultdict(list)
+    for row in rows:
+        by[row[0]].append(row)
+        sequences[row[5]].append(row)
+    first = 0
+    for i, n in enumerate(lengths):
+        parts = sorted(by[i], key=lambda x: x[1])
+        ids = np.concatenate([np.frombuffer(p[3], "<u4") for p in parts])
+        assert ids.tolist() == list(range(first, first + n)) and all(p[4] == n for p in parts)
+        assert [p[1] for p in parts] == np.cumsum([0, *(p[2] for p in parts[:-1])]).tolist()
+        first += n
+    assert sorted(sequences) == list(range(len(sequences)))
+    full = {row[5] for row in rows[:bound]}
+    for s, parts in sequences.items():
+        assert [p[6] for p in parts] == np.cumsum([0, *(p[2] for p in parts[:-1])]).tolist()
+        size = sum(p[2] for p in parts)
+        assert size == capacity or (s not in full and size < capacity and size & (size - 1) == 0)
+        if s in full and parts[0][2] < capacity:
+            # k whole remainders of class k, then pieces of fillers.
+            k = packing.harmonic_class(parts[0][2], capacity)
+            whole = [p for p in parts if p[1] + p[2] == p[4] and p[2] == p[4] % capacity]
+            assert len(whole) >= k
+            assert all(packing.harmonic_class(p[2], capacity) == k for p in parts[:k])
+    # Every bin cuts one filler at most, and a task's end few.
+    assert len(rows) <= sum(-(-n // capacity) for n in lengths) + len(sequences) + 12
 
 
 def test_packing_edge_rows(edge, nothing, tokenizer):
