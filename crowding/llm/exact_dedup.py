@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _WS, stored, text_steps
+from .common import _WS, released, stored, text_steps
 
 CHUNK = 1 << 16
 MODULI = (2147483647, 2147483629, 2147483587, 2147483579)
@@ -122,7 +122,7 @@ def _narrow(key_bits: int):
                 cols = [batch.column(0).slice(row, n), hi, lo, pa.array(np.diff(offsets)), pa.array(sha, pa.string())]
                 yield pa.RecordBatch.from_arrays(cols, schema=schema)
 
-    return run, "doc_id long, hi long, lo long, n_bytes long, text_sha256 string"
+    return released(run), "doc_id long, hi long, lo long, n_bytes long, text_sha256 string"
 
 
 def _with_body(key_bits: int):
@@ -143,7 +143,7 @@ def _with_body(key_bits: int):
                 cols[-1] = cols[-1].cast(pa.binary())
                 yield pa.RecordBatch.from_arrays(cols, names=schema.names)
 
-    return run, "doc_id long, hi long, lo long, n_bytes long, body binary"
+    return released(run), "doc_id long, hi long, lo long, n_bytes long, body binary"
 
 
 def same_bytes(a: np.ndarray, b: np.ndarray) -> bool:
@@ -199,7 +199,7 @@ def _round(members: DataFrame) -> DataFrame:
     )
     both = leaders.unionByName(rest).repartition(*_KEY, "salt")
     return both.sortWithinPartitions(*_KEY, "salt", F.desc("lead")).mapInArrow(
-        _compared,
+        released(_compared),
         "doc_id long, row long, hi long, lo long, n_bytes long, text_sha256 string, same boolean, body binary",
     )
 

@@ -21,16 +21,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import fmix, text_steps, word_hashes
+from .common import fmix, released, text_steps, word_hashes
 
-#: Distinct texts of each language that the model learns from, and the
-#: characters that are read of each: at most 13 million a language.
+#: The sample that the model learns from: distinct whole texts of each language,
+#: their bytes together, and the languages. 13 million bytes hold 200 texts of
+#: 65,536 bytes.
 TRAIN_TEXTS = 200
-TRAIN_CHARS = 1 << 16
+TRAIN_BYTES = 13 << 20
+TRAIN_LANGS = 256
 #: Parts of at most so many words that a training step sees as chains.
 CHAIN_WORDS = 64
 CHAINS_A_STEP = 64
 EPOCHS = 2
+#: Parts to one chain of two languages in turn.
+SWITCHED_EVERY = 6
 #: A lexicon word occurs so often in the training texts, mostly in one language.
 LEXICON_COUNT, LEXICON_SHARE = 4, 0.9
 
@@ -199,6 +203,29 @@ def _part(w: Words, lo: int, hi: int) -> Words:
     return Words(cuts, w.starts[lo:hi] - begin, w.tri[begin:end], w.affix[lo:hi], w.hashes[lo:hi])
 
 
+def _switched(parts: list, label: np.ndarray, rng: np.random.Generator) -> list:
+    """Chains that change between two languages every few words, made of the parts' words.
+
+    One for every SWITCHED_EVERY parts; without them no transition between
+    languages would ever be seen.
+    """
+    out = []
+    for _ in range(len(parts) // SWITCHED_EVERY):
+        both = [parts[i][0] for i in rng.integers(len(parts), size=2)]
+        if label[both[0][0]] == label[both[1][0]]:
+            continue
+        chain, at = [], [lo for lo, _ in both]
+        for turn in range(CHAIN_WORDS):
+            i = turn % 2
+            end = min(at[i] + int(rng.integers(3, 13)), both[i][1])
+            if end == at[i]:
+                break
+            chain.append((at[i], end))
+            at[i] = end
+        out.append(chain)
+    return out
+
+
 def fit_texts(texts: list[str], labels: list[str]) -> LanguageModel:
     """Learn from texts and their languages: every word of a text has its label.
 
@@ -228,14 +255,16 @@ def fit_texts(texts: list[str], labels: list[str]) -> LanguageModel:
     rng = np.random.default_rng(1)
     parts = []
     for lo, hi in zip(w.first[:-1], w.first[1:], strict=True):
-        parts += [(x, min(x + CHAIN_WORDS, hi)) for x in range(lo, hi, CHAIN_WORDS)]
+        parts += [[(x, min(x + CHAIN_WORDS, hi))] for x in range(lo, hi, CHAIN_WORDS)]
+    parts += _switched(parts, label, rng)
     grown = [np.full(x.shape, 1e-6) for x in (weights, lex_weights, moves)]
     for _ in range(EPOCHS):
         order = rng.permutation(len(parts))
         for at in range(0, len(order), CHAINS_A_STEP):
             some = [parts[i] for i in order[at : at + CHAINS_A_STEP]]
-            pieces = [_part(w, lo, hi) for lo, hi in some]
-            many = np.array([len(x.starts) for x in pieces])
+            spans = [x for part in some for x in part]
+            pieces = [_part(w, lo, hi) for lo, hi in spans]
+            many = np.array([sum(hi - lo for lo, hi in part) for part in some])
             shift = np.cumsum([len(x.tri) for x in pieces]) - [len(x.tri) for x in pieces]
             step = Words(
                 np.concatenate([[0], np.cumsum(many)]),
@@ -244,7 +273,7 @@ def fit_texts(texts: list[str], labels: list[str]) -> LanguageModel:
                 np.concatenate([x.affix for x in pieces]),
                 np.concatenate([x.hashes for x in pieces]),
             )
-            y = label[np.concatenate([np.arange(lo, hi) for lo, hi in some])]
+            y = label[np.concatenate([np.arange(lo, hi) for lo, hi in spans])]
             p, expected, _ = marginals(model.emissions(step), moves, step.first)
             p[np.arange(len(y)), y] -= 1
             seen = np.zeros((k, k))
@@ -275,36 +304,45 @@ def fit(
     text_col: str = "text",
     lang_col: str = "lang",
     train_texts: int = TRAIN_TEXTS,
-    train_chars: int = TRAIN_CHARS,
+    train_bytes: int = TRAIN_BYTES,
+    train_langs: int = TRAIN_LANGS,
 ) -> LanguageModel:
-    """Learn from the first ``train_chars`` characters of at most ``train_texts``
-    distinct texts of each language, those with the smallest hashes; copies
-    count once. So at most 4 * train_texts * train_chars bytes of a language
-    (52 MB by default, 13 MB if ASCII) come to the driver. Rows with a null text
-    or language teach nothing; without any others the model knows no language."""
+    """Learn from a bounded sample of distinct whole texts; copies count once.
+
+    Of each language, its texts in the order of their hashes, as long as there
+    are at most ``train_texts`` of at most ``train_bytes`` together; a text that
+    doesn't fit ends the sample unless it is the first. So train_bytes a
+    language come to the driver, or one text. The model knows the ``train_langs``
+    languages with the most distinct texts (of equally many, those that sort
+    first). Rows with a null text or language teach nothing; without any others
+    the model knows no language."""
     base = labelled.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where(
         F.col("text").isNotNull() & F.col("lang").isNotNull()
     )
     distinct = base.groupBy("lang").agg(F.count_distinct(F.xxhash64("text")).alias("n"))
-    counts = {r["lang"]: r["n"] for r in distinct.collect()}
+    counts = {r["lang"]: r["n"] for r in distinct.orderBy(F.desc("n"), "lang").limit(train_langs).collect()}
     if not counts:
         return fit_texts([], [])
-    # Over twice the sample of each language by the hash, then the smallest ones.
+    # Over twice the sample of each language by the hash, then the first ones.
     cut = {x: int((1 << 30) * min(1.0, (2 * train_texts + 50) / n)) for x, n in counts.items()}
     place = F.pmod(F.xxhash64("text"), F.lit(1 << 30))
     limit = F.create_map(*[F.lit(v) for pair in sorted(cut.items()) for v in pair])
-    w = Window.partitionBy("lang").orderBy("place", "hash", "text")
-    sample = (
-        base.withColumn("place", place)
-        .where(F.col("place") < F.element_at(limit, F.col("lang")))
-        .select("lang", "place", F.xxhash64("text").alias("hash"), F.substring("text", 1, train_chars).alias("text"))
-        .distinct()
-        .withColumn("r", F.row_number().over(w))
-        .where(F.col("r") <= train_texts)
-        .orderBy("lang", "r")
-        .select("text", "lang")
-        .collect()
+    w = Window.partitionBy("lang").orderBy("place", "hash")
+    # The order is of hashes and sizes; texts come by them, for the chosen alone.
+    near = base.withColumn("place", place).where(F.col("place") < F.element_at(limit, F.col("lang")))
+    sizes = near.groupBy("lang", "place", F.xxhash64("text").alias("hash")).agg(F.max(F.octet_length("text")).alias("size"))
+    chosen = (
+        sizes.withColumn("r", F.row_number().over(w))
+        .withColumn("bytes", F.sum("size").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        .where((F.col("r") == 1) | ((F.col("r") <= train_texts) & (F.col("bytes") <= train_bytes)))
+        .select("lang", "hash", "r")
     )
+    # At most train_langs * train_texts rows of three short columns.
+    sample = (
+        near.withColumn("hash", F.xxhash64("text")).join(F.broadcast(chosen), ["lang", "hash"])
+        .groupBy("lang", "hash", "r").agg(F.min("text").alias("text"))
+        .orderBy("lang", "r").select("text", "lang").collect()
+    )
     return fit_texts([r["text"] for r in sample], [r["lang"] for r in sample])
 
 
@@ -343,7 +381,7 @@ def predict(docs: DataFrame, model: LanguageModel, *, id_col: str = "doc_id", te
                 )
 
     return docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text")).mapInArrow(
-        run, "doc_id long, lang_pred string, score double"
+        released(run), "doc_id long, lang_pred string, score double"
     )
 
 
@@ -362,7 +400,7 @@ def keep_known(docs: DataFrame, model: LanguageModel, least: float, *, text_col:
                     [c.cast(t) for c, t in zip(kept.columns, schema.types, strict=True)], schema=schema
                 )
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(released(run), docs.schema)
 
 
 def held_out(doc_id: Column) -> Column:

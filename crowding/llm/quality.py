@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import fmix, text_steps, word_hashes, words
+from .common import fmix, released, text_steps, word_hashes, words
 
 #: Documents that the scorer learns from.
 TRAIN_DOCS = 4000
@@ -262,9 +262,9 @@ class QualityModel:
 
 def fit(docs: DataFrame, *, text_col: str = "text", train_docs: int = TRAIN_DOCS) -> QualityModel:
     """Learn from all documents' votes, and the scorer from the ``train_docs``
-    distinct texts with the smallest hashes; copies count once. Of each text,
-    FEATURES floats come to the driver: 33 MB in all by default. No labels are
-    read. Without documents, every score is 0.5 or, without words, 0."""
+    distinct texts with the smallest hashes; copies count once. Their features
+    are computed where the texts lie, and of each text FEATURES floats come to
+    the driver: 33 MB in all by default. No labels are read. Without documents, every score is 0.5 or, without words, 0."""
     text = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -274,23 +274,31 @@ def fit(docs: DataFrame, *, text_col: str = "text", train_docs: int = TRAIN_DOCS
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, data, offsets in text_steps(batch.column(0)):
+            for first, data, offsets in text_steps(batch.column(0)):
                 rows = [r.tobytes() for r in features(data, offsets)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(patterns(data, offsets)), pa.array(rows, pa.binary())], names=["pattern", "features"]
+                    [batch.column(1).slice(first, len(rows)), pa.array(patterns(data, offsets)), pa.array(rows, pa.binary())],
+                    names=["hash", "pattern", "features"],
                 )
 
-    counted = text.mapInArrow(vote, "pattern long").groupBy("pattern").count().orderBy("pattern").collect()
+    counted = text.mapInArrow(released(vote), "pattern long").groupBy("pattern").count().orderBy("pattern").collect()
     log_vote, share = fit_votes(
         np.array([r["pattern"] for r in counted], np.int64), np.array([r["count"] for r in counted], float)
     )
     # Over one and a half times the sample by the hash, then the smallest.
-    filled = text.where(F.col("text") != "")
-    n = filled.agg(F.count_distinct(F.xxhash64("text"))).first()[0]
-    place = F.pmod(F.xxhash64("text"), F.lit(1 << 30))
+    filled = text.where(F.col("text") != "").withColumn("hash", F.xxhash64("text"))
+    n = filled.agg(F.count_distinct("hash")).first()[0]
+    place = F.pmod("hash", F.lit(1 << 30))
     cut = int((1 << 30) * min(1.0, (1.5 * train_docs + 50) / max(n, 1)))
-    sample = filled.where(place < cut).distinct().orderBy(place, "text").limit(train_docs)
-    seen = sample.mapInArrow(look, "pattern long, features binary").collect()
+    near = filled.where(place < cut)
+    chosen = near.select("hash").distinct().orderBy(place, "hash").limit(train_docs)
+    # The chosen hashes are at most train_docs numbers.
+    looked = near.join(F.broadcast(chosen), "hash").select("text", "hash")
+    seen = (
+        looked.mapInArrow(released(look), "hash long, pattern long, features binary")
+        .groupBy("hash").agg(F.min("pattern").alias("pattern"), F.min("features").alias("features"))
+        .orderBy(place, "hash").collect()
+    )
     x = np.stack([np.frombuffer(r["features"], np.float32) for r in seen]) if seen else np.zeros((0, FEATURES), np.float32)
     p = posterior(np.array([r["pattern"] for r in seen], np.int64), log_vote, share)
     weights, bias = fit_scorer(x, p)
@@ -317,7 +325,7 @@ def classify(docs: DataFrame, model: QualityModel, *, id_col: str = "doc_id", te
                 )
 
     return docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text")).mapInArrow(
-        run, "doc_id long, weak double, score double, accepted boolean"
+        released(run), "doc_id long, weak double, score double, accepted boolean"
     )
 
 
@@ -335,4 +343,4 @@ def keep_accepted(docs: DataFrame, model: QualityModel, *, text_col: str = "text
                     [c.cast(t) for c, t in zip(kept.columns, schema.types, strict=True)], schema=schema
                 )
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(released(run), docs.schema)
