@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_long, fmix, shingle_hashes, stored, text_steps, word_hashes, words
+from .common import as_long, fmix, released, shingle_hashes, stored, text_steps, word_hashes, words
 from .components import components
 
 SHINGLE_WORDS = 5
@@ -239,7 +239,7 @@ def near_duplicates(
     )
     sketches = stored(
         text.mapInArrow(
-            _sketcher(k, bands, rows), "doc_id long, copy binary, shape binary, n long, bands array<long>"
+            released(_sketcher(k, bands, rows)), "doc_id long, copy binary, shape binary, n long, bands array<long>"
         ),
         "sketches",
     )
@@ -264,7 +264,7 @@ def near_duplicates(
     row = (F.col("copy") == F.col("first.copy")) & F.col("doc_id").eqNullSafe(F.col("first.doc_id"))
     sets = stored(
         text.join(wanted, row).select("shape", "text").dropDuplicates(["shape"])
-        .mapInArrow(_shingle_lists(k), "shape binary, ids array<long>"),
+        .mapInArrow(released(_shingle_lists(k)), "shape binary, ids array<long>"),
         "shingles",
     )
 

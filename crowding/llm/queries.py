@@ -31,8 +31,8 @@ from . import (
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
-#: Bytes of text that a shard may have.
-SHARD_BYTES = 64 << 20
+#: Bytes of text that a shard may have: the given tables split at every scale.
+SHARD_BYTES = 256 << 10
 
 
 def _query(fn):

@@ -153,6 +153,64 @@ def check_repeats(df):
     return passages
 
 
+@pytest.fixture
+def many_partitions(spark):
+    """Sorted arrays of small inputs keep all their partitions, and so their borders."""
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")
+    yield
+    spark.conf.set(key, "true")
+
+
+def test_a_run_over_many_sorted_partitions(spark, many_partitions):
+    """One passage in most of the texts, others in two: their runs cross borders."""
+    rng = np.random.default_rng(8)
+    shared = [f"s{i}" for i in range(64)]
+    rows = []
+    for i in range(160):
+        w = [f"t{i}x{j}" for j in range(int(rng.integers(0, 40)))]
+        w += shared[int(rng.integers(0, 8)) :] if i % 4 else [f"pair{i // 8}w{j}" for j in range(55)]
+        w += [f"u{i}x{j}" for j in range(int(rng.integers(0, 40)))]
+        rows.append((i if i != 77 else None, " ".join(w)))
+    rows += rows[40:44] + [(1000, rows[1][1]), (1001, " ".join(shared * 3))]
+    check_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+
+
+def sorted_parts(df, order):
+    """Rows that lie in several partitions in this order."""
+    return df.repartitionByRange(4, *order).sortWithinPartitions(*order)
+
+
+def test_neighbours_across_borders(spark, many_partitions):
+    """Whatever rows a partition ends with: every key that two places have is found."""
+    rng = np.random.default_rng(3)
+    rows = [(int(k), int(c), 7, int(p)) for k, c, p in zip(rng.choice([1, 1, 1, *range(2, 60)], 400), rng.integers(0, 40, 400), rng.integers(0, 3, 400), strict=True)]
+    rows += rows[:30]
+    df = spark.createDataFrame([(*r, 1000) for r in rows], "key long, copy long, copy2 long, pos int, n_words int")
+    got = suffixes._shared_places(df, 50).distinct().collect()
+    places = defaultdict(set)
+    for k, *place in set(rows):
+        places[k].add(tuple(place))
+    assert {tuple(r) for r in got} == {p for v in places.values() if len(v) > 1 for p in v}
+
+
+def test_hash_equal_starts_that_differ_are_no_match(spark, many_partitions):
+    """Sources are told by both hashes; runs come from their first place, over borders."""
+    rng = np.random.default_rng(5)
+    rows = [(1, int(h), None if d == 9 else int(d), int(d), 0, int(s)) for h, d, s in zip(rng.choice([0, 0, 0, *range(30)], 500), rng.integers(0, 10, 500), rng.integers(0, 120, 500), strict=True)]
+    rows = list(set(rows))
+    df = spark.createDataFrame(rows, "h1 long, h2 long, first_id long, copy long, copy2 long, start int")
+    first, want = {}, set()
+    for r in sorted(rows, key=lambda r: (r[0], r[1], r[2] is None, r[2] or 0, *r[3:])):
+        f = first.setdefault(r[:2], r)
+        if f[3:5] != r[3:5] or r[5] - f[5] >= 50:
+            want.add((r[3], r[4], r[2], r[5], f[2]))
+    got = suffixes._repeated_starts(df, 50).collect()
+    assert {tuple(r) for r in got} == want and len(got) == sum(
+        1 for r in rows if (f := first[r[:2]])[3:5] != r[3:5] or r[5] - f[5] >= 50
+    )
+
+
 def test_repeats_equal_brute_force(spark, small_docs):
     rng = np.random.default_rng(4)
     word = [f"v{i}" for i in range(400)]
