@@ -43,6 +43,25 @@ def time_window(hour: Column) -> Column:
     return expr.otherwise(OTHER_WINDOW)
 
 
+def clock_hour(ts: Column, zone: str) -> Column:
+    """What the clocks of ``zone`` make of a wall-clock time: plain, skipped or repeated.
+
+    A skipped time was never shown: taken to UTC and back it is another one. A
+    repeated time was shown twice: an hour later, or before, the clocks show it
+    again. Holds for changes of an hour; a null time gives null. The session
+    zone is UTC.
+    """
+    local = ts.cast("timestamp")
+    moment = F.to_utc_timestamp(local, zone)
+    hour = F.expr("INTERVAL 1 HOUR")
+    again = (F.from_utc_timestamp(moment + hour, zone) == local) | (F.from_utc_timestamp(moment - hour, zone) == local)
+    return (
+        F.when(local.isNull(), F.lit(None).cast("string"))
+        .when(F.from_utc_timestamp(moment, zone) != local, "skipped")
+        .when(again, "repeated").otherwise("plain")
+    )
+
+
 def first_of_month(year, month) -> Column:
     y = F.col(year) if isinstance(year, str) else year
     m = F.col(month) if isinstance(month, str) else month

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.calendar import clock_hour
 from ..functions.numeric import is_missing
 
 
@@ -141,6 +142,37 @@ def rejection_report(rejected: DataFrame, spec: GateSpec) -> DataFrame:
     )
 
 
+def clock_report(df: DataFrame, spec: GateSpec, zone: str, col: str = "transit_timestamp") -> DataFrame:
+    """Report rows of local hours that the zone's clocks skip or show twice.
+
+    A row in a skipped hour has a wrong time and fails the check. Rows of a
+    repeated hour are of two hours that the source doesn't tell apart; hour facts
+    add them up, so they are counted, for information.
+    """
+    kind = clock_hour(F.col(col), zone)
+    counts = df.agg(*[F.count_if(kind == k).alias(k) for k in ("skipped", "repeated")])
+    row = lambda check, k, limit, ok: F.struct(
+        F.lit(check).alias("check"), F.lit(col).alias("column"), F.col(k).alias("value"),
+        F.lit(limit).cast("long").alias("threshold"), ok.alias("passed"),
+    )
+    checks = [row("skipped_hours", "skipped", 0, F.col("skipped") == 0), row("repeated_hours", "repeated", None, F.lit(True))]
+    return counts.select(F.explode(F.array(*checks)).alias("c")).select(F.lit(spec.dataset).alias("dataset"), "c.*")
+
+
+def changeover_hours(df: DataFrame, zone: str, col: str = "transit_timestamp") -> DataFrame:
+    """All hours of the days on which the zone's clocks change: (hour, clock, records, ridership).
+
+    The rows are added up by hour first; days are looked up for these few rows.
+    """
+    hours = df.groupBy(F.date_trunc("hour", F.col(col)).cast("timestamp_ntz").alias("hour")).agg(
+        F.count("*").alias("records"), F.sum("ridership").alias("ridership")
+    )
+    day = F.to_date("hour")
+    all_day = F.transform(F.sequence(F.lit(0), F.lit(23)), lambda h: day.cast("timestamp") + F.make_interval(hours=h))
+    changes = F.exists(all_day, lambda t: clock_hour(t, zone) != "plain")
+    return hours.where(changes).select("hour", clock_hour(F.col("hour"), zone).alias("clock"), "records", "ridership")
+
+
 def enforce(report: DataFrame) -> None:
     """Raise ``GateFailure`` listing the failed checks, if any."""
     failed = report.filter(~F.col("passed")).collect()

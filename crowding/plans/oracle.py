@@ -695,3 +695,32 @@ QUERIES["late_hours"] = q(
               FROM fed_rows GROUP BY ALL)""",
     (RIDERSHIP, _DELIVERED),
 )
+
+# The rule of those years, written out: clocks skip 2 o'clock on
+# April's first Sunday and show 1 o'clock twice on October's last.
+_CLOCKS = """
+clocked AS (
+  SELECT date_trunc('hour', transit_timestamp) AS hour, ridership,
+         dayofweek(transit_timestamp) = 0 AND month(transit_timestamp) = 4 AND day(transit_timestamp) <= 7 AS spring,
+         dayofweek(transit_timestamp) = 0 AND month(transit_timestamp) = 10 AND day(transit_timestamp) > 24 AS autumn
+  FROM ridership
+),
+clocks AS (
+  SELECT *, CASE WHEN spring AND hour(hour) = 2 THEN 'skipped'
+                 WHEN autumn AND hour(hour) = 1 THEN 'repeated' ELSE 'plain' END AS clock
+  FROM clocked
+)"""
+QUERIES["changeover_hours"] = q(
+    f"""SELECT hour, clock, CAST(count(*) AS BIGINT) AS records, {r6('SUM(ridership)')} AS ridership
+        FROM clocks WHERE spring OR autumn GROUP BY hour, clock""",
+    (RIDERSHIP, _CLOCKS),
+)
+QUERIES["clock_gate"] = q(
+    """SELECT 'ridership' AS dataset, k AS "check", 'transit_timestamp' AS "column",
+              CAST(CASE WHEN k = 'skipped_hours' THEN s ELSE r END AS BIGINT) AS value,
+              CASE WHEN k = 'skipped_hours' THEN CAST(0 AS DOUBLE) END AS threshold,
+              k = 'repeated_hours' OR s = 0 AS passed
+       FROM (SELECT count_if(clock = 'skipped') AS s, count_if(clock = 'repeated') AS r FROM clocks),
+            (VALUES ('skipped_hours'), ('repeated_hours')) t(k)""",
+    (RIDERSHIP, _CLOCKS),
+)

@@ -607,6 +607,24 @@ def trend_series_flagged_month(i: Inputs) -> DataFrame:
     return reports.trend_series(i.csi_stored, top, None, TREND_FROM_MONTH, TREND_START)
 
 
+# The stations' clocks.
+ZONE = "America/New_York"
+
+
+@register("changeover_hours")
+def changeover_hours(i: Inputs) -> DataFrame:
+    """The hours of all days on which the clocks change, with skipped and repeated ones."""
+    return quality.changeover_hours(i.raw, ZONE)
+
+
+@register("clock_gate")
+def clock_gate(i: Inputs) -> DataFrame:
+    """Rows in hours that the clocks skip (a failed check) or show twice."""
+    report = quality.clock_report(i.raw, quality.RIDERSHIP_GATE, ZONE)
+    # Nullable integers as doubles, see NULLABLE_INTS.
+    return report.withColumn("threshold", F.col("threshold").cast("double"))
+
+
 # Deliveries of the hourly feed: where a period ends, and how long hours stay open.
 FEED_PERIODS = (_dt.datetime(1997, 7, 1), _dt.datetime(1999, 7, 1))
 FEED_DELAY = "400 days"
