@@ -107,3 +107,28 @@ def test_month_reports_read_one_partition(inputs):
     assert any("(year#" in b and "= 2001)" in b and "= 10)" in b for b in blocks)
     latest = plan_of(reports.month_table(inputs.csi_stored, inputs.month_totals))
     assert "lineitem" not in latest
+
+
+def test_heatmap_names_are_looked_up_below_the_hour_aggregate(plans):
+    """The few names cut the raw rows, before they are added up to hours."""
+    for name in ("heatmap_long", "heatmap_pivot"):
+        tree = plans[name].split("\n\n")[0]
+        at = tree.index("LeftSemi")
+        # Above it: both steps of the hours' aggregate and of the heatmap's.
+        assert tree[:at].count("HashAggregate") >= 4, tree
+        assert "lineitem" not in tree[:at]
+
+
+def test_delay_reaches_the_percentiles_without_raw_rows(plans):
+    """Station-months join station delays; line items are aggregated on either side first."""
+    tree = plans["risk_flag"].split("\n\n")[0]
+    at = tree.index("LeftOuter")
+    assert "Window" in tree[:at] and "HashAggregate" not in tree[:at], tree
+
+
+def test_new_queries_have_no_window_without_partitions_over_rows(plans):
+    """The only unpartitioned windows are those over one row per partition."""
+    for name in ("landed_pages", "hour_ranks"):
+        for block in plans[name].split("\n\n"):
+            if ") Window" in block and "[], " in block:
+                assert "_part" in block, block
