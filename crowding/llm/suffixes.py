@@ -249,6 +249,35 @@ def _sources(least: int):
     return run
 
 
+def _settled(carried: dict[tuple, tuple], least: int):
+    """Rows of partitions' first runs, with the source that an earlier partition has for them.
+
+    ``carried`` has a place for each run that crosses a border.
+    """
+    schema = pa.schema(
+        [("copy", pa.int64()), ("copy2", pa.int64()), ("first_id", pa.int64()), ("start", pa.int32()), ("source_id", pa.int64())]
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            h1, h2, copy, copy2, start = (batch.column(n).to_numpy() for n in (*_RUN, *_COPY, "start"))
+            own = [batch.column(f"source_{n}").to_numpy() for n in (*_COPY, "start")]
+            source = [x.copy() for x in own]
+            ids = batch.column("source_id")
+            # A partition's first run is one key, so a batch has few.
+            for key in {(int(x), int(y)) for x, y in zip(h1, h2, strict=True)} & carried.keys():
+                mine = (h1 == key[0]) & (h2 == key[1])
+                _, first_id, *place = carried[key]
+                for x, value in zip(source, place, strict=True):
+                    x[mine] = value
+                ids = pc.if_else(pa.array(mine), pa.scalar(first_id, pa.int64()), ids)
+            far = (copy != source[0]) | (copy2 != source[1]) | (start - source[2] >= least)
+            cols = [batch.column(n) for n in (*_COPY, "first_id", "start")]
+            yield pa.RecordBatch.from_arrays([*cols, ids], schema=schema).filter(pa.array(far))
+
+    return run
+
+
 def _sorted_scan(rows: DataFrame, order: list[str], look: Callable, schema: str, name: str) -> DataFrame:
     """Range partition by the whole order, so that no key is a partition of its own; sort; scan."""
     return stored(rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(released(look), schema), name)
@@ -272,14 +301,14 @@ def _repeated_starts(extended: DataFrame, least: int) -> DataFrame:
     """(copy, copy2, first_id, start, source_id) of the starts whose run an earlier place has."""
     rows = extended.withColumn("no_id", F.col("first_id").isNull())
     found = _sorted_scan(rows.select(*_RUN, *_PLACE), _RUN + _PLACE, _sources(least), _FOUND_SCHEMA, "start-array")
-    # Two rows a partition: the earliest of a run's first places is its source.
-    first = F.struct(*_PLACE)
-    ends = found.where("kind = 2").groupBy(*_RUN).agg(F.min(first).alias("f"))
-    head = found.where("kind = 1").select(*_RUN, *_PLACE).join(F.broadcast(ends), _RUN)
-    far = (F.col("copy") != F.col("f.copy")) | (F.col("copy2") != F.col("f.copy2")) | (F.col("start") - F.col("f.start") >= least)
-    columns = [*_COPY, "first_id", "start"]
-    late = head.where(far).select(*columns, F.col("f.first_id").alias("source_id"))
-    return found.where("kind = 0").select(*columns, "source_id").unionByName(late)
+    # Two rows a partition, whatever the data: the runs that more than one
+    # partition reports, at most one a border, with the earliest place of each.
+    ends = found.where("kind = 2").groupBy(*_RUN).agg(F.min(F.struct(*_PLACE)).alias("f"), F.count("*").alias("n"))
+    carried = {(r["h1"], r["h2"]): tuple(r["f"]) for r in ends.where("n > 1").collect()}
+    head = found.where("kind = 1").mapInArrow(
+        released(_settled(carried, least)), "copy long, copy2 long, first_id long, start int, source_id long"
+    )
+    return found.where("kind = 0").select(*_COPY, "first_id", "start", "source_id").unionByName(head)
 
 
 def repeated_passages(
