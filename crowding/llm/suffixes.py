@@ -250,10 +250,11 @@ def _sources(least: int):
 
 
 def _settled(carried: dict[tuple, tuple], least: int):
-    """Rows of partitions' first runs, with the source that an earlier partition has for them.
+    """Starts that repeat their source, where an earlier partition may have it.
 
-    ``carried`` has a place for each run that crosses a border.
+    ``carried`` has the first place of each run that crosses a border.
     """
+    known = np.array([h1 for h1, _ in carried], np.int64)
     schema = pa.schema(
         [("copy", pa.int64()), ("copy2", pa.int64()), ("first_id", pa.int64()), ("start", pa.int32()), ("source_id", pa.int64())]
     )
@@ -264,8 +265,9 @@ def _settled(carried: dict[tuple, tuple], least: int):
             own = [batch.column(f"source_{n}").to_numpy() for n in (*_COPY, "start")]
             source = [x.copy() for x in own]
             ids = batch.column("source_id")
-            # A partition's first run is one key, so a batch has few.
-            for key in {(int(x), int(y)) for x, y in zip(h1, h2, strict=True)} & carried.keys():
+            crossing = np.flatnonzero(np.isin(h1, known))
+            # Few runs of a batch cross a border: they are the longest ones.
+            for key in {(int(h1[i]), int(h2[i])) for i in crossing} & carried.keys():
                 mine = (h1 == key[0]) & (h2 == key[1])
                 _, first_id, *place = carried[key]
                 for x, value in zip(source, place, strict=True):
@@ -305,10 +307,9 @@ def _repeated_starts(extended: DataFrame, least: int) -> DataFrame:
     # partition reports, at most one a border, with the earliest place of each.
     ends = found.where("kind = 2").groupBy(*_RUN).agg(F.min(F.struct(*_PLACE)).alias("f"), F.count("*").alias("n"))
     carried = {(r["h1"], r["h2"]): tuple(r["f"]) for r in ends.where("n > 1").collect()}
-    head = found.where("kind = 1").mapInArrow(
+    return found.where("kind < 2").mapInArrow(
         released(_settled(carried, least)), "copy long, copy2 long, first_id long, start int, source_id long"
     )
-    return found.where("kind = 0").select(*_COPY, "first_id", "start", "source_id").unionByName(head)
 
 
 def repeated_passages(
