@@ -86,6 +86,21 @@ def shared_dir(spark: SparkSession) -> str:
     return current.rstrip("/")
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """The folder below the shared one that holds all this application stores by the way."""
+    return f"{shared_dir(spark)}/crowding-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder below the shared working folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique folder for an intermediate table."""
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this application.
+
+    Results are lazy and read them: call it when the results are written. What
+    a job that was cut off has left goes the same way, by its application's id.
+    """
+    at = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
