@@ -10,6 +10,7 @@ offsets agree, which is checked, not assumed.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import os
@@ -89,12 +90,17 @@ class ByteLevelTokens:
         # Each merge makes a token, none is made twice, later ones have higher ids.
         return len(made) + 256 == len(ordinary) and all(x < y for x, y in zip([255, *made], made, strict=False))
 
-    def ids(self, texts: list[str]) -> list[np.ndarray]:
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of the texts as they are."""
         if self.plain:
-            return [np.array(self._one(" " + t), np.uint32) for t in texts]
-        found = self.tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
+            return [np.array(self._one(t), np.uint32) for t in texts]
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, np.uint32) for e in found]
 
+    def ids(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of a space and each text."""
+        return self.encode([" " + t for t in texts])
+
 
 class PieceTokens:
     """A sentencepiece file, which puts a space before the text by itself."""
@@ -130,17 +136,26 @@ def align(keys: list[bytes], left: "_Side", right: "_Side") -> list[tuple[bytes,
     mine = ids < _RIGHT
     a, b = ids[mine].astype(np.int64), (ids[~mine] - _RIGHT).astype(np.int64)
     end_a, end_b = np.cumsum(left.length[a]), np.cumsum(right.length[b])
-    ends = np.union1d(end_a, end_b)
-    links = a[np.searchsorted(end_a, ends)] << 32 | b[np.searchsorted(end_b, ends)]
-    shared = np.intersect1d(end_a, end_b, assume_unique=True)
-    group_a, group_b = np.searchsorted(shared, end_a), np.searchsorted(shared, end_b)
+    # One mark a byte: 1 where a left token ends, 2 where a right one does.
+    mark = np.zeros(int(end_a[-1]) + 1, np.uint8)
+    mark[end_a] = 1
+    mark[end_b] += 2
+    ends = np.flatnonzero(mark)
+    kind = mark[ends]
+    # The tokens of either side that a segment between ends lies in.
+    in_a, in_b = (np.cumsum(kind & bit != 0) - (kind & bit != 0) for bit in (1, 2))
+    links = a[in_a] << 32 | b[in_b]
+    closes = kind == 3
+    group = np.cumsum(closes) - closes
+    group_a, group_b = group[kind & 1 != 0], group[kind & 2 != 0]
     # A group's left tokens, then its right ones, as rows of one table of text.
-    place_a = np.arange(len(a)) + np.searchsorted(group_b, group_a, side="left")
-    place_b = np.arange(len(b)) + np.searchsorted(group_a, group_b, side="right")
+    before_a, before_b = (np.concatenate([[0], np.cumsum(np.bincount(g, minlength=group[-1] + 1))]) for g in (group_a, group_b))
+    place_a = np.arange(len(a)) + before_b[group_a]
+    place_b = np.arange(len(b)) + before_a[group_b + 1]
     text = np.empty((len(ids), left.text.shape[1]), np.uint8)
     text[place_a], text[place_b] = left.text[a], right.text[b]
-    text[place_a[shared[group_a] == end_a], -1] = left.after
-    text[place_b[shared[group_b] == end_b], -1] = right.after
+    text[place_a[closes[kind & 1 != 0]], -1] = left.after
+    text[place_b[closes[kind & 2 != 0]], -1] = right.after
     shown = text != 0
     written = np.cumsum(np.count_nonzero(shown, axis=1))
     text = text[shown].tobytes()
@@ -200,20 +215,20 @@ class Aligner:
         """
         length_a, length_b = self.a.length[a], self.b.length[b]
         end_a, end_b = np.cumsum(length_a), np.cumsum(length_b)
-        spaced_a, spaced_b = np.flatnonzero(self.a.spaced[a]), np.flatnonzero(self.b.spaced[b])
-        anchors, at_a, at_b = np.intersect1d(
-            (end_a - length_a)[spaced_a], (end_b - length_b)[spaced_b], assume_unique=True, return_indices=True
-        )
+        begin_a, begin_b = end_a - length_a, end_b - length_b
+        mark = np.zeros(int(end_a[-1]) + 1, np.uint8)
+        mark[begin_a[self.a.spaced[a]]] = 1
+        mark[begin_b[self.b.spaced[b]]] += 1
         # The ends before an anchor are shared, so both sides' windows end there.
-        cut_a, cut_b = spaced_a[at_a], spaced_b[at_b]
+        here = mark == 2
+        cut_a, cut_b = np.flatnonzero(here[begin_a]), np.flatnonzero(here[begin_b])
         key = np.empty(len(a) + len(b), "<u4")
-        window_a = np.searchsorted(cut_a, np.arange(len(a)), side="right") - 1
-        window_b = np.searchsorted(cut_b, np.arange(len(b)), side="right") - 1
+        window_a, window_b = np.cumsum(here[begin_a]) - 1, np.cumsum(here[begin_b]) - 1
         key[np.arange(len(a)) + cut_b[window_a]] = a
         key[np.arange(len(b)) + np.append(cut_a, len(a))[window_b + 1]] = b | _RIGHT
         data = key.tobytes()
         edge = [*(4 * (cut_a + cut_b)).tolist(), len(data)]
-        return [data[i:j] for i, j in zip(edge[:-1], edge[1:], strict=True)], np.searchsorted(anchors, begin)
+        return [data[i:j] for i, j in zip(edge[:-1], edge[1:], strict=True)], np.searchsorted(begin_a[cut_a], begin)
 
     def _spelled(self, want: bytes, a: np.ndarray, b: np.ndarray) -> bool:
         """If both sides' tokens make up these bytes, a space and a text that isn't empty."""
@@ -222,11 +237,22 @@ class Aligner:
             len(want) > 1
             and int(self.a.length[a].sum()) == len(want) == int(self.b.length[b].sum())
             and b"".join([of_b[i] for i in b.tolist()]) == want
-            and b"".join([of_a[i] for i in a.tolist()]) == want
+            # A plain file's merges spell every byte of what they are given.
+            and (self.left.plain or b"".join([of_a[i] for i in a.tolist()]) == want)
         )
 
     def texts(self, texts: list[str]) -> list[tuple]:
         """Of each text: n_a, n_b, n_groups, n_links, groups' digest, pairs and their counts as arrays."""
+        # Nothing here makes cycles; the collector would only go through all kept windows again and again.
+        on = gc.isenabled()
+        gc.disable()
+        try:
+            return self._texts(texts)
+        finally:
+            if on:
+                gc.enable()
+
+    def _texts(self, texts: list[str]) -> list[tuple]:
         none = np.zeros(0, np.int64)
         out: list[tuple] = [(0, 0, 0, 0, "", none, none)] * len(texts)
         wanted = [b" " + t.encode("utf-8") for t in texts]

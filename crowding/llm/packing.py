@@ -13,22 +13,23 @@ are not padded either.
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .pretokens import ChunkIds, text_groups
+from .alignment import ByteLevelTokens
+from .common import released
+from .pretokens import text_groups
 
 CAPACITY = 1024
 END_ID = 0
 #: Classes of remainders; smaller ones share the last.
 CLASSES = 32
-_GROUP_CHARS = 2_000_000
+_GROUP_CHARS = 500_000
 _OUT_BYTES = 8_000_000
-_CACHE_CHARS = 70_000_000
 _SEQUENCES_A_TASK = 1 << 33
 
 SCHEMA = (
@@ -38,41 +39,37 @@ _ARROW = pa.schema(
     [(n, pa.binary() if n == "ids" else pa.int64()) for n in (x.split()[0] for x in SCHEMA.split(", "))]
 )
 
-_tokenizers: dict[str, ChunkIds] = {}
+_encoders: dict[str, Callable[[list[str]], list[bytes]]] = {}
+
+
+def _encoder(path: str) -> Callable[[list[str]], list[bytes]]:
+    """Ids as the tokenizers library gives them for the file, without special tokens added.
+
+    The library itself encodes texts that hold a special token's string, which
+    is that token wherever it stands, and all texts where the file is more than
+    byte-level BPE; for the others see ``ByteLevelTokens``.
+    """
+    from tokenizers import Tokenizer
+
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    own, library = ByteLevelTokens(path), Tokenizer.from_file(path)
+    added = [t.content for t in library.get_added_tokens_decoder().values()]
+
+    def encode(texts: list[str]) -> list[bytes]:
+        plain = [own.plain and not any(x in t for x in added) for t in texts]
+        fast = iter(own.encode([t for t, p in zip(texts, plain, strict=True) if p]))
+        slow = iter(library.encode_batch_fast([t for t, p in zip(texts, plain, strict=True) if not p], add_special_tokens=False))
+        ids = [next(fast) if p else next(slow).ids for p in plain]
+        return [np.asarray(x, dtype="<u4").tobytes() for x in ids]
+
+    return encode
 
 
 def token_ids(texts: list[str], path: str) -> list[bytes]:
     """Ids of each text as little-endian unsigned 32-bit numbers."""
-    if path not in _tokenizers:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(path)
-        # Special tokens' strings are these tokens wherever they stand in a text.
-        added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
-        newline = tokenizer.encode("\n", add_special_tokens=False).ids
-
-        def encode(chunks: list[str]) -> list[bytes]:
-            # A newline between chunks without white space inside is a token
-            # of its own, so many of them go through the tokenizer as one text.
-            solid = [c.removeprefix(" ") for c in chunks]
-            plain = [i for i, c in enumerate(solid) if len(newline) == 1 and c.split() == [c]]
-            out: list[bytes | None] = [None] * len(chunks)
-            for lo in range(0, len(plain), 2000):
-                part = plain[lo : lo + 2000]
-                (found,) = tokenizer.encode_batch_fast(["\n".join(chunks[i] for i in part)], add_special_tokens=False)
-                ids = np.array(found.ids, dtype="<u4")
-                data, at = ids.tobytes(), [-1, *np.flatnonzero(ids == newline[0]).tolist(), len(ids)]
-                for i, x, y in zip(part, at[:-1], at[1:], strict=True):
-                    out[i] = data[4 * x + 4 : 4 * y]
-            rest = [i for i, x in enumerate(out) if x is None]
-            found = tokenizer.encode_batch_fast([chunks[i] for i in rest], add_special_tokens=False)
-            for i, e in zip(rest, found, strict=True):
-                out[i] = np.array(e.ids, dtype="<u4").tobytes()
-            return out
-
-        _tokenizers[path] = ChunkIds(encode, _CACHE_CHARS, added)
-    return _tokenizers[path].of(texts)
+    if path not in _encoders:
+        _encoders[path] = _encoder(path)
+    return _encoders[path](texts)
 
 
 def harmonic_class(r: int, capacity: int) -> int:
@@ -204,4 +201,4 @@ def pack_documents(
 
     return docs.select(
         docs[id_col].cast("long").alias("id"), docs[text_col].alias("text")
-    ).mapInArrow(run, SCHEMA)
+    ).mapInArrow(released(run), SCHEMA)

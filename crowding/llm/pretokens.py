@@ -13,7 +13,7 @@ front.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator
 
 _PLACE = re.compile(r"(?<=\S)(?=[ \n]\S)")
 #: What else str.isspace() holds for.
@@ -59,13 +59,11 @@ class ChunkIds:
 
     ``encode`` gives the ids of chunks, each as bytes. The cache has two
     generations, of ``size`` characters of keys (100 more a key) each: the
-    elder goes when the younger is full. A text that has one of ``whole`` in it,
-    strings that are tokens wherever they stand, isn't cut into chunks.
+    elder goes when the younger is full.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], size: int, whole: Sequence[str] = ()):
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], size: int):
         self.encode, self.size, self.load, self.new, self.old = encode, size, 0, {}, {}
-        self.whole = tuple(whole)
 
     def _learn(self, lost: set[str]) -> None:
         new, old = self.new, self.old
@@ -97,7 +95,7 @@ class ChunkIds:
         out: list[bytes | None] = []
         wait, lost = [], set()
         for t in texts:
-            ks = keys(t) if not any(x in t for x in self.whole) else ["\0" + t]
+            ks = keys(t)
             found = list(map(get, ks))
             if None in found:
                 miss = [i for i, v in enumerate(found) if v is None]
