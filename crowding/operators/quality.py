@@ -164,10 +164,13 @@ def changeover_hours(df: DataFrame, zone: str, col: str = "transit_timestamp") -
 
     The rows are added up by hour first; days are looked up for these few rows.
     """
-    hours = df.groupBy(F.date_trunc("hour", F.col(col)).cast("timestamp_ntz").alias("hour")).agg(
-        F.count("*").alias("records"), F.sum("ridership").alias("ridership")
+    hour = F.date_trunc("hour", F.col(col)).cast("timestamp_ntz")
+    # The lookup goes by an aggregate: a filter on the grouping key would be
+    # pushed below it, to every row.
+    hours = df.groupBy(hour.alias("hour")).agg(
+        F.count("*").alias("records"), F.sum("ridership").alias("ridership"), F.max(hour).alias("_at")
     )
-    day = F.to_date("hour")
+    day = F.to_date("_at")
     all_day = F.transform(F.sequence(F.lit(0), F.lit(23)), lambda h: day.cast("timestamp") + F.make_interval(hours=h))
     changes = F.exists(all_day, lambda t: clock_hour(t, zone) != "plain")
     return hours.where(changes).select("hour", clock_hour(F.col("hour"), zone).alias("clock"), "records", "ridership")

@@ -57,3 +57,11 @@ def test_the_gate_counts_them(spark):
     assert {(r["hour"], r["clock"], r["records"]) for r in days} == {(skipped, "skipped", 1), (repeated, "repeated", 2)}
     none = {r["check"]: r["value"] for r in quality.clock_report(rows.limit(0), quality.RIDERSHIP_GATE, "UTC").collect()}
     assert none == {"skipped_hours": 0, "repeated_hours": 0}
+
+
+def test_changeovers_are_looked_up_after_the_rows_are_added_up(spark):
+    """The lookup of a day costs two dozen clock conversions: a few per hour of data, none per row."""
+    found = quality.changeover_hours(_rows(spark, [dt.datetime(2025, 3, 9, 2)]), "America/New_York")
+    tree = found._jdf.queryExecution().optimizedPlan().toString()
+    below = tree[tree.index("Aggregate ["):]
+    assert "exists(" in tree and "from_utc_timestamp" not in below[below.index("\n"):], tree
