@@ -19,6 +19,9 @@ from .slices import coerce_numeric, previous_month, previous_month_slice
 # Fixed value: rows per extract page.
 PAGE_ROWS = 50_000
 
+#: Lots that a landing of fixed pages has at most, however many pages there are.
+MOST_LOTS = 32
+
 
 def land_pages(records: DataFrame, path: str, order_cols=("transit_timestamp", "station_complex_id"),
                page_rows: int | None = None) -> None:
@@ -75,7 +78,9 @@ def land_fixed_pages(
     when they are first numbered. A page is one file in the folder ``page=p``.
     Rows are numbered once and kept beside the pages, then the manifest begins
     without a line; ``pages_a_job`` pages land at a time, each lot followed by
-    its lines of the manifest. A landing
+    its lines of the manifest. Where that makes more than MOST_LOTS lots, the
+    pages are dealt over so many: a lot costs jobs of its own, so their number
+    must not grow with the rows, and a failure still repeats one lot alone. A landing
     that stopped, by a failure or after ``most_jobs`` lots, goes on at the first
     page that the manifest lacks, with the numbers of its first start. Returns
     how many pages have landed. No rows land as no page.
@@ -92,9 +97,10 @@ def land_fixed_pages(
     total = 0 if last is None else last + 1
     done = read_manifest(spark, path).agg(F.max("page").alias("p")).first()["p"]
     first = 0 if done is None else done + 1
+    lot_pages = max(pages_a_job, -(-total // MOST_LOTS))
     jobs = 0
     while first < total and (most_jobs is None or jobs < most_jobs):
-        after = min(first + pages_a_job, total)
+        after = min(first + lot_pages, total)
         lot = rows.where((F.col("_page") >= first) & (F.col("_page") < after))
         # All rows of a page meet in one task; a page is small by definition.
         (

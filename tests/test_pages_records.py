@@ -97,6 +97,19 @@ def test_a_stopped_landing_goes_on_at_its_page(spark, monkeypatch):
     assert landing.land_fixed_pages(df, path, ("k",), 100, 2) == 10
 
 
+def test_the_number_of_lots_is_bounded(spark, monkeypatch):
+    """More pages make larger lots, not more jobs; each is still a lot of its own."""
+    monkeypatch.setattr(landing, "MOST_LOTS", 3)
+    path = scratch_path(spark, "t-lots")
+    df = spark.range(95).select((F.col("id") % 7).alias("k"), "id").repartition(4)
+    landed = [landing.land_fixed_pages(df, path, ("k",), 10, 1, most_jobs=1) for _ in range(4)]
+    assert landed == [4, 8, 10, 10]
+    manifest = sorted(tuple(r) for r in landing.read_manifest(spark, path).collect())
+    assert manifest == [(p, p * 10 + 1, min(10, 95 - p * 10)) for p in range(10)]
+    back = landing.read_fixed_pages(spark, path, df.schema).collect()
+    assert sorted(r["id"] for r in back) == list(range(95))
+
+
 def test_ranks_equal_the_window(spark):
     rng = random.Random(4)
     values = [None, float("nan"), -0.0, 0.0, *map(float, range(40))]
