@@ -69,10 +69,11 @@ def monthly_total_rank(hours: DataFrame) -> DataFrame:
 
     Totals are aggregated and ranked at station-month grain, then joined back
     on (station_complex, year, month), null-safe like the window partition it
-    replaces. The small ranked side is broadcast by AQE when its measured
-    size allows; otherwise the join is a sort-merge join with skew splitting.
+    replaces. The ranked side has one row per station-month, so no task gets
+    more than its even share of it: it is hashed, and hour rows need no sort.
+    A station with many hours is still split over tasks by AQE.
     """
-    ranked = rank_in_month(monthly_totals(hours))
+    ranked = rank_in_month(monthly_totals(hours)).hint("shuffle_hash")
     return join_on_keys(hours, ranked, NAME_MONTH, how="left", null_safe=True)
 
 

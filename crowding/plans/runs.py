@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions.calendar import as_timestamp, first_of_month
 from ..operators import delay, features, quality, risk, stress
+from ..session import scratch_path
 from ..sources import lake, landing, records
 from ..sources.slices import previous_month, time_range
 from .ledger import Ledger, Stage, publish
@@ -47,15 +48,21 @@ def _apt_months_between(df: DataFrame, start, end) -> DataFrame:
     return df.filter((d >= F.lit(start).cast("date")) & (d < F.lit(end).cast("date")))
 
 
-def station_month_table(hours: DataFrame, baseline, route_lookup: DataFrame, apt: DataFrame) -> DataFrame:
+def _moments(spark: SparkSession, hours: DataFrame, path: str) -> DataFrame:
+    """Station-month moments, written once: sketches, baseline and CSI read them, not the hours."""
+    lake.write_table(lake.conform(stress.station_month_moments(hours), schemas.MOMENTS), path)
+    return lake.read_table(spark, path, schemas.MOMENTS)
+
+
+def station_month_table(moments: DataFrame, baseline, route_lookup: DataFrame, apt: DataFrame) -> DataFrame:
     """CSI rows with delay, percentiles and flag (no rolling columns yet)."""
-    csi = stress.stress_index(hours, baseline)
+    csi = stress.stress_from_moments(moments, baseline)
     return risk.risk_flag(csi, delay.station_delay(route_lookup, apt)).select(*CSI_BASE_COLUMNS)
 
 
-def _write_sketches(hours: DataFrame, path: str) -> None:
+def _write_sketches(moments: DataFrame, path: str) -> None:
     """The months' quantile sketches of peak volume: what a later baseline is made from."""
-    sketches = stress.peak_sketches(stress.peak_volume(hours))
+    sketches = stress.peak_sketches(stress.peak_from_moments(moments))
     lake.write_partitioned(lake.conform(sketches, schemas.PEAK_SKETCHES), path)
 
 
@@ -92,12 +99,13 @@ def build_history(
     lake.write_partitioned(lake.conform(features.ridership_transformed(raw), schemas.HOURS), p.hours)
     hours = lake.read_table(spark, p.hours, schemas.HOURS)
 
-    lake.write_baseline(stress.baseline_p90(stress.peak_volume(hours), baseline_year), p.baseline)
-    _write_sketches(hours, p.sketches)
+    moments = _moments(spark, hours, scratch_path(spark, "history-moments"))
+    lake.write_baseline(stress.baseline_p90(stress.peak_from_moments(moments), baseline_year), p.baseline)
+    _write_sketches(moments, p.sketches)
     baseline = lake.require_baseline(spark, p.baseline, baseline_year)
 
     table = station_month_table(
-        hours,
+        moments,
         baseline,
         lake.read_table(spark, p.route_lookup, schemas.ROUTE_LOOKUP),
         lake.read_table(spark, p.apt, schemas.APT),
@@ -163,7 +171,8 @@ def stage_months(spark: SparkSession, raw_new: DataFrame, apt_new: DataFrame | N
         lake.write_table(spark.createDataFrame(sorted(gone), schemas.MONTHS), stage.path("gone"))
     lake.write_partitioned(lake.conform(features.ridership_transformed(raw), schemas.HOURS), stage.path("hours"))
     hours = lake.read_table(spark, stage.path("hours"), schemas.HOURS)
-    _write_sketches(hours, stage.path("sketches"))
+    moments = _moments(spark, hours, stage.path("moments"))
+    _write_sketches(moments, stage.path("sketches"))
 
     baseline = lake.require_baseline(spark, paths.baseline, baseline_year)
     apt = _apt_months_between(lake.read_table(spark, paths.apt, schemas.APT), start, end)
@@ -173,7 +182,7 @@ def stage_months(spark: SparkSession, raw_new: DataFrame, apt_new: DataFrame | N
         replaced = fresh.select("year", "month_num").distinct()
         apt = apt.join(replaced, ["year", "month_num"], "left_anti").unionByName(_apt_months_between(fresh, start, end))
     new_rows = station_month_table(
-        hours, baseline, lake.read_table(spark, paths.route_lookup, schemas.ROUTE_LOOKUP), apt
+        moments, baseline, lake.read_table(spark, paths.route_lookup, schemas.ROUTE_LOOKUP), apt
     )
 
     stored = lake.read_table(spark, paths.csi, schemas.CSI)

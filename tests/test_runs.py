@@ -53,6 +53,30 @@ def test_incremental_equals_full_and_rerun(spark, inputs):
     assert audit.count() == 8 and {r["status"] for r in audit.collect()} == {"success"}
 
 
+def test_hours_are_added_up_to_months_once(spark, inputs, monkeypatch):
+    """Sketches, baseline and CSI of a load read the stored moments, not the hour table."""
+    real, calls = runs.stress.station_month_moments, []
+
+    def counted(hours):
+        calls.append(hours)
+        return real(hours)
+
+    def again(hours):
+        raise AssertionError("the hour rows are read again")
+
+    monkeypatch.setattr(runs.stress, "station_month_moments", counted)
+    monkeypatch.setattr(runs.stress, "peak_volume", again)
+    root = scratch_path(spark, "t-moments")
+    runs.build_history(spark, inputs.raw, inputs.apt, inputs.stations, root, 2000)
+    assert len(calls) == 1
+    assert _rounded(lake.read_table(spark, lake.LakePaths(root).csi, schemas.CSI)) == _rounded(inputs.csi)
+
+
+def test_hour_rows_are_not_sorted_for_their_month_total(inputs):
+    tree = inputs.hours._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in tree and "SortMergeJoin" not in tree
+
+
 def test_failed_gate_is_audited(spark, inputs):
     root = scratch_path(spark, "t-gate")
     runs.build_history(spark, _before(inputs.raw, dt.date(2001, 10, 1)), inputs.apt, inputs.stations, root, 2000)
