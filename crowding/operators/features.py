@@ -18,6 +18,11 @@ def keep_mode(raw: DataFrame, mode: str = "subway") -> DataFrame:
     return raw.filter(F.col("transit_mode") == mode)
 
 
+def mode_rows(raw: DataFrame, mode: str = "subway") -> DataFrame:
+    """Rows of one transit mode, with their time as a timestamp."""
+    return keep_mode(raw, mode).withColumn("transit_timestamp", as_timestamp(raw, "transit_timestamp"))
+
+
 def hourly_fact(raw: DataFrame, mode: str = "subway") -> DataFrame:
     """Ridership per station-hour, merging payment and fare-class rows.
 
@@ -25,12 +30,7 @@ def hourly_fact(raw: DataFrame, mode: str = "subway") -> DataFrame:
     most one row per station-hour per input split, so a station holding a
     large share of the raw rows is reduced before it leaves its tasks.
     """
-    return (
-        keep_mode(raw, mode)
-        .withColumn("transit_timestamp", as_timestamp(raw, "transit_timestamp"))
-        .groupBy(*HOUR_KEYS)
-        .agg(F.sum("ridership").alias("ridership"))
-    )
+    return mode_rows(raw, mode).groupBy(*HOUR_KEYS).agg(F.sum("ridership").alias("ridership"))
 
 
 def time_features(hours: DataFrame) -> DataFrame:

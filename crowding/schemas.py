@@ -88,6 +88,10 @@ HOURS = _struct(
 # Hour facts alone.
 HOUR_FACT = _struct(*[(f.name, f.dataType) for f in HOURS.fields[:5]])
 
+# Hours that the hourly feed has closed, and the watermark of each of its batches.
+CLOSED_HOURS = T.StructType([*HOUR_FACT.fields, T.StructField("batch", L, True)])
+MARKS = _struct(("mark", L), ("batch", L))
+
 # Hour facts with calendar features only (before month totals and ranks).
 HOUR_FEATURES = _struct(*[(f.name, f.dataType) for f in HOURS.fields
                           if f.name not in ("monthly_ridership", "monthly_rank")])

@@ -1,6 +1,8 @@
 """The hourly feed with late rows, and baselines from stored sketches."""
 
+import contextlib
 import datetime as dt
+import io
 
 import numpy as np
 import pytest
@@ -66,6 +68,76 @@ def test_nothing_written_yet_is_open(spark):
     assert [r["state"] for r in settled_hours(spark, landing, root).collect()] == ["open"]
 
 
+def test_hours_are_not_held_in_memory(spark):
+    landing, root = scratch_path(spark, "t-hl"), scratch_path(spark, "t-hf")
+    for part, rows in (("a", [("01T08", "1", 5), ("05T09", "2", 3)]), ("b", [("05T09", "2", 4)]), ("c", [("09T09", "tram", 3)])):
+        _deliver(spark, f"{landing}/{part}", rows)
+        feed = start_hourly_feed(spark, landing, root, "2 days")
+        feed.awaitTermination(300)
+        assert feed.exception() is None
+        # A delivery is one batch, whatever its size: no state store may have to hold it.
+        assert feed.recentProgress and not any(p["stateOperators"] for p in feed.recentProgress)
+    assert {k: r["ridership"] for k, r in _hours(streamed_hours(spark, root)).items()} == {("1", "01T08"): 5.0}
+    settled = _hours(settled_hours(spark, landing, root))
+    assert {k: (r["ridership"], r["state"]) for k, r in settled.items()} == {
+        ("1", "01T08"): (5.0, "streamed"), ("2", "05T09"): (7.0, "open")
+    }
+
+
+@pytest.mark.parametrize("cut", ["open_hours", "marks"])
+def test_a_batch_that_was_cut_off_counts_once(spark, monkeypatch, cut):
+    landing, root = scratch_path(spark, "t-hl"), scratch_path(spark, "t-hf")
+    _deliver(spark, f"{landing}/a", [("01T08", "1", 5), ("05T09", "2", 3)])
+    _feed(spark, landing, root)
+    _deliver(spark, f"{landing}/b", [("05T09", "2", 4), ("01T08", "1", 1), ("20T00", "1", 1)])
+    write = lake.write_table
+
+    def broken(df, path):
+        if cut in path:
+            raise OSError("cut off")
+        write(df, path)
+
+    with monkeypatch.context() as m:
+        m.setattr(lake, "write_table", broken)
+        with pytest.raises(Exception, match="cut off"):
+            _feed(spark, landing, root)
+    # What the batch had stored by then is not seen.
+    assert {k: r["ridership"] for k, r in _hours(streamed_hours(spark, root)).items()} == {("1", "01T08"): 5.0}
+    _feed(spark, landing, root)
+    assert sorted((r["station_complex_id"], r["ridership"]) for r in streamed_hours(spark, root).collect()) == [("1", 5.0), ("2", 7.0)]
+    settled = _hours(settled_hours(spark, landing, root))
+    assert {k: (r["ridership"], r["state"]) for k, r in settled.items()} == {
+        ("1", "01T08"): (6.0, "corrected"), ("2", "05T09"): (7.0, "streamed"), ("1", "20T00"): (1.0, "open")
+    }
+
+
+def test_hours_with_nulls_settle(spark):
+    landing, root = scratch_path(spark, "t-hl"), scratch_path(spark, "t-hf")
+    at = dt.datetime(2001, 5, 1, 8)
+    made = [
+        (t, "subway", None, name, "B", "card", "full", riders, 0.0, None, None, None)
+        for t, name, riders in ((at, None, 2.0), (at, None, 3.0), (at, "x", None), (None, "x", 1.0), (at + dt.timedelta(9), "x", 1.0))
+    ]
+    lake.write_table(spark.createDataFrame(made, schemas.RIDERSHIP).repartition(2), f"{landing}/a")
+    _feed(spark, landing, root)
+    settled = {(r["station_complex"], r["transit_timestamp"]): (r["ridership"], r["state"]) for r in settled_hours(spark, landing, root).collect()}
+    assert settled == {
+        (None, at): (5.0, "streamed"), ("x", at): (None, "streamed"),
+        ("x", None): (1.0, "open"), ("x", at + dt.timedelta(9)): (1.0, "open"),
+    }
+
+
+def test_settled_hours_are_shuffled_once_and_not_sorted(spark):
+    landing, root = scratch_path(spark, "t-hl"), scratch_path(spark, "t-hf")
+    _deliver(spark, f"{landing}/a", [("01T08", "1", 5), ("09T09", "2", 3)])
+    _feed(spark, landing, root)
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        settled_hours(spark, landing, root).explain(mode="formatted")
+    tree = out.getvalue().split("\n\n")[0]
+    assert tree.count("- Exchange (") == 1 and "Join" not in tree and "Sort" not in tree, tree
+
+
 def _peaks(spark, n, seed=1):
     rng = np.random.default_rng(seed)
     rows = [(f"s{i}", str(i), "B", 2000 + i % 2, 1 + i % 12, float(v)) for i, v in enumerate(rng.lognormal(3, 1, n))]
