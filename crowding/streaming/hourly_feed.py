@@ -90,7 +90,7 @@ def _close_hours(batch: DataFrame, batch_id: int, paths: _Paths, delay_us: int)
     hours = rows.groupBy(*HOUR_KEYS).agg(F.sum("ridership").alias("ridership"))
     lake.write_table(hours.where(end <= mark), _of_batch(paths.closed, batch_id))
     lake.write_table(hours.where(end > mark), _of_batch(paths.open, batch_id))
-    lake.write_table(spark.range(0, 1, 1, 1).select(F.lit(mark).alias("mark")), _of_batch(paths.marks, batch_id))
+    lake.write_table(spark.range(0, 1, 1, 1).select(F.lit(mark).cast("long").alias("mark")), _of_batch(paths.marks, batch_id))
     # A reader may be at the last but one.
     for table in (paths.open, paths.marks):
         lake.drop_folder(spark, _of_batch(table, last - 1))

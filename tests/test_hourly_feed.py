@@ -111,6 +111,18 @@ def test_a_batch_that_was_cut_off_counts_once(spark, monkeypatch, cut):
     }
 
 
+def test_a_first_batch_without_rows_of_the_mode(spark):
+    landing, root = scratch_path(spark, "t-hl"), scratch_path(spark, "t-hf")
+    _deliver(spark, f"{landing}/a", [("09T09", "tram", 3)])
+    _feed(spark, landing, root)
+    assert streamed_hours(spark, root).count() == settled_hours(spark, landing, root).count() == 0
+    _deliver(spark, f"{landing}/b", [("01T08", "1", 5), ("05T09", "2", 3)])
+    _feed(spark, landing, root)
+    assert {k: r["state"] for k, r in _hours(settled_hours(spark, landing, root)).items()} == {
+        ("1", "01T08"): "streamed", ("2", "05T09"): "open"
+    }
+
+
 def test_hours_with_nulls_settle(spark):
     landing, root = scratch_path(spark, "t-hl"), scratch_path(spark, "t-hf")
     at = dt.datetime(2001, 5, 1, 8)
